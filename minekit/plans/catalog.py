@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minekit.operators import bayes
+from minekit.operators import bayes, fpm, regression
 from minekit.operators.frames import split_flag
 from minekit.operators.labels import distinct_sorted
 from minekit.sources.tables import load
@@ -129,3 +129,214 @@ def nb_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = bayes.score(fit, ev, EVENT_FEATURES)
     acc = bayes.accuracy(scored, "prediction", "y", by=["split"])
     return acc.select("split", r6(F.col("accuracy")).alias("accuracy"), "n")
+
+
+# ------------------------------------------------------------ regression
+# lineitem: y = price / 10000, x1 = quantity / 50, x2 = linenumber / 7
+# orders:   y = totalprice / 100000, x1 = (custkey % 11) / 11, x2 = (orderkey % 7) / 7
+
+def lineitem_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem")
+    return li.select((F.col("l_extendedprice") / 10000.0).alias("y"),
+                     (F.col("l_quantity") / 50.0).alias("x1"),
+                     (F.col("l_linenumber").cast("double") / 7.0).alias("x2"))
+
+
+def orders_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = load(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("id"),
+                    (F.col("o_totalprice") / 100000.0).alias("y"),
+                    (F.pmod("o_custkey", F.lit(11)).cast("double") / 11.0).alias("x1"),
+                    (F.pmod("o_orderkey", F.lit(7)).cast("double") / 7.0).alias("x2"),
+                    split_flag(F.col("o_orderkey")).alias("split"))
+
+
+SQL_LINEITEM_REG = """
+d AS (SELECT l_extendedprice / 10000.0 AS y, l_quantity / 50.0 AS x1,
+             CAST(l_linenumber AS DOUBLE) / 7.0 AS x2 FROM lineitem)"""
+
+SQL_ORDERS_REG = """
+od AS (SELECT o_orderkey AS id, o_totalprice / 100000.0 AS y,
+              CAST(o_custkey % 11 AS DOUBLE) / 11.0 AS x1,
+              CAST(o_orderkey % 7 AS DOUBLE) / 7.0 AS x2,
+              CASE WHEN o_orderkey % 10 < 7 THEN 'train' ELSE 'test' END AS split FROM orders),
+d AS (SELECT y, x1, x2 FROM od WHERE split = 'train')"""
+
+
+def sgd_sql(step: float, iterations: int, reg: str, reg_param: float = 0.01) -> str:
+    """Recursive CTE ``fin(t, w1, w2)`` of the SGD recurrence on CTE ``d``."""
+    s = f"({step} / sqrt(it.t + 1))"
+    g1 = "(g.a11 * it.w1 + g.a12 * it.w2 - g.b1)"
+    g2 = "(g.a12 * it.w1 + g.a22 * it.w2 - g.b2)"
+    if reg == "none":
+        u1, u2 = f"it.w1 - {s} * {g1}", f"it.w2 - {s} * {g2}"
+    elif reg == "l2":
+        u1 = f"(1 - {s} * {reg_param}) * it.w1 - {s} * {g1}"
+        u2 = f"(1 - {s} * {reg_param}) * it.w2 - {s} * {g2}"
+    else:
+        z1, z2 = f"(it.w1 - {s} * {g1})", f"(it.w2 - {s} * {g2})"
+        u1 = f"sign({z1}) * greatest(0.0, abs({z1}) - {s} * {reg_param})"
+        u2 = f"sign({z2}) * greatest(0.0, abs({z2}) - {s} * {reg_param})"
+    return f"""
+g AS (SELECT sum(x1 * x1) / count(*) AS a11, sum(x1 * x2) / count(*) AS a12,
+             sum(x2 * x2) / count(*) AS a22, sum(x1 * y) / count(*) AS b1,
+             sum(x2 * y) / count(*) AS b2 FROM d),
+it(t, w1, w2, done) AS (
+  SELECT 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), false
+  UNION ALL
+  SELECT t + 1, nw1, nw2,
+         t + 1 >= 2 AND sqrt((nw1 - w1) * (nw1 - w1) + (nw2 - w2) * (nw2 - w2))
+                        < 0.001 * greatest(sqrt(nw1 * nw1 + nw2 * nw2), 1.0)
+  FROM (SELECT it.t, it.w1, it.w2, {u1} AS nw1, {u2} AS nw2
+        FROM it, g WHERE NOT it.done AND it.t < {iterations}) s),
+fin AS (SELECT t, w1, w2 FROM it ORDER BY t DESC LIMIT 1)"""
+
+
+def _weights_sql(step: float, iterations: int, reg: str) -> str:
+    return f"""
+WITH RECURSIVE {SQL_LINEITEM_REG}, {sgd_sql(step, iterations, reg)}
+SELECT f.idx AS feature_idx, f.name AS feature,
+       round(CASE f.idx WHEN 0 THEN w1 ELSE w2 END, 6) AS weight, CAST(t AS INTEGER) AS iterations
+FROM fin, (VALUES (0, 'x1'), (1, 'x2')) AS f(idx, name)"""
+
+
+def _weights_query(step: float, iterations: int, reg: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        fit = regression.fit_sgd(lineitem_regression(spark, sf_dir), "y", ["x1", "x2"],
+                                 iterations=iterations, step=step, reg=reg)
+        w = regression.weights_frame(spark, fit)
+        return w.select("feature_idx", "feature", r6(F.col("weight")).alias("weight"), "iterations")
+    return run
+
+
+register("linreg_sgd_weights", _weights_sql(0.5, 100, "none"))(_weights_query(0.5, 100, "none"))
+register("ridge_sgd_weights", _weights_sql(1.0, 100, "l2"))(_weights_query(1.0, 100, "l2"))
+register("lasso_sgd_weights", _weights_sql(1.0, 100, "l1"))(_weights_query(1.0, 100, "l1"))
+
+
+def _orders_sgd(spark: SparkSession, sf_dir: str):
+    od = orders_regression(spark, sf_dir)
+    fit = regression.fit_sgd(od.where(F.col("split") == "train"), "y", ["x1", "x2"], iterations=100, step=0.5)
+    return od, fit
+
+
+@register("linreg_predict", f"""
+WITH RECURSIVE {SQL_ORDERS_REG}, {sgd_sql(0.5, 100, "none")}
+SELECT CAST(od.id AS INTEGER) AS id, round(fin.w1 * od.x1 + fin.w2 * od.x2, 6) AS label, od.x1, od.x2
+FROM od, fin
+""")
+def linreg_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    od, fit = _orders_sgd(spark, sf_dir)
+    out = regression.predict_sgd(fit, od, ["x1", "x2"], result_label="label")
+    return out.withColumn("label", r6(F.col("label")))
+
+
+@register("linreg_mse", f"""
+WITH RECURSIVE {SQL_ORDERS_REG}, {sgd_sql(0.5, 100, "none")}
+SELECT round(avg((fin.w1 * d.x1 + fin.w2 * d.x2 - d.y) * (fin.w1 * d.x1 + fin.w2 * d.x2 - d.y)), 6) AS mse,
+       count(*) AS n
+FROM d, fin
+""")
+def linreg_mse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean squared error on the training rows (the reference's MSE1)."""
+    od, fit = _orders_sgd(spark, sf_dir)
+    m = regression.mse(fit, od.where(F.col("split") == "train"), "y", ["x1", "x2"])
+    return m.select(r6(F.col("mse")).alias("mse"), "n")
+
+
+# --------------------------------------------------------------- baskets
+# One basket per order: its distinct part brands (or part types), space separated.
+
+def order_baskets(spark: SparkSession, sf_dir: str, attr: str) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    part = load(spark, sf_dir, "part").select("p_partkey", attr)
+    joined = li.join(part, li.l_partkey == part.p_partkey)
+    return (joined.groupBy("l_orderkey")
+            .agg(F.concat_ws(" ", F.array_sort(F.collect_set(attr))).alias("basket")))
+
+
+def sql_baskets(attr: str) -> str:
+    return f"""
+b AS (SELECT l.l_orderkey AS bid, list_sort(list_distinct(list(p.{attr}))) AS items
+      FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY l.l_orderkey)"""
+
+
+def sql_itemsets(min_support: float) -> str:
+    """Recursive CTE ``fi(items, freq)``: sorted item lists grown one item at a time."""
+    return f"""
+m AS (SELECT ceil({min_support} * count(*)) AS minc FROM b),
+f1 AS (SELECT it AS item, count(*) AS c FROM (SELECT unnest(items) AS it FROM b) s
+       GROUP BY it HAVING count(*) >= (SELECT minc FROM m)),
+grow(items, last, freq) AS (
+  SELECT [item], item, c FROM f1
+  UNION ALL
+  SELECT nx.items, nx.last, nx.freq FROM (
+    SELECT list_append(g.items, f1.item) AS items, f1.item AS last,
+           (SELECT count(*) FROM b WHERE list_has_all(b.items, list_append(g.items, f1.item))) AS freq
+    FROM grow g JOIN f1 ON f1.item > g.last) nx
+  WHERE nx.freq >= (SELECT minc FROM m)),
+fi AS (SELECT items, freq FROM grow)"""
+
+
+SQL_RULES = """
+ex AS (SELECT items, freq, unnest(items) AS cons FROM fi WHERE len(items) >= 2),
+rules AS (SELECT list_filter(ex.items, lambda x: x <> ex.cons) AS ante, ex.cons AS cons,
+                 ex.freq * 1.0 / a.freq AS confidence
+          FROM ex JOIN fi a ON a.items = list_filter(ex.items, lambda x: x <> ex.cons))"""
+
+
+def _fp_model(spark, sf_dir, attr, support, confidence):
+    bk = fpm.baskets(order_baskets(spark, sf_dir, attr), "basket")
+    return fpm.fit_fpgrowth(bk, support, confidence)
+
+
+@register("basket_tokenize", f"""
+WITH {sql_baskets('p_brand')}
+SELECT CAST(bid AS BIGINT) AS order_key, array_to_string(items, ' ') AS basket, len(items) AS n_items,
+       items[1] AS first_item, items[len(items)] AS last_item
+FROM b
+""")
+def basket_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Baskets built as text, split back into item arrays."""
+    bk = order_baskets(spark, sf_dir, "p_brand")
+    items = fpm.basket_items(F.col("basket"))
+    return bk.select(F.col("l_orderkey").alias("order_key"), "basket", F.size(items).alias("n_items"),
+                     F.element_at(items, 1).alias("first_item"), F.element_at(items, -1).alias("last_item"))
+
+
+@register("freq_itemsets", f"""
+WITH RECURSIVE {sql_baskets('p_brand')}, {sql_itemsets(0.01)}
+SELECT array_to_string(items, ' ') AS itemset, len(items) AS size, freq FROM fi
+""")
+def freq_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fpm.freq_itemsets(_fp_model(spark, sf_dir, "p_brand", 0.01, 0.1))
+
+
+@register("assoc_rules", f"""
+WITH RECURSIVE {sql_baskets('p_brand')}, {sql_itemsets(0.01)}, {SQL_RULES}
+SELECT array_to_string(ante, ' ') AS antecedent, cons AS consequent, round(confidence, 6) AS confidence
+FROM rules WHERE confidence >= 0.1
+""")
+def assoc_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = fpm.association_rules(_fp_model(spark, sf_dir, "p_brand", 0.01, 0.1))
+    return r.withColumn("confidence", r6(F.col("confidence")))
+
+
+@register("assoc_rules_text", f"""
+WITH RECURSIVE {sql_baskets('p_type')}, {sql_itemsets(0.05)}, {SQL_RULES}
+SELECT '[' || array_to_string(ante, ', ') || '] => [' || cons || ']' AS rule,
+       round(confidence, 6) AS confidence
+FROM rules WHERE confidence >= 0.3
+""")
+def assoc_rules_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part types per order, support 0.05: itemsets up to size 4, text rules."""
+    r = fpm.rule_text(_fp_model(spark, sf_dir, "p_type", 0.05, 0.3), "rule", "confidence")
+    return r.withColumn("confidence", r6(F.col("confidence")))
+
+
+@register("freq_itemsets_types", f"""
+WITH RECURSIVE {sql_baskets('p_type')}, {sql_itemsets(0.05)}
+SELECT array_to_string(items, ' ') AS itemset, len(items) AS size, freq FROM fi
+""")
+def freq_itemsets_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fpm.freq_itemsets(_fp_model(spark, sf_dir, "p_type", 0.05, 0.3))

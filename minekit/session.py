@@ -33,6 +33,7 @@ def build_session(master: str | None = None, app_name: str = "minekit",
         builder = builder.master(master)
     conf = dict(SQL_SETTINGS)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.sql.ansi.enabled"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
