@@ -15,10 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minekit.operators import bayes, fpm, regression
+from minekit.operators import als, bayes, cluster, fpm, regression, tree
 from minekit.operators.frames import split_flag
 from minekit.operators.labels import distinct_sorted
 from minekit.sources.tables import load
@@ -340,3 +340,211 @@ SELECT array_to_string(items, ' ') AS itemset, len(items) AS size, freq FROM fi
 """)
 def freq_itemsets_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fpm.freq_itemsets(_fp_model(spark, sf_dir, "p_type", 0.05, 0.3))
+
+
+# --------------------------------------------------------------- k-means
+# customer: f1 = (custkey % 3) * 100 + nationkey * 0.1, f2 = (custkey % 3) * -50
+# -> three well separated groups; cluster ids made canonical (smallest key).
+
+def customer_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = load(spark, sf_dir, "customer")
+    grp = F.pmod("c_custkey", F.lit(3)).cast("double")
+    return c.select(F.col("c_custkey").alias("id"),
+                    (grp * 100.0 + F.col("c_nationkey").cast("double") * 0.1).alias("f1"),
+                    (grp * -50.0).alias("f2"))
+
+
+@register("kmeans_fit_predict", """
+WITH c AS (SELECT CAST(c_custkey AS INTEGER) AS id,
+                  CAST(c_custkey % 3 AS DOUBLE) * 100.0 + CAST(c_nationkey AS DOUBLE) * 0.1 AS f1,
+                  CAST(c_custkey % 3 AS DOUBLE) * -50.0 AS f2
+           FROM customer)
+SELECT id, CAST(min(id) OVER (PARTITION BY f2) AS DOUBLE) AS label, round(f1, 6) AS f1, round(f2, 6) AS f2
+FROM c
+""")
+def kmeans_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pts = customer_points(spark, sf_dir)
+    model = cluster.fit_kmeans(pts, ["f1", "f2"], k=3, max_iter=20, seed=1)
+    out = cluster.predict_kmeans(model, pts, ["f1", "f2"], result_label="label", canonical=True)
+    return out.select("id", "label", r6(F.col("f1")).alias("f1"), r6(F.col("f2")).alias("f2"))
+
+
+# Given centres: the mean (value, k) of each event type, in type order;
+# every event goes to the nearest one (ties to the lowest index).
+
+def event_centres(spark: SparkSession, ev: DataFrame) -> list[list[float]]:
+    rows = (ev.groupBy("event_type").agg(F.avg("value").alias("cv"), F.avg("k").alias("ck"))
+            .orderBy("event_type").limit(cluster.MAX_CENTRES + 1).collect())
+    if len(rows) > cluster.MAX_CENTRES:
+        raise ValueError("too many centres")
+    return [[r["cv"], r["ck"]] for r in rows]
+
+
+SQL_CENTRES = """
+ev AS (SELECT event_id, event_type, value, CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM events),
+ce AS (SELECT dense_rank() OVER (ORDER BY event_type) - 1 AS idx, avg(value) AS cv, avg(k) AS ck
+       FROM ev GROUP BY event_type),
+asg AS (SELECT ev.event_id, ev.value, ev.k, ce.idx,
+               row_number() OVER (PARTITION BY ev.event_id
+                                  ORDER BY (ev.value - ce.cv) * (ev.value - ce.cv) + (ev.k - ce.ck) * (ev.k - ce.ck),
+                                           ce.idx) AS rk
+        FROM ev, ce)"""
+
+
+def _event_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = load(spark, sf_dir, "events").select(
+        "event_id", "event_type", "value", F.get_json_object("props", "$.k").cast("double").alias("k"))
+    centres = event_centres(spark, ev)
+    return ev.select("event_id", "value", "k",
+                     cluster.nearest_centre([F.col("value"), F.col("k")], centres).alias("cluster"))
+
+
+@register("kmeans_assign", f"""
+WITH {SQL_CENTRES}
+SELECT CAST(event_id AS INTEGER) AS id, CAST(idx AS INTEGER) AS cluster, value, k FROM asg WHERE rk = 1
+""")
+def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = _event_assignment(spark, sf_dir)
+    return a.select(F.col("event_id").cast("int").alias("id"), "cluster", "value", "k")
+
+
+@register("kmeans_assign_text", f"""
+WITH {SQL_CENTRES}
+SELECT CAST(event_id AS INTEGER) AS id,
+       '[' || CAST(value AS VARCHAR) || ',' || CAST(k AS VARCHAR) || ']==>' || CAST(idx AS VARCHAR) AS assignment
+FROM asg WHERE rk = 1
+""")
+def kmeans_assign_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = _event_assignment(spark, sf_dir)
+    return a.select(F.col("event_id").cast("int").alias("id"),
+                    cluster.assignment_text([F.col("value"), F.col("k")], F.col("cluster")).alias("assignment"))
+
+
+# ---------------------------------------------------------- decision tree
+# orders with a planted rule: f1 = orderkey % 7, f2 = custkey % 11,
+# label 0 if f1 < 4, else 1 if f2 >= 6, else 2.
+
+def planted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = load(spark, sf_dir, "orders")
+    f1 = F.pmod("o_orderkey", F.lit(7)).cast("double")
+    f2 = F.pmod("o_custkey", F.lit(11)).cast("double")
+    y = F.when(f1 < 4, 0.0).when(f2 >= 6, 1.0).otherwise(2.0)
+    return o.select(F.col("o_orderkey").alias("id"), f1.alias("f1"), f2.alias("f2"), y.alias("y"),
+                    split_flag(F.col("o_orderkey")).alias("split"))
+
+
+SQL_PLANTED = """
+o AS (SELECT o_orderkey AS id, CAST(o_orderkey % 7 AS DOUBLE) AS f1, CAST(o_custkey % 11 AS DOUBLE) AS f2
+      FROM orders),
+p AS (SELECT id, f1, f2, CASE WHEN f1 < 4 THEN 0.0 WHEN f2 >= 6 THEN 1.0 ELSE 2.0 END AS y FROM o)"""
+
+
+@register("dtree_predict", f"""
+WITH {SQL_PLANTED}
+SELECT CAST(id AS INTEGER) AS id, CAST(y AS DOUBLE) AS label, f1, f2 FROM p
+""")
+def dtree_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tree of depth 3 trained on the train side must recover the rule everywhere."""
+    po = planted_orders(spark, sf_dir)
+    fit = tree.fit_decision_tree(po.where(F.col("split") == "train"), "y", ["f1", "f2"],
+                                 max_depth=3, max_bins=32, num_classes=3)
+    return tree.predict_decision_tree(fit, po, ["f1", "f2"], result_label="label")
+
+
+@register("dtree_best_split", f"""
+WITH {SQL_PLANTED},
+lng AS (SELECT 0 AS f, f1 AS v, y FROM p UNION ALL SELECT 1 AS f, f2 AS v, y FROM p),
+vals AS (SELECT DISTINCT f, v FROM lng),
+thr AS (SELECT f, (v + lead(v) OVER (PARTITION BY f ORDER BY v)) / 2 AS t FROM vals),
+cand AS (SELECT f, t FROM thr WHERE t IS NOT NULL),
+cnt AS (SELECT c.f, c.t, l.y,
+               sum(CASE WHEN l.v <= c.t THEN 1 ELSE 0 END) AS nl_y,
+               sum(CASE WHEN l.v > c.t THEN 1 ELSE 0 END) AS nr_y
+        FROM cand c JOIN lng l ON l.f = c.f GROUP BY c.f, c.t, l.y),
+agg AS (SELECT f, t, CAST(sum(nl_y) AS DOUBLE) AS nl, CAST(sum(nr_y) AS DOUBLE) AS nr,
+               CAST(sum(nl_y * nl_y) AS DOUBLE) AS sl, CAST(sum(nr_y * nr_y) AS DOUBLE) AS sr,
+               CAST(sum(nl_y + nr_y) AS DOUBLE) AS n,
+               CAST(sum((nl_y + nr_y) * (nl_y + nr_y)) AS DOUBLE) AS st
+        FROM cnt GROUP BY f, t),
+gn AS (SELECT f, t, (1 - st / (n * n)) - nl / n * (1 - sl / (nl * nl)) - nr / n * (1 - sr / (nr * nr)) AS gain
+       FROM agg WHERE nl > 0 AND nr > 0)
+SELECT f AS feature_idx, CASE f WHEN 0 THEN 'f1' ELSE 'f2' END AS feature, t AS threshold,
+       round(gain, 6) AS gain
+FROM gn WHERE gain > 0 ORDER BY gain DESC, f, t LIMIT 1
+""")
+def dtree_best_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best gini root split over all orders (exact: <= max_bins values per feature)."""
+    po = planted_orders(spark, sf_dir)
+    best = tree.best_split(po, "y", ["f1", "f2"], max_bins=32)
+    return best.select("feature_idx", "feature", "threshold", r6(F.col("gain")).alias("gain"))
+
+
+# -------------------------------------------------------------------- ALS
+# ratings: mean quantity per (customer, supplier).  Training keeps the pairs
+# with (user * 31 + item) % 10 < 7 and plants cold-start keys by leaving
+# out users % 50 == 0 and items % 25 == 0; every pair is then scored.
+
+def cust_supp_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    r = (li.join(o, li.l_orderkey == o.o_orderkey)
+         .groupBy("o_custkey", "l_suppkey").agg(F.avg("l_quantity").alias("rating")))
+    return als.ratings_frame(r, "o_custkey", "l_suppkey", "rating")
+
+
+def als_train_flag() -> Column:
+    u, i = F.col(als.USER), F.col(als.ITEM)
+    return ((F.pmod(u * 31 + i, F.lit(10)) < 7) & (F.pmod(u, F.lit(50)) != 0) & (F.pmod(i, F.lit(25)) != 0))
+
+
+SQL_RATINGS = """
+r AS (SELECT o.o_custkey AS u, l.l_suppkey AS i, avg(l.l_quantity) AS rating
+      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY o.o_custkey, l.l_suppkey),
+tr AS (SELECT * FROM r WHERE (u * 31 + i) % 10 < 7 AND u % 50 <> 0 AND i % 25 <> 0)"""
+
+
+def _als(spark: SparkSession, sf_dir: str):
+    ratings = cust_supp_ratings(spark, sf_dir)
+    train = ratings.where(als_train_flag())
+    model = als.fit_als(train, rank=8, max_iter=10, reg_param=0.01, seed=7)
+    return ratings, train, model
+
+
+@register("als_scorable_pairs", f"""
+WITH {SQL_RATINGS}
+SELECT CAST(u AS INTEGER) AS user_id, CAST(i AS INTEGER) AS item_id FROM r
+WHERE u IN (SELECT u FROM tr) AND i IN (SELECT i FROM tr)
+""")
+def als_scorable_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the pairs the fitted model scores (cold-start pairs dropped)."""
+    ratings, _, model = _als(spark, sf_dir)
+    pred = als.predict_pairs(model, ratings, "user_id", "item_id", "rate")
+    return pred.select("user_id", "item_id")
+
+
+@register("als_scorable_pairs_semijoin", f"""
+WITH {SQL_RATINGS}
+SELECT CAST(u AS INTEGER) AS user_id, CAST(i AS INTEGER) AS item_id FROM r
+WHERE u IN (SELECT u FROM tr) AND i IN (SELECT i FROM tr)
+""")
+def als_scorable_pairs_semijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same key set without fitting: two left-semi joins."""
+    ratings = cust_supp_ratings(spark, sf_dir)
+    keys = als.scorable_pairs(ratings.where(als_train_flag()), ratings)
+    return keys.select(F.col(als.USER).alias("user_id"), F.col(als.ITEM).alias("item_id"))
+
+
+@register("als_predict_pairs")
+def als_predict_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted rating for every scorable pair (values depend on the ALS
+    solver, so the check is on rows; keys are checked above)."""
+    ratings, _, model = _als(spark, sf_dir)
+    return als.predict_pairs(model, ratings, "user_id", "item_id", "rate")
+
+
+@register("als_rates_and_preds")
+def als_rates_and_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training ratings next to their predictions."""
+    _, train, model = _als(spark, sf_dir)
+    rp = als.rates_and_preds(model, train)
+    return rp.select(F.col(als.USER).alias("user_id"), F.col(als.ITEM).alias("item_id"), "rating", "prediction")
