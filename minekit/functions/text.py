@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -46,7 +46,7 @@ def parse_values(tokens: Column, n: int, pad: bool, what: str) -> list[Column]:
              F.when(size < n, F.raise_error(F.lit(f"fewer than {n} values in {what}"))))
     cols = []
     for i in range(n):
-        tok = F.element_at(tokens, i + 1)
+        tok = F.try_element_at(tokens, F.lit(i + 1))
         value = strict_parse_double(tok, what)
         if pad:
             value = F.when(size <= i, F.lit(0.0)).otherwise(value)
@@ -63,3 +63,15 @@ def vector_literal_text(cols: list[Column]) -> Column:
 def java_list_text(items: Column) -> Column:
     """An array of strings printed as a Java list, ``[a, b]``, sorted."""
     return F.concat(F.lit("["), F.concat_ws(", ", F.array_sort(items)), F.lit("]"))
+
+
+def parse_labeled_lines(lines: DataFrame, col: str = "value", n: int = 3) -> DataFrame:
+    """``label,f1 f2 f3`` -> ``label, f1..fn`` doubles.
+
+    Fewer than ``n`` feature values raise; extra values are ignored.
+    """
+    parts = java_split(F.col(col), ",")
+    label = strict_parse_double(F.try_element_at(parts, F.lit(1)), "label")
+    feats = java_split(F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit("")), " ")
+    vals = parse_values(feats, n, pad=False, what="labelled line")
+    return lines.select(label.alias("label"), *[v.alias(f"f{i + 1}") for i, v in enumerate(vals)])

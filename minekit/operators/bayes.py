@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from minekit.functions.casting import assemble, non_negative
+from minekit.functions.casting import assemble, non_negative, strict_int
 from minekit.operators.frames import FEATURES, LABEL, flat_result, project_configured
 from minekit.operators.labels import MAX_CLASSES, LabelIndex
 
@@ -109,3 +109,27 @@ def accuracy(scored: DataFrame, prediction: str, label: str, by: list[str] | Non
     hit = F.avg((F.col(prediction) == F.col(label)).cast("double")).alias("accuracy")
     n = F.count(F.lit(1)).alias("n")
     return scored.groupBy(*(by or [])).agg(hit, n)
+
+
+def naive_bayes_positional(train: DataFrame, test: DataFrame, smoothing: float = 1.0,
+                           result_names: tuple[str, ...] = ("label", "feture1", "feture2", "feture3")
+                           ) -> DataFrame:
+    """The fixed-layout variant: columns are taken by position, not name.
+
+    Train: column 0 ignored, integer label at 1, integer features at 2..4.
+    Test: columns 0 and 1 ignored, double features at 2..4.  The result has
+    no id: ``label, feture1, feture2, feture3``, all double.
+    """
+    n = len(result_names) - 1
+    tc, sc = train.columns, test.columns
+    if len(tc) < 2 + n or len(sc) < 2 + n:
+        raise ValueError(f"positional layout needs at least {2 + n} columns")
+    label, feats = tc[1], tc[2:2 + n]
+    names = [f"_p{i}" for i in range(n)]
+    typed_train = train.select(strict_int(train, label, "_y").cast("double").alias("_y"),
+                               *[strict_int(train, c, a).cast("double").alias(a) for c, a in zip(feats, names)])
+    fit = fit_naive_bayes(typed_train, "_y", names, smoothing=smoothing)
+    typed_test = test.select(*[F.col(c).alias(a) for c, a in zip(sc[2:2 + n], names)])
+    prepared = project_configured(typed_test, names, id_col=None)
+    scored = score(fit, prepared, names)
+    return flat_result(scored, F.col("prediction"), names, result_names[0], list(result_names[1:]), id_col=None)

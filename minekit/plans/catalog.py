@@ -19,8 +19,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minekit.operators import als, bayes, cluster, fpm, regression, tree
-from minekit.operators.frames import split_flag
+from minekit.functions import specs, text
+from minekit.operators.frames import preview, project_configured, split_flag
 from minekit.operators.labels import distinct_sorted
+from minekit.session import scratch_path
+from minekit.sources import text as text_io
 from minekit.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,8 +59,10 @@ ev AS (
          CASE WHEN event_id % 10 < 7 THEN 'train' ELSE 'test' END AS split
   FROM events)"""
 
-SQL_NB_PARAMS = """
-tr AS (SELECT * FROM ev WHERE split = 'train'),
+SQL_TRAIN = """
+tr AS (SELECT * FROM ev WHERE split = 'train')"""
+
+SQL_NB_PARAMS = SQL_TRAIN + """,
 cls AS (SELECT y, count(*) AS nc, sum(hour) AS s1, sum(k) AS s2, sum(value) AS s3
         FROM tr GROUP BY y),
 tot AS (SELECT sum(nc) AS n, count(*) AS c FROM cls),
@@ -548,3 +553,145 @@ def als_rates_and_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, train, model = _als(spark, sf_dir)
     rp = als.rates_and_preds(model, train)
     return rp.select(F.col(als.USER).alias("user_id"), F.col(als.ITEM).alias("item_id"), "rating", "prediction")
+
+
+# ------------------------------------------------- text, specs, plumbing
+
+def _text_roundtrip(spark: SparkSession, lines: DataFrame, name: str) -> DataFrame:
+    """Write lines to a fresh folder under the shared checkpoint dir, read back."""
+    path = scratch_path(spark, name)
+    text_io.write_lines(lines, path)
+    return text_io.read_lines(spark, path)
+
+
+def _num(c: str) -> Column:
+    return F.col(c).cast("string")
+
+
+@register("parse_labeled_text", f"""
+WITH {SQL_EVENTS}
+SELECT y AS label, hour AS f1, k AS f2, value AS f3 FROM ev
+""")
+def parse_labeled_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``label,f1 f2 f3`` lines (from events) through a text file and back."""
+    ev = event_table(spark, sf_dir)
+    lines = ev.select(F.concat(_num("y"), F.lit(","), F.concat_ws(" ", _num("hour"), _num("k"), _num("value")))
+                      .alias("value"))
+    parsed = text.parse_labeled_lines(_text_roundtrip(spark, lines, "labeled"), "value", 3)
+    return parsed.select(F.col("label"), F.col("f1"), F.col("f2"), F.col("f3"))
+
+
+@register("parse_vector_text", f"""
+WITH {SQL_EVENTS}
+SELECT value AS f1, k AS f2, CAST(0.0 AS DOUBLE) AS f3 FROM ev
+""")
+def parse_vector_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-value lines read by the k-means parser, which pads to three."""
+    ev = event_table(spark, sf_dir)
+    lines = ev.select(F.concat_ws(" ", _num("value"), _num("k")).alias("value"))
+    tokens = text.java_split(F.col("value"), " ")
+    vals = text.parse_values(tokens, 3, pad=True, what="vector line")
+    return _text_roundtrip(spark, lines, "vectors").select(*[v.alias(f"f{i + 1}") for i, v in enumerate(vals)])
+
+
+def _saved_nb(spark: SparkSession, sf_dir: str):
+    ev, fit = _nb_fit(spark, sf_dir)
+    path = scratch_path(spark, "nb-model")
+    fit.save(path)
+    return ev, bayes.NaiveBayesFit.load(spark, path)
+
+
+@register("score_saved_model", ORACLES["nb_predict"])
+def score_saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Save the fitted model, load it back, score every event."""
+    ev, loaded = _saved_nb(spark, sf_dir)
+    return bayes.predict_naive_bayes(loaded, ev, EVENT_FEATURES, result_label="label")
+
+
+@register("text_result_roundtrip", f"""
+WITH {SQL_EVENTS}, {SQL_NB_PARAMS}, {SQL_NB_SCORED}
+SELECT '(' || CAST(hour AS VARCHAR) || ' ' || CAST(k AS VARCHAR) || ' ' || CAST(value AS VARCHAR)
+       || ',' || CAST(pred AS VARCHAR) || ')' AS value
+FROM best
+""")
+def text_result_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score ``f1 f2 f3`` text lines with a saved model and write
+    ``(line,prediction)`` text (the target must not exist); read it back."""
+    ev, loaded = _saved_nb(spark, sf_dir)
+    lines = _text_roundtrip(spark, ev.select(F.concat_ws(" ", _num("hour"), _num("k"), _num("value"))
+                                             .alias("value")), "score-input")
+    vals = text.parse_values(text.java_split(F.col("value"), " "), 3, pad=False, what="vector line")
+    parsed = lines.select(F.col("value").alias("line"), *[v.alias(c) for v, c in zip(vals, EVENT_FEATURES)])
+    scored = bayes.score(loaded, parsed, EVENT_FEATURES)
+    out = scored.select(text_io.scored_line(F.col("line"), F.col("prediction")).alias("value"))
+    return _text_roundtrip(spark, out, "scored")
+
+
+@register("nb_positional", f"""
+WITH {SQL_EVENTS},
+tr AS (SELECT id, y, hour, k, floor(value) AS value FROM ev WHERE split = 'train'),
+{SQL_NB_PARAMS[len(SQL_TRAIN) + 1:]}, {SQL_NB_SCORED}
+SELECT pred AS label, hour AS feture1, k AS feture2, value AS feture3 FROM best
+""")
+def nb_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixed layout: train (id, label, hour, k, floor(value)) as ints,
+    test (id, type, hour, k, value); result without id."""
+    ev = load(spark, sf_dir, "events")
+    et = event_table(spark, sf_dir)
+    train = et.where(F.col("split") == "train").select(
+        "id", F.col("y").cast("int"), F.col("hour").cast("int"), F.col("k").cast("int"),
+        F.floor("value").cast("int").alias("value"))
+    test = et.join(ev.select(F.col("event_id").alias("id"), "event_type"), "id").select(
+        "id", "event_type", "hour", "k", "value")
+    return bayes.naive_bayes_positional(train, test)
+
+
+@register("decode_job_specs", """
+SELECT CAST(event_id AS INTEGER) AS id, 'events_' || event_type AS train_table,
+       'r' || CAST(event_id AS VARCHAR) AS result_table,
+       json_extract_string(props, '$.k') AS k
+FROM events
+""")
+def decode_job_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One base64 job spec per event (its props as operational_param), decoded."""
+    ev = load(spark, sf_dir, "events")
+    js = F.concat(F.lit('{"datasource": {"train_table": {"tablename": "events_'), F.col("event_type"),
+                  F.lit('"}}, "output": {"result_table": {"tablename": "r'), F.col("event_id").cast("string"),
+                  F.lit('"}}, "operational_param": '), F.col("props"), F.lit("}"))
+    encoded = ev.select("event_id", specs.encode_spec(js).alias("spec"))
+    spec = specs.require_spec(specs.decode_spec(F.col("spec")))
+    return encoded.select(
+        F.col("event_id").cast("int").alias("id"),
+        F.try_element_at(spec.getField("datasource").getField("train_table"), F.lit("tablename")).alias("train_table"),
+        F.try_element_at(spec.getField("output").getField("result_table"), F.lit("tablename")).alias("result_table"),
+        specs.param(spec, "k").alias("k"))
+
+
+@register("project_configured", """
+SELECT CAST(event_id AS INTEGER) AS id, CAST(value AS DOUBLE) AS value, CAST(user_id AS DOUBLE) AS user_id,
+       CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k
+FROM events
+""")
+def project_configured_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Configured column list ``"value user_id k"`` -> id int + strict doubles
+    (``k`` arrives as text and is parsed strictly)."""
+    ev = load(spark, sf_dir, "events").select(
+        "event_id", "value", "user_id", F.get_json_object("props", "$.k").alias("k"))
+    return project_configured(ev, "value user_id k".split(" "), id_col="event_id")
+
+
+@register("train_test_split", """
+SELECT CAST(event_id AS INTEGER) AS id, CASE WHEN event_id % 10 < 7 THEN 'train' ELSE 'test' END AS split
+FROM events
+""")
+def train_test_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = load(spark, sf_dir, "events")
+    return ev.select(F.col("event_id").cast("int").alias("id"), split_flag(F.col("event_id")).alias("split"))
+
+
+@register("preview", """
+SELECT * FROM customer ORDER BY c_custkey LIMIT 20
+""")
+def preview_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 20 rows by key (the reference's ``show()``, made testable)."""
+    return preview(load(spark, sf_dir, "customer"), "c_custkey", 20)
