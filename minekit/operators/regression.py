@@ -77,13 +77,16 @@ def _descend(gradient, d: int, iterations: int, step: float, reg: str, reg_param
              tol: float) -> tuple[np.ndarray, int]:
     w = np.zeros(d)
     t = 0
-    for t in range(1, iterations + 1):
-        s = step / math.sqrt(t)
-        new = _update(w, gradient(w), s, reg, reg_param)
-        moved = float(np.linalg.norm(new - w))
-        w = new
-        if t >= 2 and moved < tol * max(float(np.linalg.norm(w)), 1.0):
-            break
+    with np.errstate(over="ignore", invalid="ignore"):   # divergence is reported below
+        for t in range(1, iterations + 1):
+            s = step / math.sqrt(t)
+            new = _update(w, gradient(w), s, reg, reg_param)
+            moved = float(np.linalg.norm(new - w))
+            w = new
+            if t >= 2 and moved < tol * max(float(np.linalg.norm(w)), 1.0):
+                break
+            if not np.all(np.isfinite(w)):
+                break
     if not np.all(np.isfinite(w)):
         raise ArithmeticError("SGD diverged (non-finite weights): scale the features or lower the step")
     return w, t
