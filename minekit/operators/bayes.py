@@ -52,10 +52,23 @@ def _nb_features(df: DataFrame, feature_cols: list[str]) -> DataFrame:
 
 
 def fit_naive_bayes(train: DataFrame, label_col: str, feature_cols: list[str],
-                    smoothing: float = 1.0, max_classes: int = MAX_CLASSES) -> NaiveBayesFit:
-    """Fit on ``label_col`` and ``feature_cols`` (strictly numeric, >= 0)."""
+                    smoothing: float = 1.0, max_classes: int = MAX_CLASSES,
+                    labels: list[float] | None = None) -> NaiveBayesFit:
+    """Fit on ``label_col`` and ``feature_cols`` (strictly numeric, >= 0).
+
+    ``labels``: the class values when the caller already knows them; this
+    skips the distinct-label pass.  A training label outside the list fails
+    the fit.
+    """
     prepared = project_configured(train, feature_cols, id_col=None, label_col=label_col)
-    labels = LabelIndex.fit(prepared, F.col(LABEL), max_classes)
+    if labels is not None:
+        labels = LabelIndex(tuple(sorted(float(v) for v in labels)))
+        idx = labels.index(F.col(LABEL))
+        prepared = prepared.withColumn(LABEL, F.when(idx < 0, F.raise_error(
+            F.concat(F.lit("label not among the given classes: "), F.col(LABEL).cast("string"))))
+            .otherwise(F.col(LABEL)))
+    else:
+        labels = LabelIndex.fit(prepared, F.col(LABEL), max_classes)
     indexed = prepared.withColumn(LABEL, labels.index(F.col(LABEL)))
     nb = NaiveBayes(smoothing=smoothing, modelType="multinomial",
                     labelCol=LABEL, featuresCol=FEATURES)

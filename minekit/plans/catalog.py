@@ -22,7 +22,7 @@ from minekit.operators import als, bayes, cluster, fpm, regression, tree
 from minekit.functions import specs, text
 from minekit.operators.frames import preview, project_configured, split_flag
 from minekit.operators.labels import distinct_sorted
-from minekit.session import scratch_path
+from minekit.session import materialize, scratch_path
 from minekit.sources import text as text_io
 from minekit.sources.tables import load
 
@@ -82,9 +82,13 @@ sc AS (SELECT ev.*, par.y AS pred,
 best AS (SELECT * FROM sc WHERE rk = 1)"""
 
 
-def event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_types(spark: SparkSession, sf_dir: str) -> list[str]:
+    return distinct_sorted(load(spark, sf_dir, "events"), F.col("event_type"))
+
+
+def event_table(spark: SparkSession, sf_dir: str, types: list[str] | None = None) -> DataFrame:
     ev = load(spark, sf_dir, "events")
-    types = distinct_sorted(ev, F.col("event_type"))
+    types = types if types is not None else event_types(spark, sf_dir)
     label = (F.array_position(F.array(*[F.lit(t) for t in types]), F.col("event_type")) - 1)
     return ev.select(
         F.col("event_id").alias("id"),
@@ -97,8 +101,11 @@ def event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nb_fit(spark: SparkSession, sf_dir: str):
-    ev = event_table(spark, sf_dir)
-    return ev, bayes.fit_naive_bayes(ev.where(F.col("split") == "train"), "y", EVENT_FEATURES)
+    types = event_types(spark, sf_dir)
+    ev = event_table(spark, sf_dir, types)
+    # The label is the type's position, so the classes are known: 0..k-1.
+    return ev, bayes.fit_naive_bayes(ev.where(F.col("split") == "train"), "y", EVENT_FEATURES,
+                                     labels=list(range(len(types))))
 
 
 @register("nb_predict", f"""
@@ -291,7 +298,9 @@ rules AS (SELECT list_filter(ex.items, lambda x: x <> ex.cons) AS ante, ex.cons
 
 
 def _fp_model(spark, sf_dir, attr, support, confidence):
-    bk = fpm.baskets(order_baskets(spark, sf_dir, attr), "basket")
+    # FP-growth reads its input several times (count, item counts, trees):
+    # write the baskets once instead of re-running the join + group-by.
+    bk = fpm.baskets(materialize(order_baskets(spark, sf_dir, attr), "baskets"), "basket")
     return fpm.fit_fpgrowth(bk, support, confidence)
 
 
@@ -509,7 +518,8 @@ tr AS (SELECT * FROM r WHERE (u * 31 + i) % 10 < 7 AND u % 50 <> 0 AND i % 25 <>
 
 
 def _als(spark: SparkSession, sf_dir: str):
-    ratings = cust_supp_ratings(spark, sf_dir)
+    # Fit and scoring both read the ratings: aggregate them once.
+    ratings = materialize(cust_supp_ratings(spark, sf_dir), "ratings")
     train = ratings.where(als_train_flag())
     model = als.fit_als(train, rank=8, max_iter=10, reg_param=0.01, seed=7)
     return ratings, train, model

@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the operators rely on.  AQE re-plans joins and
 # coalesces shuffle output at run time; skew-join splitting keeps a hot
@@ -75,3 +75,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/minekit-{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    read it back.
+
+    Used where an iterative or multi-pass operator would otherwise
+    recompute an expensive input (a join + aggregate) on every pass.  It
+    also cuts the lineage: a lost executor re-reads the written table
+    instead of recomputing from the original scans.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
