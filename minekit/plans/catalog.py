@@ -24,7 +24,7 @@ from minekit.operators.frames import preview, project_configured, split_flag
 from minekit.operators.labels import distinct_sorted
 from minekit.session import materialize, scratch_path
 from minekit.sources import text as text_io
-from minekit.sources.tables import load
+from minekit.sources.tables import load, read_table, write_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -705,3 +705,30 @@ SELECT * FROM customer ORDER BY c_custkey LIMIT 20
 def preview_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 20 rows by key (the reference's ``show()``, made testable)."""
     return preview(load(spark, sf_dir, "customer"), "c_custkey", 20)
+
+
+# ------------------------------------------------------------ result sinks
+# The jobs' write modes on a file table in the shared folder: append twice
+# keeps both copies, overwrite keeps one.  (A JDBC sink takes the same
+# ``write_table`` call with a JDBC dict.)
+
+def _sink_twice(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    rows = load(spark, sf_dir, "customer")
+    sink = {"format": "parquet", "path": scratch_path(spark, f"sink-{mode}")}
+    write_table(rows, sink, mode)
+    write_table(rows, sink, mode)
+    return read_table(spark, sink)
+
+
+@register("sink_append_twice", """
+SELECT * FROM customer UNION ALL SELECT * FROM customer
+""")
+def sink_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sink_twice(spark, sf_dir, "append")
+
+
+@register("sink_overwrite", """
+SELECT * FROM customer
+""")
+def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sink_twice(spark, sf_dir, "overwrite")
