@@ -2,16 +2,16 @@
 
 ``spark.ml.recommendation.ALS`` with ``coldStartStrategy="drop"``: a pair
 whose user or item never appeared in training gets no row, as in the
-reference's bulk ``predict``.  Ratings are persisted for the iterations;
-ALS checkpoints its factor lineage every ``checkpoint_interval`` rounds
-into the session's shared checkpoint folder, so a lost executor costs a
-recompute from the last checkpoint, not from the scan.  The number of
-user / item blocks follows the cluster's default parallelism unless set.
+reference's bulk ``predict``.  ALS reads the ratings once into blocks it
+persists (memory and disk) for the iterations, and checkpoints its factor
+lineage every ``checkpoint_interval`` rounds into the session's shared
+checkpoint folder, so a lost executor costs a recompute from the last
+checkpoint, not from the scan.  The number of user / item blocks follows
+the cluster's default parallelism, capped at ``MAX_BLOCKS``.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from minekit.functions.casting import strict_double, strict_int
 from minekit.session import ensure_checkpoint_dir
 
 USER, ITEM, RATING = "user", "item", "rating"
+MAX_BLOCKS = 512
 
 
 def ratings_frame(df: DataFrame, user_col: str, item_col: str, rate_col: str) -> DataFrame:
@@ -38,18 +39,17 @@ def fit_als(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg_param: f
     """Fit on a ``ratings_frame``."""
     spark = ratings.sparkSession
     ensure_checkpoint_dir(spark)
-    blocks = num_blocks or max(10, spark.sparkContext.defaultParallelism)
+    # Each iteration ships factors between every user block and every item
+    # block, so the block count is kept moderate even on a huge cluster.
+    blocks = num_blocks or min(max(10, spark.sparkContext.defaultParallelism), MAX_BLOCKS)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg_param, userCol=USER, itemCol=ITEM,
               ratingCol=RATING, coldStartStrategy="drop", nonnegative=False,
               numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=checkpoint_interval,
               intermediateStorageLevel="MEMORY_AND_DISK", finalStorageLevel="MEMORY_AND_DISK")
     if seed is not None:
         als.setSeed(seed)
-    cached = ratings.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return als.fit(cached)
-    finally:
-        cached.unpersist()
+    # ALS reads its input once, into rating blocks it persists itself.
+    return als.fit(ratings)
 
 
 def predict_pairs(model: ALSModel, pairs: DataFrame, result_user: str = USER, result_item: str = ITEM,

@@ -97,6 +97,7 @@ def event_table(spark: SparkSession, sf_dir: str, types: list[str] | None = None
         F.get_json_object("props", "$.k").cast("double").alias("k"),
         F.col("value"),
         split_flag(F.col("event_id")).alias("split"),
+        F.col("event_type"),
     )
 
 
@@ -306,7 +307,8 @@ def _fp_model(spark, sf_dir, attr, support, confidence):
 
 @register("basket_tokenize", f"""
 WITH {sql_baskets('p_brand')}
-SELECT CAST(bid AS BIGINT) AS order_key, array_to_string(items, ' ') AS basket, len(items) AS n_items,
+SELECT CAST(bid AS BIGINT) AS order_key, array_to_string(items, ' ') AS basket,
+       CAST(len(items) AS INTEGER) AS n_items,
        items[1] AS first_item, items[len(items)] AS last_item
 FROM b
 """)
@@ -320,7 +322,7 @@ def basket_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("freq_itemsets", f"""
 WITH RECURSIVE {sql_baskets('p_brand')}, {sql_itemsets(0.01)}
-SELECT array_to_string(items, ' ') AS itemset, len(items) AS size, freq FROM fi
+SELECT array_to_string(items, ' ') AS itemset, CAST(len(items) AS INTEGER) AS size, freq FROM fi
 """)
 def freq_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fpm.freq_itemsets(_fp_model(spark, sf_dir, "p_brand", 0.01, 0.1))
@@ -350,7 +352,7 @@ def assoc_rules_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("freq_itemsets_types", f"""
 WITH RECURSIVE {sql_baskets('p_type')}, {sql_itemsets(0.05)}
-SELECT array_to_string(items, ' ') AS itemset, len(items) AS size, freq FROM fi
+SELECT array_to_string(items, ' ') AS itemset, CAST(len(items) AS INTEGER) AS size, freq FROM fi
 """)
 def freq_itemsets_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fpm.freq_itemsets(_fp_model(spark, sf_dir, "p_type", 0.05, 0.3))
@@ -646,13 +648,11 @@ SELECT pred AS label, hour AS feture1, k AS feture2, value AS feture3 FROM best
 def nb_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixed layout: train (id, label, hour, k, floor(value)) as ints,
     test (id, type, hour, k, value); result without id."""
-    ev = load(spark, sf_dir, "events")
     et = event_table(spark, sf_dir)
     train = et.where(F.col("split") == "train").select(
         "id", F.col("y").cast("int"), F.col("hour").cast("int"), F.col("k").cast("int"),
         F.floor("value").cast("int").alias("value"))
-    test = et.join(ev.select(F.col("event_id").alias("id"), "event_type"), "id").select(
-        "id", "event_type", "hour", "k", "value")
+    test = et.select("id", "event_type", "hour", "k", "value")
     return bayes.naive_bayes_positional(train, test)
 
 
