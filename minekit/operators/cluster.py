@@ -2,9 +2,9 @@
 
 Fitting is ``spark.ml.clustering.KMeans`` (k-means|| seeding, Lloyd
 iterations as distributed aggregates) over a persisted, assembled frame.
-Assignment to *given* centres is a column expression: squared distance to
-each of the k centres and ``least`` over (distance, index) structs, so
-ties go to the lowest index and nothing leaves codegen.
+Assignment to *given* centres is a column expression (no join, no UDF):
+squared distance to each of the k centres, nearest wins, ties go to the
+lowest index.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from minekit.functions.text import vector_literal_text
 from minekit.operators.frames import FEATURES, flat_result, project_configured
 
 MAX_CENTRES = 10_000
+UNROLL_CENTRES = 64
 
 
 def fit_kmeans(df: DataFrame, feature_cols: list[str], k: int, max_iter: int = 20,
@@ -66,14 +67,27 @@ def predict_kmeans(model: KMeansModel, df: DataFrame, feature_cols: list[str], r
 
 
 def nearest_centre(features: list[Column], centres: list[list[float]]) -> Column:
-    """Index of the nearest centre (squared Euclidean), ties to the lowest index."""
+    """Index of the nearest centre (squared Euclidean), ties to the lowest index.
+
+    Up to ``UNROLL_CENTRES`` centres the distances are unrolled into one
+    ``least`` over (distance, index) structs, which compiles into the
+    stage's generated code.  More centres go through array functions over
+    one literal centre matrix (``transform`` + ``array_min``), which stays
+    linear in k per row without an oversized generated method.
+    """
     if not centres:
         raise ValueError("no centres")
     if len(centres) > MAX_CENTRES:
-        raise ValueError(f"more than {MAX_CENTRES} centres")
+        raise ValueError(f"more than {MAX_CENTRES} centres: fit a model and use assign() instead")
     dims = {len(c) for c in centres}
     if dims != {len(features)}:
         raise ValueError("centre dimension does not match the feature count")
+    if len(centres) > UNROLL_CENTRES:
+        matrix = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centres])
+        point = F.array(*[f.cast("double") for f in features])
+        dists = F.transform(matrix, lambda c: F.aggregate(
+            F.zip_with(c, point, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v))
+        return (F.array_position(dists, F.array_min(dists)) - 1).cast("int")
     cands = []
     for idx, centre in enumerate(centres):
         dist = None

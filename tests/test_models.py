@@ -167,3 +167,17 @@ def test_rule_text_format(spark):
     model = fpm.fit_fpgrowth(fpm.baskets(df, "basket"), 0.5, 0.5)
     rules = {r["rule"]: r["confidence"] for r in fpm.rule_text(model).collect()}
     assert rules == {"[a] => [b]": 2 / 3, "[b] => [a]": 1.0}
+
+
+def test_nearest_centre_array_path_matches_unrolled(spark, monkeypatch):
+    import random
+    rnd = random.Random(3)
+    centres = [[rnd.uniform(0, 10), rnd.uniform(0, 10)] for _ in range(80)] + [[5.0, 5.0], [5.0, 5.0]]
+    df = spark.createDataFrame([(rnd.uniform(0, 10), rnd.uniform(0, 10)) for _ in range(300)] + [(5.0, 5.0)],
+                               "x double, y double")
+    feats = [F.col("x"), F.col("y")]
+    array_path = [r[0] for r in df.select(cluster.nearest_centre(feats, centres)).collect()]
+    monkeypatch.setattr(cluster, "UNROLL_CENTRES", 10_000)
+    unrolled = [r[0] for r in df.select(cluster.nearest_centre(feats, centres)).collect()]
+    assert array_path == unrolled
+    assert array_path[-1] == 80          # exact tie between 80 and 81 -> lowest
