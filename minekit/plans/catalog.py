@@ -82,6 +82,18 @@ sc AS (SELECT ev.*, par.y AS pred,
 best AS (SELECT * FROM sc WHERE rk = 1)"""
 
 
+def wall_clock_hour(df: DataFrame, name: str) -> Column:
+    """Hour of a zone-less timestamp, whatever type the reader gave it.
+
+    ``timestamp_ntz`` has no zone to apply.  A reader that maps the column
+    to a local timestamp stores the same wall clock as a UTC instant, so
+    the hour comes from epoch arithmetic, not from the session time zone.
+    """
+    if df.schema[name].dataType.simpleString() == "timestamp_ntz":
+        return F.hour(F.col(name))
+    return F.pmod(F.floor(F.unix_micros(F.col(name)) / F.lit(3_600_000_000)), F.lit(24))
+
+
 def event_types(spark: SparkSession, sf_dir: str) -> list[str]:
     return distinct_sorted(load(spark, sf_dir, "events"), F.col("event_type"))
 
@@ -93,7 +105,7 @@ def event_table(spark: SparkSession, sf_dir: str, types: list[str] | None = None
     return ev.select(
         F.col("event_id").alias("id"),
         label.cast("double").alias("y"),
-        F.hour("ts").cast("double").alias("hour"),
+        wall_clock_hour(ev, "ts").cast("double").alias("hour"),
         F.get_json_object("props", "$.k").cast("double").alias("k"),
         F.col("value"),
         split_flag(F.col("event_id")).alias("split"),

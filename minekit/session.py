@@ -90,3 +90,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def partition_settings(shuffle_bytes: float, target_partition_bytes: float = 256 * 2 ** 20) -> dict[str, str]:
+    """Settings that keep scan splits and shuffle partitions near
+    ``target_partition_bytes`` for a job shuffling about ``shuffle_bytes``.
+
+    AQE coalesces small partitions at run time, so the initial shuffle
+    partition count is sized for the largest stage; skewed partitions are
+    split by AQE's skew-join handling.
+    """
+    parts = max(200, int(shuffle_bytes // target_partition_bytes) + 1)
+    size = str(int(target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(int(target_partition_bytes) * 4),
+    }

@@ -68,3 +68,26 @@ def test_labeled_lines(spark):
     junk = spark.createDataFrame([("x,1 2 3",)], "value string")
     with pytest.raises(Exception):
         parse_labeled_lines(junk).collect()
+
+
+def test_wall_clock_hour_ignores_session_zone(spark):
+    import datetime as dt
+    from minekit.plans.catalog import wall_clock_hour
+    ntz = spark.createDataFrame([(dt.datetime(2024, 1, 1, 5, 30),)], "ts timestamp_ntz")
+    assert ntz.select(wall_clock_hour(ntz, "ts")).first()[0] == 5
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ltz = spark.sql("SELECT TIMESTAMP'2024-01-01 05:30:00' AS ts")
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert ltz.select(wall_clock_hour(ltz, "ts")).first()[0] == 5
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_partition_settings_scale_with_input():
+    from minekit.session import partition_settings
+    small = partition_settings(10 * 2 ** 30)
+    big = partition_settings(100 * 2 ** 40)
+    assert int(small["spark.sql.shuffle.partitions"]) == 200
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2 ** 40 // (256 * 2 ** 20) + 1
