@@ -19,7 +19,7 @@ from minekit.functions.text import vector_literal_text
 from minekit.operators.frames import FEATURES, flat_result, project_configured
 
 MAX_CENTRES = 10_000
-UNROLL_CENTRES = 64
+UNROLL_TERMS = 256
 
 
 def fit_kmeans(df: DataFrame, feature_cols: list[str], k: int, max_iter: int = 20,
@@ -69,11 +69,12 @@ def predict_kmeans(model: KMeansModel, df: DataFrame, feature_cols: list[str], r
 def nearest_centre(features: list[Column], centres: list[list[float]]) -> Column:
     """Index of the nearest centre (squared Euclidean), ties to the lowest index.
 
-    Up to ``UNROLL_CENTRES`` centres the distances are unrolled into one
-    ``least`` over (distance, index) structs, which compiles into the
-    stage's generated code.  More centres go through array functions over
-    one literal centre matrix (``transform`` + ``array_min``), which stays
-    linear in k per row without an oversized generated method.
+    Up to ``UNROLL_TERMS`` squared terms (k x dim) the distances are
+    unrolled into one ``least`` over (distance, index) structs, compiled
+    into the stage's generated code.  Larger problems go through array
+    functions over one literal centre matrix (``transform`` +
+    ``array_min``): linear in k x dim per row, without an oversized
+    generated method to compile.
     """
     if not centres:
         raise ValueError("no centres")
@@ -82,7 +83,7 @@ def nearest_centre(features: list[Column], centres: list[list[float]]) -> Column
     dims = {len(c) for c in centres}
     if dims != {len(features)}:
         raise ValueError("centre dimension does not match the feature count")
-    if len(centres) > UNROLL_CENTRES:
+    if len(centres) * len(features) > UNROLL_TERMS:
         matrix = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centres])
         point = F.array(*[f.cast("double") for f in features])
         dists = F.transform(matrix, lambda c: F.aggregate(

@@ -744,3 +744,43 @@ SELECT * FROM customer
 """)
 def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sink_twice(spark, sf_dir, "overwrite")
+
+
+# Given centres on 64-dimensional embeddings: the mean vector of each
+# label; every vector goes to the nearest mean (ties to the lowest label).
+
+def label_mean_vectors(emb: DataFrame) -> tuple[list, list[list[float]]]:
+    """(labels, centres): per-label mean of an array column, computed by a
+    grouped aggregate over (label, position); k x dim rows reach the driver."""
+    cap = cluster.MAX_CENTRES * 4096
+    rows = (emb.select("label", F.posexplode("embedding").alias("i", "x"))
+            .groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("c"))
+            .limit(cap + 1).collect())
+    if len(rows) > cap:
+        raise ValueError("too many centre coordinates")
+    by_label: dict = {}
+    for r in rows:
+        by_label.setdefault(r["label"], {})[r["i"]] = r["c"]
+    labels = sorted(by_label)
+    dim = max(len(v) for v in by_label.values())
+    return labels, [[by_label[lb][i] for i in range(dim)] for lb in labels]
+
+
+@register("kmeans_assign_embeddings", """
+WITH e AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+ce AS (SELECT label, i, avg(CAST(x AS DOUBLE)) AS c FROM e GROUP BY label, i),
+lb AS (SELECT label, dense_rank() OVER (ORDER BY label) - 1 AS idx FROM (SELECT DISTINCT label FROM embeddings) s),
+d AS (SELECT e.vec_id, ce.label AS cl,
+             sum((CAST(e.x AS DOUBLE) - ce.c) * (CAST(e.x AS DOUBLE) - ce.c)) AS dist
+      FROM e JOIN ce ON e.i = ce.i GROUP BY e.vec_id, ce.label),
+r AS (SELECT vec_id, cl, row_number() OVER (PARTITION BY vec_id ORDER BY dist, cl) AS rk FROM d)
+SELECT CAST(r.vec_id AS INTEGER) AS id, CAST(lb.idx AS INTEGER) AS cluster, lb.label AS centre_label
+FROM r JOIN lb ON r.cl = lb.label WHERE rk = 1
+""")
+def kmeans_assign_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb = load(spark, sf_dir, "embeddings")
+    labels, centres = label_mean_vectors(emb)
+    feats = [F.col("embedding")[i].cast("double") for i in range(len(centres[0]))]
+    idx = cluster.nearest_centre(feats, centres)
+    out = emb.select(F.col("vec_id").cast("int").alias("id"), idx.alias("cluster"))
+    return out.withColumn("centre_label", F.element_at(F.array(*[F.lit(v) for v in labels]), F.col("cluster") + 1))

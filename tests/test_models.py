@@ -176,8 +176,9 @@ def test_nearest_centre_array_path_matches_unrolled(spark, monkeypatch):
     df = spark.createDataFrame([(rnd.uniform(0, 10), rnd.uniform(0, 10)) for _ in range(300)] + [(5.0, 5.0)],
                                "x double, y double")
     feats = [F.col("x"), F.col("y")]
+    monkeypatch.setattr(cluster, "UNROLL_TERMS", 0)
     array_path = [r[0] for r in df.select(cluster.nearest_centre(feats, centres)).collect()]
-    monkeypatch.setattr(cluster, "UNROLL_CENTRES", 10_000)
+    monkeypatch.setattr(cluster, "UNROLL_TERMS", 10_000)
     unrolled = [r[0] for r in df.select(cluster.nearest_centre(feats, centres)).collect()]
     assert array_path == unrolled
     assert array_path[-1] == 80          # exact tie between 80 and 81 -> lowest
