@@ -76,6 +76,8 @@ class JobSpec:
         if v is None:
             return None
         cols = str(v).split(" ")
+        while len(cols) > 1 and cols[-1] == "":      # Java's split drops trailing empties
+            cols.pop()
         if any(c == "" for c in cols):
             raise ValueError(f"empty column name in operational_param.{key}: {v!r}")
         return cols

@@ -154,3 +154,33 @@ def test_preview_is_ordered_top_n(spark):
     rows = jobs.preview(spark, {"path": f"{SF}/customer.parquet"}, "c_custkey").collect()
     keys = [r["c_custkey"] for r in rows]
     assert len(keys) == 20 and keys == sorted(keys)
+
+
+def test_spec_column_lists_split_like_java():
+    s = JobSpec.parse({"operational_param": {"a": "x y ", "b": "x  y", "c": "7", "d": 0.5}})
+    assert s.columns("a") == ["x", "y"]
+    with pytest.raises(ValueError):
+        s.columns("b")
+    assert s.integer("c") == 7 and s.number("d") == 0.5
+
+
+def test_fixed_layout_job_and_canonical_kmeans(spark, tmp_dir):
+    ev = catalog.event_table(spark, SF)
+    ev.where("split = 'train'").select("id", F.col("y").cast("int"), F.col("hour").cast("int"),
+                                       F.col("k").cast("int"), F.floor("value").cast("int").alias("v")
+                                       ).write.parquet(f"{tmp_dir}/ptrain")
+    ev.select("id", "event_type", "hour", "k", "value").write.parquet(f"{tmp_dir}/ptest")
+    out = jobs.naive_bayes_fixed_layout(spark, {
+        "datasource": {"train_table": {"path": f"{tmp_dir}/ptrain"}, "test_table": {"path": f"{tmp_dir}/ptest"}}},
+        write=False)
+    ref = catalog.QUERIES["nb_positional"](spark, SF)
+    assert out.columns == ["label", "feture1", "feture2", "feture3"]
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, ref.collect()))
+
+    catalog.customer_points(spark, SF).write.parquet(f"{tmp_dir}/pts")
+    km = jobs.kmeans(spark, {
+        "datasource": {"train_table": {"path": f"{tmp_dir}/pts"}},
+        "operational_param": {"train_feture_col": "f1 f2", "result_label_col": "c", "result_feture_col": "f1 f2",
+                              "clusterNum": 3, "iterateNum": 20, "seed": 5, "canonical_ids": "true"}}, write=False)
+    want = catalog.QUERIES["kmeans_fit_predict"](spark, SF)
+    assert sorted((r["id"], r["c"]) for r in km.collect()) == sorted((r["id"], r["label"]) for r in want.collect())

@@ -182,3 +182,31 @@ def test_nearest_centre_array_path_matches_unrolled(spark, monkeypatch):
     unrolled = [r[0] for r in df.select(cluster.nearest_centre(feats, centres)).collect()]
     assert array_path == unrolled
     assert array_path[-1] == 80          # exact tie between 80 and 81 -> lowest
+
+
+def test_tree_predictions_match_mllib(spark):
+    from pyspark.mllib.regression import LabeledPoint
+    from pyspark.mllib.tree import DecisionTree
+
+    ev = catalog.event_table(spark, SF)
+    fit = tree.fit_decision_tree(ev, "y", catalog.EVENT_FEATURES, max_depth=4, max_bins=32)
+    ours = {r["id"]: r["label"] for r in tree.predict_decision_tree(fit, ev, catalog.EVENT_FEATURES).collect()}
+    rows = ev.select("id", "y", *catalog.EVENT_FEATURES).collect()
+    pts = spark.sparkContext.parallelize([LabeledPoint(r["y"], [r["hour"], r["k"], r["value"]]) for r in rows], 4)
+    ref = DecisionTree.trainClassifier(pts, numClasses=5, categoricalFeaturesInfo={}, impurity="gini",
+                                       maxDepth=4, maxBins=32)
+    theirs = ref.predict(spark.sparkContext.parallelize([[r["hour"], r["k"], r["value"]] for r in rows], 4)).collect()
+    assert [ours[r["id"]] for r in rows] == theirs
+
+
+def test_als_key_set_matches_mllib(spark):
+    from pyspark.mllib.recommendation import ALS as MLlibALS
+
+    from minekit.operators import als
+    ratings = catalog.cust_supp_ratings(spark, SF)
+    train = ratings.where(catalog.als_train_flag())
+    model = als.fit_als(train, rank=4, max_iter=3, seed=7)
+    ours = {(r[0], r[1]) for r in als.predict_pairs(model, ratings).collect()}
+    ref = MLlibALS.train(train.rdd.map(lambda r: (r[0], r[1], r[2])), rank=4, iterations=3, lambda_=0.01, seed=7)
+    theirs = {(r.user, r.product) for r in ref.predictAll(ratings.rdd.map(lambda r: (r[0], r[1]))).collect()}
+    assert ours == theirs
