@@ -82,7 +82,3 @@ def rates_and_preds(model: ALSModel, ratings: DataFrame) -> DataFrame:
     scored = model.transform(ratings.select(USER, ITEM, RATING))
     return scored.select(USER, ITEM, RATING, F.col("prediction").cast("double").alias("prediction"))
 
-
-def rmse(rates_preds: DataFrame) -> DataFrame:
-    diff = F.col("prediction") - F.col(RATING)
-    return rates_preds.agg(F.sqrt(F.avg(diff * diff)).alias("rmse"), F.count(F.lit(1)).alias("n"))

@@ -9,9 +9,9 @@ training frame is persisted because the tree reads it once per level.
 DataFrame job.  Candidate thresholds follow Spark's rule: midpoints of
 adjacent distinct values when a feature has at most ``max_bins`` of them,
 otherwise ``max_bins - 1`` approximate quantiles.  Rows are binned against
-those thresholds and counted per (feature, bin, label), so every later
-step (cumulative window per feature, gain per candidate) works on at most
-features x max_bins x classes rows, whatever the table size.
+those thresholds and counted per (feature, bin) with one count per class,
+so the cumulative windows and the gain per candidate work on at most
+features x max_bins rows, whatever the table size.
 """
 
 from __future__ import annotations
@@ -20,12 +20,12 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from minekit.functions.casting import assemble
 from minekit.operators.frames import FEATURES, LABEL, flat_result, project_configured
-from minekit.operators.labels import MAX_CLASSES, LabelIndex
+from minekit.operators.labels import MAX_CLASSES, LabelIndex, distinct_sorted
 
 
 @dataclass
@@ -104,13 +104,26 @@ def _thresholds(long: DataFrame, n_features: int, max_bins: int) -> dict[int, li
     return out
 
 
-def best_split(train: DataFrame, label_col: str, feature_cols: list[str], max_bins: int = 32) -> DataFrame:
+def _add(cols: list[Column]) -> Column:
+    out = cols[0]
+    for c in cols[1:]:
+        out = out + c
+    return out
+
+
+def _gini(counts: list[Column], n: Column) -> Column:
+    return 1 - _add([c * c for c in counts]) / (n * n)
+
+
+def best_split(train: DataFrame, label_col: str, feature_cols: list[str], max_bins: int = 32,
+               max_classes: int = MAX_CLASSES) -> DataFrame:
     """Best gini split of the whole table: ``feature_idx, feature, threshold, gain``.
 
     Ties go to the lowest feature index, then the lowest threshold.  Left
     is ``x <= threshold``.  Returns no row when no split has positive gain.
     """
     prepared = project_configured(train, feature_cols, id_col=None, label_col=label_col)
+    labels = distinct_sorted(prepared, F.col(LABEL), max_classes)
     long = prepared.select(LABEL, F.explode(F.array(*[
         F.struct(F.lit(j).alias("f"), F.col(c).alias("v")) for j, c in enumerate(feature_cols)])).alias("p")
     ).select(LABEL, "p.f", "p.v")
@@ -119,34 +132,25 @@ def best_split(train: DataFrame, label_col: str, feature_cols: list[str], max_bi
                              (F.lit(j), F.array(*[F.lit(t) for t in thr[j]]).cast("array<double>"))])
     cand = F.element_at(thr_map, F.col("f"))
     # bin = number of thresholds below v, so "v <= thr[b]" <=> "bin <= b".
-    binned = (long.withColumn("bin", F.size(F.filter(cand, lambda t: t < F.col("v"))))
-              .groupBy("f", "bin", LABEL).agg(F.count(F.lit(1)).alias("cnt")))
-    per_label = Window.partitionBy("f", LABEL)
-    cum = (binned
-           .withColumn("left", F.sum("cnt").over(per_label.orderBy("bin")
-                                                 .rowsBetween(Window.unboundedPreceding, 0)))
-           .withColumn("total", F.sum("cnt").over(per_label)))
-    # Every label needs a left count at every bin; carry the last one forward.
-    labels_ = cum.select("f", LABEL, "total").distinct()
-    bins_ = cum.select("f", "bin").distinct()
-    grid = bins_.join(labels_, "f")           # features x bins x classes: bounded
-    full = (grid.join(cum.select("f", "bin", LABEL, "left"), ["f", "bin", LABEL], "left")
-            .withColumn("left", F.coalesce(
-                F.last("left", ignorenulls=True).over(
-                    Window.partitionBy("f", LABEL).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)),
-                F.lit(0))))
-    right = F.col("total") - F.col("left")
-    per_bin = full.groupBy("f", "bin").agg(
-        F.sum("left").alias("nl"), F.sum(right).alias("nr"),
-        F.sum(F.col("left") * F.col("left")).alias("sl"), F.sum(right * right).alias("sr"),
-        F.sum(F.col("total")).alias("n"), F.sum(F.col("total") * F.col("total")).alias("st"))
-    nl, nr, n = F.col("nl").cast("double"), F.col("nr").cast("double"), F.col("n").cast("double")
-    gini_parent = 1 - F.col("st") / (n * n)
-    gini_left = 1 - F.col("sl") / (nl * nl)
-    gini_right = 1 - F.col("sr") / (nr * nr)
-    gain = gini_parent - nl / n * gini_left - nr / n * gini_right
+    # One row per (feature, bin) with a count per class: at most
+    # features x max_bins rows leave the map side.
+    counts = (long.withColumn("bin", F.size(F.filter(cand, lambda t: t < F.col("v"))))
+              .groupBy("f", "bin")
+              .agg(*[F.count(F.when(F.col(LABEL) == v, 1)).alias(f"c{i}") for i, v in enumerate(labels)]))
+    upto = Window.partitionBy("f").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("f")
+    k = len(labels)
+    cols = [F.sum(f"c{i}").over(upto).alias(f"l{i}") for i in range(k)]
+    cols += [F.sum(f"c{i}").over(whole).alias(f"t{i}") for i in range(k)]
+    cum = counts.select("f", "bin", *cols)
+    left = [F.col(f"l{i}").cast("double") for i in range(k)]
+    right = [F.col(f"t{i}").cast("double") - F.col(f"l{i}") for i in range(k)]
+    total = [F.col(f"t{i}").cast("double") for i in range(k)]
+
+    nl, nr, n = _add(left), _add(right), _add(total)
+    gain = _gini(total, n) - nl / n * _gini(left, nl) - nr / n * _gini(right, nr)
     names = F.element_at(F.array(*[F.lit(c) for c in feature_cols]), F.col("f") + 1)
-    splits = (per_bin.where((F.col("nl") > 0) & (F.col("nr") > 0) & (F.col("bin") < F.size(cand)))
+    splits = (cum.where((nl > 0) & (nr > 0) & (F.col("bin") < F.size(cand)))
               .select(F.col("f").alias("feature_idx"), names.alias("feature"),
                       F.element_at(cand, F.col("bin") + 1).alias("threshold"), gain.alias("gain"))
               .where(F.col("gain") > 0))

@@ -558,7 +558,8 @@ WHERE u IN (SELECT u FROM tr) AND i IN (SELECT i FROM tr)
 """)
 def als_scorable_pairs_semijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same key set without fitting: two left-semi joins."""
-    ratings = cust_supp_ratings(spark, sf_dir)
+    # The pair table is read three times (pairs, users, items): write it once.
+    ratings = materialize(cust_supp_ratings(spark, sf_dir), "ratings")
     keys = als.scorable_pairs(ratings.where(als_train_flag()), ratings)
     return keys.select(F.col(als.USER).alias("user_id"), F.col(als.ITEM).alias("item_id"))
 
