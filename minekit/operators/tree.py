@@ -154,4 +154,6 @@ def best_split(train: DataFrame, label_col: str, feature_cols: list[str], max_bi
               .select(F.col("f").alias("feature_idx"), names.alias("feature"),
                       F.element_at(cand, F.col("bin") + 1).alias("threshold"), gain.alias("gain"))
               .where(F.col("gain") > 0))
-    return splits.orderBy(F.col("gain").desc(), "feature_idx", "threshold").limit(1)
+    # Equal gains can differ in the last bits by summation order; rank on
+    # 12 decimals so true ties fall to the lowest feature and threshold.
+    return splits.orderBy(F.round("gain", 12).desc(), "feature_idx", "threshold").limit(1)

@@ -498,7 +498,7 @@ gn AS (SELECT f, t, (1 - st / (n * n)) - nl / n * (1 - sl / (nl * nl)) - nr / n
        FROM agg WHERE nl > 0 AND nr > 0)
 SELECT f AS feature_idx, CASE f WHEN 0 THEN 'f1' ELSE 'f2' END AS feature, t AS threshold,
        round(gain, 6) AS gain
-FROM gn WHERE gain > 0 ORDER BY gain DESC, f, t LIMIT 1
+FROM gn WHERE gain > 0 ORDER BY round(gain, 12) DESC, f, t LIMIT 1
 """)
 def dtree_best_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best gini root split over all orders (exact: <= max_bins values per feature)."""
