@@ -400,7 +400,7 @@ def kmeans_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Given centres: the mean (value, k) of each event type, in type order;
 # every event goes to the nearest one (ties to the lowest index).
 
-def event_centres(spark: SparkSession, ev: DataFrame) -> list[list[float]]:
+def event_centres(ev: DataFrame) -> list[list[float]]:
     rows = (ev.groupBy("event_type").agg(F.avg("value").alias("cv"), F.avg("k").alias("ck"))
             .orderBy("event_type").limit(cluster.MAX_CENTRES + 1).collect())
     if len(rows) > cluster.MAX_CENTRES:
@@ -422,7 +422,7 @@ asg AS (SELECT ev.event_id, ev.value, ev.k, ce.idx,
 def _event_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = load(spark, sf_dir, "events").select(
         "event_id", "event_type", "value", F.get_json_object("props", "$.k").cast("double").alias("k"))
-    centres = event_centres(spark, ev)
+    centres = event_centres(ev)
     return ev.select("event_id", "value", "k",
                      cluster.nearest_centre([F.col("value"), F.col("k")], centres).alias("cluster"))
 

@@ -9,9 +9,11 @@ A *source* or *sink* is a dict, as it appears in a job spec:
 ``{"format": "jdbc", "url": ..., "tablename": ..., "account": ..., "password": ...}``
     a JDBC table.  Instead of ``url`` the reference's keys
     ``database_address``, ``port``, ``database`` build an Oracle thin URL
-    (``"dialect": "mysql"`` builds a MySQL one).  ``partition_column``,
-    ``lower_bound``, ``upper_bound``, ``num_partitions`` turn on Spark's
-    parallel range read; ``fetchsize`` / ``batchsize`` pass through.
+    (``"dialect": "mysql"`` builds a MySQL one).  ``partition_column``
+    turns on Spark's parallel range read (bounds are looked up with one
+    MIN/MAX query unless ``lower_bound`` / ``upper_bound`` are given;
+    ``num_partitions`` defaults to the default parallelism);
+    ``fetchsize`` / ``batchsize`` pass through.
 
 Column pruning and filters reach all three: parquet shows them as
 ``ReadSchema`` / ``PushedFilters``, JDBC puts them into its SELECT.
@@ -54,11 +56,14 @@ def jdbc_options(src: dict) -> dict[str, str]:
     if src.get("partition_column"):
         for key in ("lower_bound", "upper_bound", "num_partitions"):
             if key not in src:
-                raise ValueError(f"partitioned JDBC read needs {key}")
+                raise ValueError(f"partitioned JDBC read needs {key} (read_table finds the bounds itself)")
         opts.update({"partitionColumn": src["partition_column"],
                      "lowerBound": str(src["lower_bound"]),
                      "upperBound": str(src["upper_bound"]),
                      "numPartitions": str(src["num_partitions"])})
+    elif "num_partitions" in src:
+        # On a sink this caps concurrent connections: Spark coalesces to it.
+        opts["numPartitions"] = str(src["num_partitions"])
     for key in ("fetchsize", "batchsize", "isolationLevel", "createTableColumnTypes"):
         if key in src:
             opts[key] = str(src[key])
@@ -77,12 +82,38 @@ def source_format(src: dict) -> str:
     raise ValueError("source needs one of format / table / path / tablename")
 
 
+def bounds_query(table: str, column: str) -> str:
+    """Subquery that returns the range of a numeric partition column."""
+    return f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}) minekit_bounds"
+
+
+def with_jdbc_bounds(spark: SparkSession, src: dict) -> dict:
+    """Fill in ``lower_bound`` / ``upper_bound`` / ``num_partitions`` for a
+    partitioned JDBC read that names only ``partition_column``.
+
+    One aggregate query runs in the database (one row back); the partition
+    count defaults to the cluster's default parallelism.
+    """
+    if not src.get("partition_column") or all(k in src for k in ("lower_bound", "upper_bound")):
+        out = dict(src)
+    else:
+        probe = {k: v for k, v in src.items() if k not in ("partition_column", "num_partitions")}
+        probe["tablename"] = bounds_query(src["tablename"], src["partition_column"])
+        row = spark.read.format("jdbc").options(**jdbc_options(probe)).load().first()
+        if row is None or row["lo"] is None:
+            return {k: v for k, v in src.items() if k != "partition_column"}   # empty table
+        out = dict(src, lower_bound=row["lo"], upper_bound=row["hi"])
+    if out.get("partition_column"):
+        out.setdefault("num_partitions", spark.sparkContext.defaultParallelism)
+    return out
+
+
 def read_table(spark: SparkSession, src: dict) -> DataFrame:
     fmt = source_format(src)
     if fmt == "table":
         return spark.table(src["table"])
     if fmt == "jdbc":
-        return spark.read.format("jdbc").options(**jdbc_options(src)).load()
+        return spark.read.format("jdbc").options(**jdbc_options(with_jdbc_bounds(spark, src))).load()
     if fmt == "text":
         return spark.read.text(src["path"])
     return spark.read.format(fmt).load(src["path"])

@@ -184,3 +184,19 @@ def test_fixed_layout_job_and_canonical_kmeans(spark, tmp_dir):
                               "clusterNum": 3, "iterateNum": 20, "seed": 5, "canonical_ids": "true"}}, write=False)
     want = catalog.QUERIES["kmeans_fit_predict"](spark, SF)
     assert sorted((r["id"], r["c"]) for r in km.collect()) == sorted((r["id"], r["label"]) for r in want.collect())
+
+
+def test_jdbc_bounds_given_or_defaulted(spark):
+    from minekit.sources.tables import bounds_query, with_jdbc_bounds
+    src = {"url": "jdbc:x", "tablename": "t", "partition_column": "id", "lower_bound": 1, "upper_bound": 9}
+    out = with_jdbc_bounds(spark, src)
+    assert out["num_partitions"] == spark.sparkContext.defaultParallelism
+    assert jdbc_options(out)["lowerBound"] == "1"
+    assert bounds_query("t", "id") == "(SELECT MIN(id) AS lo, MAX(id) AS hi FROM t) minekit_bounds"
+    plain = {"url": "jdbc:x", "tablename": "t"}
+    assert with_jdbc_bounds(spark, plain) == plain
+
+
+def test_jdbc_sink_caps_connections():
+    opts = jdbc_options({"url": "jdbc:x", "tablename": "r", "num_partitions": 16})
+    assert opts["numPartitions"] == "16" and "partitionColumn" not in opts
