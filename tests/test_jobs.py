@@ -200,3 +200,11 @@ def test_jdbc_bounds_given_or_defaulted(spark):
 def test_jdbc_sink_caps_connections():
     opts = jdbc_options({"url": "jdbc:x", "tablename": "r", "num_partitions": 16})
     assert opts["numPartitions"] == "16" and "partitionColumn" not in opts
+
+
+def test_cli_runs_a_job_from_base64(spark, tmp_dir):
+    from minekit import cli
+    n = _tables(spark, tmp_dir)
+    assert cli.main(["naive_bayes", encode(_nb_spec(tmp_dir))], spark=spark) == 0
+    assert spark.read.parquet(f"{tmp_dir}/result").count() == n
+    assert cli.main(["no_such_job", "{}"], spark=spark) == 2
