@@ -3,7 +3,6 @@
 from decimal import Decimal
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from minekit.functions.casting import strict_double, strict_int

@@ -208,3 +208,18 @@ def test_cli_runs_a_job_from_base64(spark, tmp_dir):
     assert cli.main(["naive_bayes", encode(_nb_spec(tmp_dir))], spark=spark) == 0
     assert spark.read.parquet(f"{tmp_dir}/result").count() == n
     assert cli.main(["no_such_job", "{}"], spark=spark) == 2
+
+
+def test_cli_text_jobs_and_catalogue_source(spark, tmp_dir):
+    from minekit import cli
+    spark.createDataFrame([("1 1 1",), ("1.2 1",), ("9 9 9",)], "value string").write.text(f"{tmp_dir}/vec")
+    assert cli.main(["kmeans_text", f"{tmp_dir}/vec", f"{tmp_dir}/km", "2", "5"], spark=spark) == 0
+    assert spark.read.text(f"{tmp_dir}/km").count() == 3
+    assert cli.main(["preview", f"{SF}/customer.parquet", "c_custkey"], spark=spark) == 0
+
+    catalog.customer_points(spark, SF).createOrReplaceTempView("minekit_pts")
+    out = jobs.kmeans(spark, {"datasource": {"train_table": {"table": "minekit_pts"}},
+                              "operational_param": {"train_feture_col": "f1 f2", "result_label_col": "c",
+                                                    "result_feture_col": "f1 f2", "clusterNum": 3,
+                                                    "iterateNum": 10, "seed": 1}}, write=False)
+    assert out.count() == 150

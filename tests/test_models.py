@@ -101,8 +101,6 @@ def test_best_split_brute_force(spark):
     df = spark.createDataFrame(rows, "a double, b double, y double")
     best = tree.best_split(df, "y", ["a", "b"]).first()
     # brute force over midpoints
-    import itertools
-
     def gini(ys):
         n = len(ys)
         return 1 - sum((ys.count(c) / n) ** 2 for c in set(ys)) if n else 0
@@ -119,7 +117,6 @@ def test_best_split_brute_force(spark):
             cands.append((-round(g, 12), j, t))
     _, j, t = min(cands)
     assert (best["feature_idx"], best["threshold"]) == (j, t)
-    del itertools
 
 
 def test_best_split_high_cardinality_is_bounded(spark):
