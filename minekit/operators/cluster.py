@@ -19,6 +19,7 @@ from minekit.functions.text import vector_literal_text
 from minekit.operators.frames import FEATURES, flat_result, project_configured
 
 MAX_CENTRES = 10_000
+MAX_CENTRE_VALUES = 1_000_000      # k x dim numbers collected for given centres
 UNROLL_TERMS = 256
 
 
@@ -81,6 +82,8 @@ def nearest_centre(features: list[Column], centres: list[list[float]]) -> Column
     if len(centres) > MAX_CENTRES:
         raise ValueError(f"more than {MAX_CENTRES} centres: fit a model and use assign() instead")
     dims = {len(c) for c in centres}
+    if len(centres) * len(features) > MAX_CENTRE_VALUES:
+        raise ValueError(f"more than {MAX_CENTRE_VALUES} centre coordinates")
     if dims != {len(features)}:
         raise ValueError("centre dimension does not match the feature count")
     if len(centres) * len(features) > UNROLL_TERMS:

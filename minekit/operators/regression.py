@@ -8,8 +8,8 @@ gradient is ``A w - b``, so one distributed aggregate (n, the d x d sums
 of x_i x_j and the d sums of x_i y, map-side partial sums, one row back)
 replaces a pass over the data per iteration; the recurrence then runs on
 the d x d matrix.  Beyond ``GRAM_MAX_FEATURES`` features the d^2 sums
-get too wide for one aggregate, and the same recurrence runs with one
-distributed gradient aggregate per iteration over a persisted frame.
+get too large to ship to the driver, and the same recurrence runs with
+one distributed gradient aggregate per iteration over a persisted frame.
 Both give the same weights.
 """
 
@@ -19,13 +19,17 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from minekit.operators.frames import LABEL, flat_result, project_configured
 
-GRAM_MAX_FEATURES = 200
+SQL_GRAM_MAX_FEATURES = 16     # sum expressions in one SQL aggregate up to here
+GRAM_MAX_FEATURES = 1000       # d(d+1)/2 + d sums: about 4 MB back to the driver at the limit
 
 
 @dataclass
@@ -43,7 +47,19 @@ class SgdFit:
 
 
 def gram(df: DataFrame, label: str, features: list[str]) -> GramStats:
-    """n, X'X and X'y in one aggregate; only d^2 + d + 1 numbers come back."""
+    """n, X'X and X'y in one pass; only d(d+1)/2 + d + 1 numbers come back.
+
+    Up to ``SQL_GRAM_MAX_FEATURES`` features this is one SQL aggregate of
+    sum expressions (map-side partial sums, codegen).  A Gram matrix costs
+    d^2 per row, which per-row expressions cannot do fast for wider d, so
+    wider inputs go through ``_gram_blocks``.
+    """
+    if len(features) <= SQL_GRAM_MAX_FEATURES:
+        return _gram_sql(df, label, features)
+    return _gram_blocks(df, label, features)
+
+
+def _gram_sql(df: DataFrame, label: str, features: list[str]) -> GramStats:
     d = len(features)
     x = [F.col(c) for c in features]
     y = F.col(label)
@@ -62,6 +78,34 @@ def gram(df: DataFrame, label: str, features: list[str]) -> GramStats:
     return GramStats(n, xx, xy)
 
 
+def _gram_blocks(df: DataFrame, label: str, features: list[str]) -> GramStats:
+    """Gram matrix for wide inputs: each Arrow batch (about 10k rows) of a
+    task computes its partial ``[X y]' [X y]`` with one BLAS matrix product;
+    Spark then sums the per-batch upper triangles with ``Summarizer``
+    (partial sums per task, tree-combined), so no batch and no row reaches
+    the driver, only the final sum."""
+    d = len(features)
+    cols = list(features) + [label]
+    upper = np.triu_indices(d + 1)
+
+    def partial(batches):
+        for pdf in batches:
+            m = pdf[cols].to_numpy(dtype=float)
+            g = m.T @ m
+            yield pd.DataFrame({"n": [len(m)], "g": [g[upper]]})
+
+    parts = df.select(*cols).mapInPandas(partial, "n long, g array<double>")
+    row = (parts.select("n", array_to_vector("g").alias("g"))
+           .agg(F.sum("n").alias("n"), Summarizer.sum(F.col("g")).alias("g")).first())
+    n = int(row["n"] or 0)
+    if n == 0:
+        raise ValueError("empty training table")
+    full = np.zeros((d + 1, d + 1))
+    full[upper] = row["g"].toArray()
+    full = full + np.triu(full, 1).T
+    return GramStats(n, full[:d, :d].copy(), full[:d, d].copy())
+
+
 def _update(w: np.ndarray, g: np.ndarray, s: float, reg: str, reg_param: float) -> np.ndarray:
     if reg == "none":
         return w - s * g

@@ -753,7 +753,7 @@ def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 def label_mean_vectors(emb: DataFrame) -> tuple[list, list[list[float]]]:
     """(labels, centres): per-label mean of an array column, computed by a
     grouped aggregate over (label, position); k x dim rows reach the driver."""
-    cap = cluster.MAX_CENTRES * 4096
+    cap = cluster.MAX_CENTRE_VALUES
     rows = (emb.select("label", F.posexplode("embedding").alias("i", "x"))
             .groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("c"))
             .limit(cap + 1).collect())

@@ -207,3 +207,19 @@ def test_als_key_set_matches_mllib(spark):
     ref = MLlibALS.train(train.rdd.map(lambda r: (r[0], r[1], r[2])), rank=4, iterations=3, lambda_=0.01, seed=7)
     theirs = {(r.user, r.product) for r in ref.predictAll(ratings.rdd.map(lambda r: (r[0], r[1]))).collect()}
     assert ours == theirs
+
+
+def test_gram_blocks_equal_sql_sums(spark, monkeypatch):
+    data = catalog.lineitem_regression(spark, SF)
+    sql = regression.gram(data, "y", ["x1", "x2"])
+    monkeypatch.setattr(regression, "SQL_GRAM_MAX_FEATURES", 0)
+    blocks = regression.gram(data, "y", ["x1", "x2"])
+    assert blocks.n == sql.n
+    assert np.allclose(blocks.xx, sql.xx, rtol=1e-12) and np.allclose(blocks.xy, sql.xy, rtol=1e-12)
+    wide = spark.range(3000).select(*[((F.col("id") * (i + 3)) % 17 / 17.0).alias(f"x{i}") for i in range(24)],
+                                    ((F.col("id") % 11) / 11.0).alias("y"))
+    cols = [f"x{i}" for i in range(24)]
+    g = regression.gram(wide, "y", cols)
+    pdf = wide.toPandas()
+    x = pdf[cols].to_numpy()
+    assert np.allclose(g.xx, x.T @ x, rtol=1e-12) and np.allclose(g.xy, x.T @ pdf["y"].to_numpy(), rtol=1e-12)
