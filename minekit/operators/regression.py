@@ -52,7 +52,9 @@ def gram(df: DataFrame, label: str, features: list[str]) -> GramStats:
     Up to ``SQL_GRAM_MAX_FEATURES`` features this is one SQL aggregate of
     sum expressions (map-side partial sums, codegen).  A Gram matrix costs
     d^2 per row, which per-row expressions cannot do fast for wider d, so
-    wider inputs go through ``_gram_blocks``.
+    wider inputs go through ``_gram_blocks``.  Beyond ``GRAM_MAX_FEATURES``
+    ``fit_sgd`` does not build the matrix and runs ``_gradient`` per
+    iteration instead.
     """
     if len(features) <= SQL_GRAM_MAX_FEATURES:
         return _gram_sql(df, label, features)
@@ -147,19 +149,34 @@ def fit_sgd(train: DataFrame, label_col: str, feature_cols: list[str], iteration
         a, b = st.xx / st.n, st.xy / st.n
         w, t = _descend(lambda w: a @ w - b, d, iterations, step, reg, reg_param, tol)
         return SgdFit(w, t, list(feature_cols))
-    cached = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = prepared.select(LABEL, *feature_cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        def gradient(w: np.ndarray) -> np.ndarray:
-            resid = _dot(w, feature_cols) - F.col(LABEL)
-            row = cached.agg(F.count(F.lit(1)).alias("n"),
-                             *[F.sum(resid * F.col(c)).alias(f"g{i}") for i, c in enumerate(feature_cols)]).first()
-            return np.array([row[f"g{i}"] for i in range(d)], dtype=float) / row["n"]
-        w, t = _descend(gradient, d, iterations, step, reg, reg_param, tol)
+        w, t = _descend(lambda w: _gradient(cached, LABEL, feature_cols, w), d, iterations, step,
+                        reg, reg_param, tol)
     finally:
         cached.unpersist()
     return SgdFit(w, t, list(feature_cols))
 
 
+def _gradient(df: DataFrame, label: str, features: list[str], w: np.ndarray) -> np.ndarray:
+    """Full-batch gradient ``X'(Xw - y) / n``: per Arrow batch in numpy,
+    batches summed by ``Summarizer``; only d numbers come back."""
+    cols = list(features) + [label]
+    d = len(features)
+    weights = np.asarray(w, dtype=float)
+
+    def partial(batches):
+        for pdf in batches:
+            m = pdf[cols].to_numpy(dtype=float)
+            x, y = m[:, :d], m[:, d]
+            yield pd.DataFrame({"n": [len(m)], "g": [x.T @ (x @ weights - y)]})
+
+    row = (df.select(*cols).mapInPandas(partial, "n long, g array<double>")
+           .select("n", array_to_vector("g").alias("g"))
+           .agg(F.sum("n").alias("n"), Summarizer.sum(F.col("g")).alias("g")).first())
+    return row["g"].toArray() / row["n"]
+
+
 def _dot(w: np.ndarray, cols: list[str]) -> Column:
     terms = [F.lit(float(wi)) * F.col(c) for wi, c in zip(w, cols)]
     total = terms[0]
