@@ -6,6 +6,9 @@ import pytest
 import __spark_entry__ as entry
 SF_SMALL = "/root/testdata/sf0.001"
 
+DUCK_TO_SPARK = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string",
+                 "TIMESTAMP": "timestamp_ntz", "DATE": "date", "BOOLEAN": "boolean", "FLOAT": "float"}
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -31,6 +34,9 @@ def test_query_matches_oracle(spark, con, name):
     cols = [d[0] for d in res.description]
     want = res.fetchall()
     assert sorted(df.columns) == sorted(cols)
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    duck_types = {d[0]: DUCK_TO_SPARK.get(str(d[1]), str(d[1])) for d in res.description}
+    assert spark_types == duck_types
     assert len(got) == len(want)
     assert _rows(df.columns, got) == _rows(cols, want)
 
