@@ -16,6 +16,7 @@ features x max_bins rows, whatever the table size.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -35,8 +36,10 @@ class TreeFit:
     feature_cols: list[str]
 
     def debug_string(self) -> str:
-        """Readable rules (class indices; ``labels.values`` maps them back)."""
-        return self.model.toDebugString
+        """Readable rules, with leaf predictions shown as the original labels."""
+        def label(m: re.Match) -> str:
+            return f"Predict: {self.labels.values[int(float(m.group(1)))]}"
+        return re.sub(r"Predict: ([0-9.]+)", label, self.model.toDebugString)
 
 
 def fit_decision_tree(train: DataFrame, label_col: str, feature_cols: list[str], max_depth: int = 5,

@@ -1,5 +1,7 @@
 """Model operators: label handling, planted answers, parity with pyspark.mllib."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -223,3 +225,10 @@ def test_gram_blocks_equal_sql_sums(spark, monkeypatch):
     pdf = wide.toPandas()
     x = pdf[cols].to_numpy()
     assert np.allclose(g.xx, x.T @ x, rtol=1e-12) and np.allclose(g.xy, x.T @ pdf["y"].to_numpy(), rtol=1e-12)
+
+
+def test_tree_debug_string_shows_original_labels(spark):
+    df = _labelled(spark, (5, 7))
+    text = tree.fit_decision_tree(df, "y", ["a", "b"], max_depth=2).debug_string()
+    preds = set(re.findall(r"Predict: ([0-9.]+)", text))
+    assert preds and preds <= {"5.0", "7.0"}
