@@ -223,3 +223,13 @@ def test_cli_text_jobs_and_catalogue_source(spark, tmp_dir):
                                                     "result_feture_col": "f1 f2", "clusterNum": 3,
                                                     "iterateNum": 10, "seed": 1}}, write=False)
     assert out.count() == 150
+
+
+def test_jdbc_urls_for_both_dialects():
+    base = {"database_address": "h", "port": 3306, "database": "d", "tablename": "t"}
+    mysql = jdbc_options({**base, "dialect": "mysql"})
+    assert mysql["url"].startswith("jdbc:mysql://h:3306/d?") and mysql["driver"] == "com.mysql.cj.jdbc.Driver"
+    oracle = jdbc_options(base)
+    assert oracle["url"] == "jdbc:oracle:thin:@h:3306:d" and oracle["driver"] == "oracle.jdbc.driver.OracleDriver"
+    given = jdbc_options({"url": "jdbc:postgresql://h/d", "tablename": "t", "driver": "org.postgresql.Driver"})
+    assert given["url"] == "jdbc:postgresql://h/d" and given["driver"] == "org.postgresql.Driver"
