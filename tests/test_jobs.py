@@ -233,3 +233,19 @@ def test_jdbc_urls_for_both_dialects():
     assert oracle["url"] == "jdbc:oracle:thin:@h:3306:d" and oracle["driver"] == "oracle.jdbc.driver.OracleDriver"
     given = jdbc_options({"url": "jdbc:postgresql://h/d", "tablename": "t", "driver": "org.postgresql.Driver"})
     assert given["url"] == "jdbc:postgresql://h/d" and given["driver"] == "org.postgresql.Driver"
+
+
+def test_reference_shaped_spec_resolves_to_jdbc():
+    from minekit.sources.tables import source_format
+    table = {"database_address": "db.example", "port": "1521", "database": "orcl", "tablename": "TRAIN",
+             "account": "u", "password": "p"}
+    spec = JobSpec.parse(encode({"datasource": {"train_table": table, "test_table": dict(table, tablename="TEST")},
+                                 "output": {"result_table": dict(table, tablename="RESULT")},
+                                 "operational_param": {"train_label_col": "label", "train_feture_col": "a b c",
+                                                       "test_feture_col": "a b c", "result_label_col": "label",
+                                                       "result_feture_col": "a b c"}}))
+    for t in (spec.train_table, spec.test_table, spec.result_table):
+        assert source_format(t) == "jdbc"
+    opts = jdbc_options(spec.result_table)
+    assert opts["url"] == "jdbc:oracle:thin:@db.example:1521:orcl" and opts["dbtable"] == "RESULT"
+    assert opts["driver"] == "oracle.jdbc.driver.OracleDriver" and opts["user"] == "u"
