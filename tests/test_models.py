@@ -232,3 +232,20 @@ def test_tree_debug_string_shows_original_labels(spark):
     text = tree.fit_decision_tree(df, "y", ["a", "b"], max_depth=2).debug_string()
     preds = set(re.findall(r"Predict: ([0-9.]+)", text))
     assert preds and preds <= {"5.0", "7.0"}
+
+
+def test_naive_bayes_expression_scoring_equals_spark_ml(spark, monkeypatch):
+    ev = catalog.event_table(spark, SF)
+    fit = bayes.fit_naive_bayes(ev.where("split = 'train'"), "y", catalog.EVENT_FEATURES)
+    expr = {r["id"]: r["label"] for r in bayes.predict_naive_bayes(fit, ev, catalog.EVENT_FEATURES).collect()}
+    monkeypatch.setattr(bayes, "UNROLL_TERMS", 0)
+    ml = {r["id"]: r["label"] for r in bayes.predict_naive_bayes(fit, ev, catalog.EVENT_FEATURES).collect()}
+    assert expr == ml and len(expr) == ev.count()
+
+
+def test_naive_bayes_scoring_rejects_negative_feature(spark):
+    df = spark.createDataFrame([(1, 1.0, 2.0), (2, 0.0, 3.0)], "id int, y double, a double")
+    fit = bayes.fit_naive_bayes(df, "y", ["a"])
+    bad = spark.createDataFrame([(3, -1.0)], "id int, a double")
+    with pytest.raises(Exception):
+        bayes.predict_naive_bayes(fit, bad, ["a"]).collect()
