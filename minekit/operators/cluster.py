@@ -36,12 +36,22 @@ def fit_kmeans(df: DataFrame, feature_cols: list[str], k: int, max_iter: int = 2
         cached.unpersist()
 
 
-def assign(model: KMeansModel, df: DataFrame, feature_cols: list[str], id_col: str | None = "id") -> DataFrame:
-    """Strict features + ``cluster`` (int index of the model's centre)."""
-    prepared = assemble(project_configured(df, feature_cols, id_col=id_col), feature_cols, FEATURES)
+def assign(model: KMeansModel, df: DataFrame, feature_cols: list[str], id_col: str | None = "id",
+           use_expressions: bool = True) -> DataFrame:
+    """Strict features + ``cluster`` (int index of the model's centre).
+
+    The model's k centres are applied with ``nearest_centre`` (column
+    expressions, no vector per row); ``use_expressions=False`` uses the
+    ``spark.ml`` transform instead.  Both take the nearest centre, ties to
+    the lowest index.
+    """
+    prepared = project_configured(df, feature_cols, id_col=id_col)
+    if use_expressions:
+        centres = [[float(v) for v in c] for c in model.clusterCenters()]
+        return prepared.withColumn("cluster", nearest_centre([F.col(c) for c in feature_cols], centres))
     m = model.copy()
     m.setFeaturesCol(FEATURES).setPredictionCol("cluster")
-    return m.transform(prepared).drop(FEATURES)
+    return m.transform(assemble(prepared, feature_cols, FEATURES)).drop(FEATURES)
 
 
 def canonical_ids(assigned: DataFrame, cluster_col: str, key_col: str, k: int) -> DataFrame:

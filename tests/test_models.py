@@ -249,3 +249,11 @@ def test_naive_bayes_scoring_rejects_negative_feature(spark):
     bad = spark.createDataFrame([(3, -1.0)], "id int, a double")
     with pytest.raises(Exception):
         bayes.predict_naive_bayes(fit, bad, ["a"]).collect()
+
+
+def test_kmeans_expression_assignment_equals_spark_ml(spark):
+    ev = catalog.event_table(spark, SF)
+    model = cluster.fit_kmeans(ev, ["hour", "k", "value"], k=4, max_iter=10, seed=3)
+    a = {r["id"]: r["cluster"] for r in cluster.assign(model, ev, ["hour", "k", "value"]).collect()}
+    b = {r["id"]: r["cluster"] for r in cluster.assign(model, ev, ["hour", "k", "value"], use_expressions=False).collect()}
+    assert a == b and len(a) == ev.count()
