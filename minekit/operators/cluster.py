@@ -2,9 +2,9 @@
 
 Fitting is ``spark.ml.clustering.KMeans`` (k-means|| seeding, Lloyd
 iterations as distributed aggregates) over a persisted, assembled frame.
-Assignment to *given* centres is a column expression (no join, no UDF):
-squared distance to each of the k centres, nearest wins, ties go to the
-lowest index.
+Assignment, to a fitted model's centres or to given ones, is a column
+expression (no join, no UDF, no vector per row): squared distance to each
+of the k centres, nearest wins, ties go to the lowest index.
 """
 
 from __future__ import annotations
