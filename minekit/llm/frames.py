@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -15,10 +16,12 @@ STEP_BYTES = 4 << 20
 
 
 def steps(values: pa.Array, step_bytes: int = STEP_BYTES) -> Iterator[pa.Array]:
-    """Slices of ``values`` (string or binary) of about ``step_bytes`` each."""
+    """Slices of ``values`` (strings or lists) of about ``step_bytes`` each
+    (an element of a list counts as one byte); rows hold at least one byte."""
     if len(values) == 0:
         return
-    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(values), 0).cast(pa.int64())).to_numpy(zero_copy_only=False)
+    lengths = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
+    ends = np.cumsum(pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
     at = 0
     while at < len(values):
         base = ends[at - 1] if at else 0

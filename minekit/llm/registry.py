@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minekit.llm import chat, url_rules
+from minekit.llm import bpe, chat, langid, licenses, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(modulus: int, rest: int):
+    """Whether crc32 of doc_id as text leaves ``rest``; a null id is never held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == rest, F.lit(False))
+
+
+# ---- 1: byte-level BPE -----------------------------------------------------
+
+@query()
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "ids").drop("text")
+    return bpe.decode(encoded, "ids", "decoded").select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 # ---- 2: URL rules ----------------------------------------------------------
 
 #: The rules that the query judges by (fixed values): verdict, host, path.
@@ -84,3 +100,29 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                             ""), 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+# ---- 6: licence scan -------------------------------------------------------
+
+@query()
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"), "text").drop("text")
+
+    def joined(matches):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["label"]))), ",")
+
+    base = F.filter("matches", lambda m: m["base"])
+    places = F.transform(base, lambda m: m["first"])
+    return scanned.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+                          F.array_min(places).alias("first_word"), F.array_max(places).alias("last_word"),
+                          joined(base).alias("base_labels"), joined(F.col("matches")).alias("labels"), "score")
+
+
+# ---- 7: language identification --------------------------------------------
+
+@query()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit_languages(docs.filter(~held_out(3, 1)))
+    return langid.identify_languages(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score")
