@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minekit.llm import bpe, chat, langid, licenses, url_rules
+from minekit.llm import bpe, chat, langid, licenses, quality, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -126,3 +126,19 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit_languages(docs.filter(~held_out(3, 1)))
     return langid.identify_languages(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score")
+
+
+# ---- 8: quality ------------------------------------------------------------
+
+#: Documents scored below this are predicted to be of low quality.
+KEEP_SCORE = 0.7
+
+
+@query()
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality.fit_quality(docs, labels.filter(~held_out(4, 2)))
+    return quality.score_quality(docs, model).select(
+        "doc_id", held_out(4, 2).alias("held_out"), "score",
+        (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"))
