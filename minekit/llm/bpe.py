@@ -21,7 +21,7 @@ import base64
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import public_tokenizers
@@ -34,7 +34,7 @@ from minekit.llm.frames import append_columns
 from minekit.llm.spans import mix, span_hashes
 
 #: Entries of a worker's table of known pre-tokens.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 300_000
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -88,7 +88,6 @@ class PerfectHash:
 
 class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN):
-        self.ranks = ranks
         self.split = regex.compile(pattern).findall
         tokens = list(ranks)
         keys = _hashes(tokens)
@@ -96,42 +95,42 @@ class Encoder:
         order = np.argsort(self.table.slots(keys))
         self.token_of = [tokens[i] for i in order]
         self.id_of = [ranks[t] for t in self.token_of]
-        self.bytes_of: dict[int, bytes] = {r: t for t, r in ranks.items()}
+        # ids of adjacent tokens -> id of what they merge to, which is also the merge's rank
+        self.merges = {ranks[t[:i]] << 32 | ranks[t[i:]]: r for t, r in ranks.items()
+                       for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
+        self.byte_id = [ranks[bytes([b])] for b in range(256)]
         self.memo: dict[str, tuple[int, ...]] = {}
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
         """BPE of one pre-token: a heap of merges over linked bytes."""
-        rank, n = self.ranks.get, len(piece)
-        after, ahead = list(range(1, n + 2)), list(range(-1, n))
-        pair = [rank(piece[i:i + 2], -1) for i in range(n - 1)] + [-1]
-        heap = [(r << 32) | i for i, r in enumerate(pair) if r >= 0]
+        rank, n = self.merges.get, len(piece)
+        ids = [self.byte_id[b] for b in piece]
+        after, ahead = list(range(1, n + 1)), list(range(-1, n))
+        pair = [rank(a << 32 | b, -1) for a, b in pairwise(ids)]
+        pair.append(-1)
+        heap = [r << 32 | i for i, r in enumerate(pair) if r >= 0]
         heapify(heap)
         while heap:
             top = heappop(heap)
-            i = top & 0xFFFFFFFF
-            if pair[i] != top >> 32:
+            i, r = top & 0xFFFFFFFF, top >> 32
+            if pair[i] != r:
                 continue                                    # merged away or superseded
             j = after[i]
-            k = after[i] = after[j]
-            pair[j] = -1
-            if k < n:
-                ahead[k] = i
-                r = pair[i] = rank(piece[i:after[k]], -1)
-                if r >= 0:
-                    heappush(heap, (r << 32) | i)
+            ids[i], ids[j], pair[j] = r, -1, -1
+            j = after[i] = after[j]
+            if j < n:
+                ahead[j] = i
+                s = pair[i] = rank(r << 32 | ids[j], -1)
+                if s >= 0:
+                    heappush(heap, s << 32 | i)
             else:
                 pair[i] = -1
             if i:
-                h = ahead[i]
-                r = pair[h] = rank(piece[h:k], -1)
-                if r >= 0:
-                    heappush(heap, (r << 32) | h)
-        out, i = [], 0
-        while i < n:
-            j = after[i]
-            out.append(self.ranks[piece[i:j]])
-            i = j
-        return tuple(out)
+                i = ahead[i]
+                s = pair[i] = rank(ids[i] << 32 | r, -1)
+                if s >= 0:
+                    heappush(heap, s << 32 | i)
+        return tuple([x for x in ids if x >= 0])
 
     def learn(self, words: Iterable[str]) -> dict[str, tuple[int, ...]]:
         """Ids of pre-tokens: the vocabulary's by perfect hash, the others merged."""
@@ -168,6 +167,11 @@ def encoder(path: str) -> Encoder:
     return Encoder(load_ranks(path))
 
 
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> dict[int, bytes]:
+    return {r: t for t, r in load_ranks(path).items()}
+
+
 def _lists(rows: list[list[int]]) -> pa.Array:
     ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
     values = np.fromiter(chain.from_iterable(rows), dtype=np.int32, count=int(ends[-1]))
@@ -195,7 +199,7 @@ def decode(df: DataFrame, column: str = "ids", decoded: str = "decoded",
     path = path or public_tokenizers.path(VOCABULARY)
 
     def make() -> Callable[[pa.Array], list[pa.Array]]:
-        token = encoder(path).bytes_of.__getitem__
+        token = token_bytes(path).__getitem__
 
         def work(rows: pa.Array) -> list[pa.Array]:
             parts = list(map(token, rows.values.to_pylist()))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minekit.llm import bpe, chat, langid, licenses, quality, url_rules
+from minekit.llm import bpe, chat, jaccard, langid, licenses, quality, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -142,3 +142,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, model).select(
         "doc_id", held_out(4, 2).alias("held_out"), "score",
         (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"))
+
+
+# ---- 9: n-gram Jaccard join ------------------------------------------------
+
+@query()
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.similar_documents(docs).select(
+        F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
