@@ -6,8 +6,8 @@ is itself a token: hash, slot, compare the bytes.  Any other pre-token starts
 as single bytes in a linked list, and a heap of (rank, place) yields the next
 merge until no adjacent pair is in the vocabulary.
 
-A worker remembers the pre-tokens it has met in a table that is emptied before
-it would pass ``MEMO_WORDS`` entries (or one step's words); it only saves
+A worker remembers the pre-tokens it has met, and their ids, in a table that is
+emptied at the step after it passes ``MEMO_WORDS`` entries; it only saves
 repeating a lookup.
 
 Defined cases: a null text is encoded like an empty one, to no ids; special
@@ -18,7 +18,8 @@ no bytes; existing columns named like the output are replaced, others kept.
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable, Iterable
+from array import array
+from collections.abc import Callable
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain, pairwise
@@ -26,11 +27,12 @@ from itertools import chain, pairwise
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
 from minekit.llm.frames import append_columns
+from minekit.llm.pretokens import split
 from minekit.llm.spans import mix, span_hashes
 
 #: Entries of a worker's table of known pre-tokens.
@@ -86,9 +88,51 @@ class PerfectHash:
         return out
 
 
-class Encoder:
-    def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN):
-        self.split = regex.compile(pattern).findall
+class _Memo(dict):
+    """Pre-token -> row of the pool of ids; an unknown one gets the next row and waits in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+        self.ids, self.ends = array("i"), array("i", [0])
+
+    def __missing__(self, word: str) -> int:
+        row = self[word] = len(self)
+        self.new.append(word)
+        return row
+
+    def pool(self) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.array(self.ends, np.int32)), pa.array(np.array(self.ids, np.int32)))
+
+
+class PretokenEncoder:
+    """Encodes texts pre-token by pre-token; ``learn`` says what an unknown one becomes."""
+
+    def __init__(self):
+        self.memo = _Memo()
+
+    def learn(self, words: list[str], memo: _Memo) -> None:
+        raise NotImplementedError
+
+    def encode_batch(self, texts: list[str]) -> pa.ListArray:
+        """The ids of every text."""
+        if len(self.memo) > MEMO_WORDS:
+            self.memo = _Memo()
+        memo = self.memo
+        joined, at, hashes, of = split(texts)
+        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        words = [joined[a:b] for a, b in zip(at[first].tolist(), at[first + 1].tolist(), strict=True)]
+        rows = np.fromiter(map(memo.__getitem__, words), dtype=np.int32, count=len(words))
+        if memo.new:
+            self.learn(memo.new, memo)
+            memo.new = []
+        ids = memo.pool().take(pa.array(rows[which]))
+        return pa.ListArray.from_arrays(ids.offsets.take(pa.array(of)), ids.values)
+
+
+class Encoder(PretokenEncoder):
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__()
         tokens = list(ranks)
         keys = _hashes(tokens)
         self.table = PerfectHash(keys)
@@ -99,9 +143,8 @@ class Encoder:
         self.merges = {ranks[t[:i]] << 32 | ranks[t[i:]]: r for t, r in ranks.items()
                        for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
         self.byte_id = [ranks[bytes([b])] for b in range(256)]
-        self.memo: dict[str, tuple[int, ...]] = {}
 
-    def merge(self, piece: bytes) -> tuple[int, ...]:
+    def merge(self, piece: bytes) -> list[int]:
         """BPE of one pre-token: a heap of merges over linked bytes."""
         rank, n = self.merges.get, len(piece)
         ids = [self.byte_id[b] for b in piece]
@@ -130,31 +173,19 @@ class Encoder:
                 s = pair[i] = rank(ids[i] << 32 | r, -1)
                 if s >= 0:
                     heappush(heap, s << 32 | i)
-        return tuple([x for x in ids if x >= 0])
+        return [x for x in ids if x >= 0]
 
-    def learn(self, words: Iterable[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of pre-tokens: the vocabulary's by perfect hash, the others merged."""
-        words = list(words)
+    def learn(self, words: list[str], memo: _Memo) -> None:
+        """Appends the ids of ``words``: the vocabulary's by perfect hash, the others merged."""
         raw = [w.encode() for w in words]
-        found = {}
-        slots = self.table.slots(_hashes(raw)).tolist() if raw else []
-        for word, piece, slot in zip(words, raw, slots, strict=True):
-            if slot >= 0 and self.token_of[slot] == piece:
-                found[word] = (self.id_of[slot],)
+        slots = self.table.slots(_hashes(raw)).tolist()
+        ids, ends, token_of, id_of, merge = memo.ids, memo.ends, self.token_of, self.id_of, self.merge
+        for piece, slot in zip(raw, slots, strict=True):
+            if slot >= 0 and token_of[slot] == piece:
+                ids.append(id_of[slot])
             else:
-                found[word] = self.merge(piece)
-        return found
-
-    def encode_batch(self, texts: list[str]) -> list[list[int]]:
-        split = [self.split(t) for t in texts]
-        memo = self.memo
-        new = set(chain.from_iterable(split)).difference(memo)
-        if len(memo) + len(new) > MEMO_WORDS:
-            memo.clear()
-            new = set(chain.from_iterable(split))
-        memo.update(self.learn(new))
-        return [list(chain.from_iterable(map(memo.__getitem__, words))) for words in split]
-
+                ids.extend(merge(piece))
+            ends.append(len(ids))
 
 def load_ranks(path: str) -> dict[bytes, int]:
     """``{token bytes: rank}`` of a rank file (base64 token, rank per line)."""
@@ -167,19 +198,31 @@ def encoder(path: str) -> Encoder:
     return Encoder(load_ranks(path))
 
 
-@lru_cache(maxsize=2)
-def token_bytes(path: str) -> dict[int, bytes]:
-    return {r: t for t, r in load_ranks(path).items()}
+def token_bytes(path: str) -> pa.BinaryArray:
+    """The bytes of every id."""
+    by_id = {r: t for t, r in load_ranks(path).items()}
+    return pa.array([by_id.get(i) for i in range(max(by_id, default=-1) + 1)], type=pa.binary())
+
+
+def _decoder(path: str) -> Callable[[pa.ListArray], pa.Array]:
+    tokens = token_bytes(path)
 
+    def work(rows: pa.ListArray) -> pa.Array:
+        at = rows.offsets
+        # the tokens' bytes lie one after the other; a row's end is its last token's
+        parts = tokens.take(rows.values.slice(at[0].as_py(), at[-1].as_py() - at[0].as_py()))
+        ends = pc.subtract(at, at[0]).to_numpy()
+        size = np.zeros(len(at), np.int32)
+        if len(parts):
+            size = np.frombuffer(parts.buffers()[1], np.int32)[parts.offset:parts.offset + len(parts) + 1][ends]
+        return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(size), parts.buffers()[2]])
+    return work
 
-def _lists(rows: list[list[int]]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-    values = np.fromiter(chain.from_iterable(rows), dtype=np.int32, count=int(ends[-1]))
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
+_IDS = ArrayType(IntegerType(), True)
 
-def encode(df: DataFrame, column: str = "text", ids: str = "ids",
-           path: str | None = None) -> DataFrame:
+
+def encode(df: DataFrame, column: str = "text", ids: str = "ids", path: str | None = None) -> DataFrame:
     """``df`` with the token ids of ``column`` as ``array<int>``.
 
     ``path`` is a rank file that every worker can open (it comes with the
@@ -188,23 +231,33 @@ def encode(df: DataFrame, column: str = "text", ids: str = "ids",
 
     def make() -> Callable[[pa.Array], list[pa.Array]]:
         enc = encoder(path)
-        return lambda texts: [_lists(enc.encode_batch([t or "" for t in texts.to_pylist()]))]
+        return lambda texts: [enc.encode_batch([t or "" for t in texts.to_pylist()])]
 
-    return append_columns(df, column, [(ids, ArrayType(IntegerType(), True))], make)
+    return append_columns(df, column, [(ids, _IDS)], make)
 
 
-def decode(df: DataFrame, column: str = "ids", decoded: str = "decoded",
-           path: str | None = None) -> DataFrame:
+def decode(df: DataFrame, column: str = "ids", decoded: str = "decoded", path: str | None = None) -> DataFrame:
     """``df`` with the bytes that the ids in ``column`` stand for."""
     path = path or public_tokenizers.path(VOCABULARY)
 
     def make() -> Callable[[pa.Array], list[pa.Array]]:
-        token = token_bytes(path).__getitem__
-
-        def work(rows: pa.Array) -> list[pa.Array]:
-            parts = list(map(token, rows.values.to_pylist()))
-            ends = rows.offsets.to_pylist()
-            return [pa.array([b"".join(parts[a:b]) for a, b in zip(ends, ends[1:])], type=pa.binary())]
-        return work
+        work = _decoder(path)
+        return lambda rows: [work(rows)]
 
     return append_columns(df, column, [(decoded, BinaryType())], make)
+
+
+def round_trip(df: DataFrame, column: str = "text", ids: str = "ids", decoded: str = "decoded",
+               path: str | None = None) -> DataFrame:
+    """``encode`` and, from its ids, ``decode`` in one pass."""
+    path = path or public_tokenizers.path(VOCABULARY)
+
+    def make() -> Callable[[pa.Array], list[pa.Array]]:
+        enc, work = encoder(path), _decoder(path)
+
+        def both(texts: pa.Array) -> list[pa.Array]:
+            rows = enc.encode_batch([t or "" for t in texts.to_pylist()])
+            return [rows, work(rows)]
+        return both
+
+    return append_columns(df, column, [(ids, _IDS), (decoded, BinaryType())], make)

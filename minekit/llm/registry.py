@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minekit.llm import bpe, chat, jaccard, langid, licenses, quality, url_rules
+from minekit.llm import bpe, chat, embed_dedup, jaccard, langid, licenses, packing, quality, topk, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,8 +35,8 @@ def held_out(modulus: int, rest: int):
 
 @query()
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "ids").drop("text")
-    return bpe.decode(encoded, "ids", "decoded").select(
+    both = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), "text").drop("text")
+    return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -68,6 +68,27 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+# ---- 3: embedding near-duplicates ------------------------------------------
+
+@query("""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda e: e IS NOT NULL AND isfinite(e)))
+        AND list_bool_or(list_transform(embedding, lambda e: e <> 0))),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+      ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.9),
+r(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)
+""")
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
+                        (F.col("id") == F.col("component")).alias("kept"))
+
+
 # ---- 4: chat formatting ----------------------------------------------------
 
 _ESCAPED = r"""regexp_replace({}, '(\\*(?:<s>|</s>|\[INST\]|\[/INST\]|\[TURN\]))', '\\\1', 'g')"""
@@ -102,6 +123,14 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+# ---- 5: packing --------------------------------------------------------------
+
+@query()
+def op5_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pieces_of(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("ids")
+    return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 # ---- 6: licence scan -------------------------------------------------------
 
 @query()
@@ -151,3 +180,19 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.similar_documents(docs).select(
         F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+# ---- 10: exact top-k search ------------------------------------------------
+
+@query("""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x FROM embeddings
+           WHERE embedding IS NOT NULL
+                 AND list_bool_and(list_transform(embedding, lambda e: e IS NOT NULL AND isfinite(e)))),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x::DOUBLE[], c.x::DOUBLE[])::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x)),
+k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 5
+""")
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")

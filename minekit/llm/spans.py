@@ -35,7 +35,7 @@ _CACHE: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(n).bit_length())
+    size = 1 << max(16, (int(n) - 1).bit_length())
     if size not in _CACHE:
         _CACHE.clear()
         _CACHE[size] = (_powers(_P, size), _powers(_P_INV, size))
