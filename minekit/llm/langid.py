@@ -169,16 +169,17 @@ def _with_rows(texts: pa.Array):
         at += len(part)
 
 
-def identify_languages(df: DataFrame, model: LanguageModel | None, column: str = "text") -> DataFrame:
-    """``df`` with ``lang_pred`` and ``score``."""
+def identify_languages(df: DataFrame, model: LanguageModel | None, column: str = "text",
+                       prediction: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``df`` with the ``prediction`` and its ``score`` (0 to 1)."""
     def make() -> Callable[[pa.Array], list[pa.Array]]:
         def work(texts: pa.Array) -> list[pa.Array]:
             if model is None:
                 return [pa.array([UNKNOWN] * len(texts), pa.string()), pa.array(np.zeros(len(texts)))]
-            best, score = model.predict(texts)
+            best, value = model.predict(texts)
             known = pc.match_substring_regex(texts.fill_null(""), r"\p{L}").to_numpy(zero_copy_only=False)
             return [pa.array([b if k else UNKNOWN for b, k in zip(best, known, strict=True)], pa.string()),
-                    pa.array(np.where(known, score, 0.0))]
+                    pa.array(np.where(known, value, 0.0))]
         return work
 
-    return append_columns(df, column, [("lang_pred", StringType()), ("score", DoubleType())], make)
+    return append_columns(df, column, [(prediction, StringType()), (score, DoubleType())], make)
