@@ -13,8 +13,8 @@ that are similar enough share a token among the first few of both.
     it meets most often, and the links found partition similar documents into
     groups, however large, without comparing all members.
 3.  Groups are cut into blocks of about ``BLOCK`` classes.  A class is set
-    against a block of another group only where a shared token's place and the
-    set sizes leave room for enough overlap.  The block's row of the matrix is
+    against a block of another group only where the places and the number of
+    shared tokens and the set sizes leave room for enough overlap.  The block's row of the matrix is
     the union of its members' tokens: it bounds the overlap of the class with
     any member, and only blocks that pass are opened and compared one by one.
 
@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from minekit.llm.components import components
@@ -66,7 +66,7 @@ def shingle_sets(texts: pa.Array, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
     n = np.diff(of)
     total = np.zeros(max(0, len(word) - k + 1), dtype=np.uint64)
     for i in range(k):
-        total += word[i:len(word) - k + 1 + i] * np.uint64(_FACTORS[i])
+        total += word[i:i + len(total)] * np.uint64(_FACTORS[i])
     total = mix(total)
     parts, sizes = [], np.zeros(len(n) + 1, dtype=np.int64)
     for i, (a, m) in enumerate(zip(of[:-1].tolist(), n.tolist(), strict=True)):
@@ -189,25 +189,29 @@ def _postings(docs: DataFrame, frequent: _Frequent, k: int, num: int, den: int)
 
 
 def _token_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(set, n, tokens) of the classes in ``wanted`` (id of one document, set)."""
+    """(group, part, asks, set, tokens) for every place in ``wanted``: (id of a
+    document, its set, places: array of (group, part, asks))."""
     small = wanted.count() <= BROADCAST_IDS
-    rows = docs.join(F.broadcast(wanted) if small else wanted, "id").select("text", "set")
+    rows = docs.join(F.broadcast(wanted) if small else wanted, "id").select("text", "set", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
             for texts in steps(batch.column(0)):
                 tokens, of = shingle_sets(texts, k)
-                keys = set_keys(tokens, of)
-                mine = keys == batch.column(1).slice(at, len(texts)).to_numpy()
+                raw, out = tokens.astype("<u8").tobytes(), []
+                want = batch.column(1).slice(at, len(texts)).to_pylist()
+                places = batch.column(2).slice(at, len(texts)).to_pylist()
                 at += len(texts)
-                raw = tokens.astype("<u8").tobytes()
-                data = [raw[8 * a:8 * b] for a, b, m in zip(of[:-1], of[1:], mine) if m]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[mine]), pa.array(np.diff(of)[mine].astype(np.int32)), pa.array(data, pa.binary())],
-                    names=["set", "n", "tokens"])
+                for key, w, to, a, b in zip(set_keys(tokens, of).tolist(), want, places, of[:-1], of[1:], strict=True):
+                    if key == w:                             # else another text under a repeated id
+                        out += [(p["group"], p["part"], p["asks"], key, raw[8 * a:8 * b]) for p in to]
+                if out:
+                    cols = zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary()))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in cols],
+                                                     names=["group", "part", "asks", "set", "tokens"])
 
-    return rows.mapInArrow(run, "set long, n int, tokens binary")
+    return rows.mapInArrow(run, "group long, part int, asks boolean, set long, tokens binary")
 
 
 def _tokens(data: bytes) -> np.ndarray:
@@ -228,36 +232,39 @@ def _linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * common >= num * (len(a) + len(b) - common)
 
 
-def _verify(pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """The linked pairs (a, b) of rows (a, b, tokens_a, tokens_b)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = [_linked(_tokens(x.as_buffer()), _tokens(y.as_buffer()), num, den)
-                  for x, y in zip(batch.column(2), batch.column(3), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    return pairs.select("a", "b", "tokens_a", "tokens_b").mapInArrow(run, "a long, b long")
+def _open_groups(docs: DataFrame, places: DataFrame, ids: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Links (a, b) of every class that asks with the members of its group's part.
 
+    ``places`` are rows (set, group, part, asks); a part is a bounded number of
+    members, and its row of the matrix is the union of their tokens."""
+    wanted = places.groupBy("set").agg(F.collect_set(F.struct("group", "part", "asks")).alias("places")).join(ids, "set")
 
-def _open_blocks(queries: DataFrame, members: DataFrame, num: int, den: int) -> DataFrame:
-    """Links of ``queries`` (comp, block, set, tokens) with the ``members`` of their blocks."""
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
         links = []
-        inside = [(s, _tokens(t)) for s, t in zip(right["set"], right.tokens, strict=True)]
-        if inside and len(left):
-            row = np.unique(np.concatenate([t for _, t in inside]))      # the block's row of the matrix
-            for s, data in zip(left["set"], left.tokens, strict=True):
-                mine = _tokens(data)
-                if den * _overlap(mine, row) < num * len(mine):
-                    continue                                             # no member can overlap enough
-                links += [(s, other) for other, theirs in inside
-                          if num * len(mine) <= den * len(theirs) and num * len(theirs) <= den * len(mine)
-                          and _linked(mine, theirs, num, den)]
+        inside = {s: _tokens(t) for s, t, asks in zip(rows["set"], rows.tokens, rows.asks, strict=True) if not asks}
+        asking = {s: _tokens(t) for s, t, asks in zip(rows["set"], rows.tokens, rows.asks, strict=True) if asks}
+        if inside and asking:
+            row = np.unique(np.concatenate(list(inside.values())))
+            for s, mine in asking.items():
+                if den * _overlap(mine, row) >= num * len(mine):             # else no member can overlap enough
+                    links += [(s, other) for other, theirs in inside.items()
+                              if num * len(mine) <= den * len(theirs) and num * len(theirs) <= den * len(mine)
+                              and _linked(mine, theirs, num, den)]
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    members = members.select(*[F.col(c).alias(c) for c in members.columns])     # own column ids: both sides read one table
-    return (queries.groupBy("comp", "block").cogroup(members.groupBy("comp", "block"))
-            .applyInPandas(run, "a long, b long"))
+    return _token_sets(docs, wanted.select("id", "set", "places"), k).groupBy("group", "part").applyInPandas(
+        run, "a long, b long")
+
+
+def _least_shared(n: Column, m: Column, num: int, den: int) -> Column:
+    """The least number of shared prefix tokens that linked sets of sizes ``n`` and ``m`` have.
+
+    What follows the prefix of the set whose prefix ends first can add at most
+    its own length to the overlap that is needed."""
+    def rest(size: Column) -> Column:
+        return F.ceil(size * num / den) - 1
+
+    return F.ceil((n + m) * num / (num + den)) - F.greatest(rest(n), rest(m))
 
 
 def similar_documents(docs: DataFrame, column: str = "text", key: str = "doc_id", k: int = 5,
@@ -265,7 +272,6 @@ def similar_documents(docs: DataFrame, column: str = "text", key: str = "doc_id"
     """``id, n_shingles, component`` per row: documents whose sets of ``k``-word
     shingles have Jaccard similarity of at least ``num / den`` are linked, and
     ``component`` is the smallest id reachable by links."""
-    spark: SparkSession = docs.sparkSession
     docs = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{column}`").alias("text"))
     sets, often = _survey(docs, k)
     table = often.orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas()
@@ -276,45 +282,57 @@ def similar_documents(docs: DataFrame, column: str = "text", key: str = "doc_id"
               .withColumn("pivot", F.min("set").over(by_token)).withColumn("top", F.max("set").over(by_token))
               .filter(F.col("pivot") != F.col("top")).drop("top"))
     posted = materialize(posted, "postings")                             # tokens of at least two classes
+    sizes = materialize(posted.select("set", "n").distinct(), "nodes")
+    ids = materialize(sets.filter(F.col("id").isNotNull() & (F.col("n") > 0)).groupBy("set").agg(
+        F.min("id").alias("id")), "ids")
 
-    # one pivot per class: that of most of its tokens
-    meets = posted.filter(F.col("set") != F.col("pivot")).groupBy("set", "pivot").agg(
+    # one pivot per class: that of most of its tokens, if those are enough
+    meets = posted.filter(F.col("set") != F.col("pivot")).groupBy("set", "n", "pivot").agg(
         F.countDistinct("token").alias("c"))
-    pivots = meets.groupBy("set").agg(F.max(F.struct("c", "pivot"))["pivot"].alias("pivot"))
-    nodes = posted.select("set").distinct()
-    one = sets.filter(F.col("id").isNotNull() & (F.col("n") > 0)).groupBy("set").agg(F.min("id").alias("id"))
-    full = materialize(_token_sets(docs, nodes.join(one, "set").select("id", "set"), k), "sets")
-    pairs = (pivots.join(full.select("set", F.col("tokens").alias("tokens_a")), "set")
-             .join(full.select(F.col("set").alias("pivot"), F.col("tokens").alias("tokens_b")), "pivot")
-             .select(F.col("set").alias("a"), F.col("pivot").alias("b"), "tokens_a", "tokens_b"))
-    near = materialize(_verify(pairs, num, den), "links")
+    pivots = meets.groupBy("set", "n").agg(F.max(F.struct("c", "pivot")).alias("p")).select("set", "n", "p.pivot", "p.c")
+    pivots = pivots.join(sizes.select(F.col("set").alias("pivot"), F.col("n").alias("m")), "pivot").filter(
+        F.col("c") >= _least_shared(F.col("n"), F.col("m"), num, den))
+    parts = pivots.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+    places = (pivots.join(parts, "pivot").select(
+        "set", F.col("pivot").alias("group"), F.pmod(F.xxhash64("set"), F.col("parts")).cast("int").alias("part"),
+        F.lit(True).alias("asks"))
+        .unionByName(parts.select(F.col("pivot").alias("set"), F.col("pivot").alias("group"), F.explode(
+            F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("asks"))))
+    near = materialize(_open_groups(docs, places, ids, k, num, den), "links")
 
     # groups so far, in blocks
-    comp = components(near)
-    group = nodes.join(comp.withColumnRenamed("node", "set"), "set", "left").withColumn(
-        "comp", F.coalesce("component", "set")).select("set", "comp")
+    comp = components(near).withColumnRenamed("node", "set")
+    group = sizes.select("set").join(comp, "set", "left").select(
+        "set", F.coalesce("component", "set").alias("comp"))
     blocks = group.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     group = materialize(group.join(blocks, "comp").select(
         "set", "comp", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int").alias("block")), "groups")
-    cross = (posted.drop("pivot").distinct().join(group, "set")
+    small = group.count() <= BROADCAST_IDS
+    cross = (posted.drop("pivot").join(F.broadcast(group) if small else group, "set")
              .withColumn("lo", F.min("comp").over(by_token)).withColumn("hi", F.max("comp").over(by_token))
              .filter(F.col("lo") != F.col("hi")).drop("lo", "hi"))
-    cross = materialize(cross, "cross")
     matrix = cross.groupBy("token", "comp", "block").agg(
         F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max(F.col("n") - F.col("pos")).alias("room"))
-    q = cross.select("token", "set", F.col("comp").alias("own"), F.col("n"), (F.col("n") - F.col("pos")).alias("left"))
-    least = F.greatest(F.col("n_min"), F.ceil(F.col("n") * num / den))    # smallest size a partner may have
-    opens = q.join(matrix, "token").filter(
-        (F.col("own") < F.col("comp")) & (F.col("n_max") * den >= F.col("n") * num)
-        & (F.col("n") * den >= F.col("n_min") * num)
-        & (F.least("left", "room") * (num + den) >= (F.col("n") + least) * num))
-    opens = opens.select("set", "comp", "block").distinct()
-    more = _open_blocks(opens.join(full.select("set", "tokens"), "set"),
-                        group.join(opens.select("comp", "block").distinct(), ["comp", "block"], "left_semi")
-                        .join(full.select("set", "tokens"), "set"), num, den)
+    q = cross.select("token", "set", F.col("comp").alias("own"), "n", (F.col("n") - F.col("pos")).alias("left"))
+    # sizes that a partner in the block may have
+    low = F.greatest(F.col("n_min"), F.ceil(F.col("n") * num / den))
+    high = F.least(F.col("n_max"), F.floor(F.col("n") * den / num))
+    # the first shared token leaves the most room; every shared token counts
+    fits = F.least("left", "room") * (num + den) >= (F.col("n") + low) * num
+    need = F.least(_least_shared(F.col("n"), low, num, den), _least_shared(F.col("n"), high, num, den))
+    opens = (q.join(matrix, "token").filter((F.col("own") < F.col("comp")) & (low <= high))
+             .groupBy("set", "comp", "block")
+             .agg(F.countDistinct("token").alias("c"), F.min(need).alias("need"), F.max(fits).alias("fits"))
+             .filter(F.col("fits") & (F.col("c") >= F.col("need"))).select("set", "comp", "block"))
+    opens = materialize(opens, "opens")
+    members = group.join(opens.select("comp", "block").distinct(), ["comp", "block"], "left_semi")
+    places = (opens.select("set", F.col("comp").alias("group"), F.col("block").alias("part"), F.lit(True).alias("asks"))
+              .unionByName(members.select("set", F.col("comp").alias("group"), F.col("block").alias("part"),
+                                          F.lit(False).alias("asks"))))
+    more = _open_groups(docs, places, ids, k, num, den)
 
     # back to documents: classes by their smallest id, documents with several sets join them
-    ids = one.withColumnRenamed("id", "rep")
+    ids = ids.withColumnRenamed("id", "rep")
     links = (near.unionByName(more).join(ids.select(F.col("set").alias("a"), F.col("rep").alias("x")), "a")
              .join(ids.select(F.col("set").alias("b"), F.col("rep").alias("y")), "b")
              .select(F.col("x").alias("a"), F.col("y").alias("b")))
