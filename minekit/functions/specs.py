@@ -19,10 +19,11 @@ SPEC_SCHEMA = (f"datasource struct<train_table: {TABLE}, test_table: {TABLE}>, "
 def decode_spec(encoded: Column) -> Column:
     """base64 JSON spec -> struct(datasource, output, operational_param).
 
-    Text that is not base64 raises (ANSI ``unbase64``); JSON that does not
-    parse gives a NULL struct, which ``require_spec`` turns into an error.
+    Text that is not base64 raises (ANSI ``unbase64``), and so does JSON that
+    does not parse.  A NULL spec stays NULL, which ``require_spec`` turns into
+    an error.
     """
-    return F.from_json(F.unbase64(encoded).cast("string"), SPEC_SCHEMA)
+    return F.from_json(F.unbase64(encoded).cast("string"), SPEC_SCHEMA, {"mode": "FAILFAST"})
 
 
 def require_spec(spec: Column) -> Column:

@@ -6,8 +6,10 @@ reference's bulk ``predict``.  ALS reads the ratings once into blocks it
 persists (memory and disk) for the iterations, and checkpoints its factor
 lineage every ``checkpoint_interval`` rounds into the session's shared
 checkpoint folder, so a lost executor costs a recompute from the last
-checkpoint, not from the scan.  The number of user / item blocks follows
-the cluster's default parallelism, capped at ``MAX_BLOCKS``.
+checkpoint, not from the scan.  The number of user / item blocks is an
+argument with a fixed default, because the random starting factors depend on
+it: the same seed and blocks give the same model on any cluster.  Raise it
+with the data (each iteration ships factors between every pair of blocks).
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from minekit.functions.casting import strict_double, strict_int
 from minekit.session import ensure_checkpoint_dir
 
 USER, ITEM, RATING = "user", "item", "rating"
-MAX_BLOCKS = 512
+NUM_BLOCKS = 10
 
 
 def ratings_frame(df: DataFrame, user_col: str, item_col: str, rate_col: str) -> DataFrame:
@@ -34,17 +36,14 @@ def pairs_frame(df: DataFrame, user_col: str, item_col: str) -> DataFrame:
 
 
 def fit_als(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg_param: float = 0.01,
-            seed: int | None = None, num_blocks: int | None = None,
+            seed: int | None = None, num_blocks: int = NUM_BLOCKS,
             checkpoint_interval: int = 10) -> ALSModel:
     """Fit on a ``ratings_frame``."""
     spark = ratings.sparkSession
     ensure_checkpoint_dir(spark)
-    # Each iteration ships factors between every user block and every item
-    # block, so the block count is kept moderate even on a huge cluster.
-    blocks = num_blocks or min(max(10, spark.sparkContext.defaultParallelism), MAX_BLOCKS)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg_param, userCol=USER, itemCol=ITEM,
               ratingCol=RATING, coldStartStrategy="drop", nonnegative=False,
-              numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=checkpoint_interval,
+              numUserBlocks=num_blocks, numItemBlocks=num_blocks, checkpointInterval=checkpoint_interval,
               intermediateStorageLevel="MEMORY_AND_DISK", finalStorageLevel="MEMORY_AND_DISK")
     if seed is not None:
         als.setSeed(seed)
@@ -82,3 +81,8 @@ def rates_and_preds(model: ALSModel, ratings: DataFrame) -> DataFrame:
     scored = model.transform(ratings.select(USER, ITEM, RATING))
     return scored.select(USER, ITEM, RATING, F.col("prediction").cast("double").alias("prediction"))
 
+
+def rating_mse(both: DataFrame) -> DataFrame:
+    """Mean squared error over ``rates_and_preds`` rows, one row."""
+    diff = F.col(RATING) - F.col("prediction")
+    return both.agg(F.avg(diff * diff).alias("mse"), F.count(F.lit(1)).alias("n"))

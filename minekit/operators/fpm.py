@@ -1,8 +1,8 @@
 """Frequent itemsets and association rules (FP-growth).
 
 Baskets are one string column with items separated by single spaces.
-Tokenising keeps the reference's rules (``java_split``); a repeated item
-in a basket raises unless ``dedupe=True``.  Mining is
+Tokenising keeps the reference's rules (``java_split``); a NULL basket
+raises, and so does a repeated item in a basket unless ``dedupe=True``.  Mining is
 ``spark.ml.fpm.FPGrowth``: a distributed item count, then conditional
 FP-trees built per item group across ``num_partitions`` tasks (by default
 the input's partition count, so it grows with the data; the reference
@@ -23,9 +23,10 @@ ITEMS = "items"
 def basket_items(c: Column, dedupe: bool = False) -> Column:
     """Split a basket string into its items (no trimming)."""
     tokens = java_split(c, " ")
+    missing = F.raise_error(F.lit("NULL basket"))
     if dedupe:
-        return F.array_distinct(tokens)
-    return F.when(F.size(F.array_distinct(tokens)) != F.size(tokens),
+        return F.when(c.isNull(), missing).otherwise(F.array_distinct(tokens))
+    return F.when(c.isNull(), missing).when(F.size(F.array_distinct(tokens)) != F.size(tokens),
                   F.raise_error(F.concat(F.lit("Items in a transaction must be unique but got "), c))
                   ).otherwise(tokens)
 

@@ -6,10 +6,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from minekit.functions.casting import strict_double, strict_int
+from minekit.functions.casting import column_types, quoted, strict_double, strict_int
 
+# Internal column names, reserved: a table's own columns must not use them.
+ID = "_id"
 LABEL = "_label"
 FEATURES = "_features"
+PREDICTION = "_prediction"
 
 
 def check_counts(train_features: list[str], test_features: list[str] | None,
@@ -24,29 +27,33 @@ def check_counts(train_features: list[str], test_features: list[str] | None,
 
 
 def project_configured(df: DataFrame, feature_cols: list[str], id_col: str | None = "id",
-                       label_col: str | None = None, id_alias: str = "id") -> DataFrame:
+                       label_col: str | None = None, id_alias: str = "id",
+                       id_type: str = "int") -> DataFrame:
     """Select id / label / features from a table, each strictly numeric.
 
     Only the configured columns are selected, so the scan reads nothing
-    else (parquet ``ReadSchema``, JDBC column list).
+    else (parquet ``ReadSchema``, JDBC column list).  Ids are 32-bit as in
+    the reference's result tables, or 64-bit with ``id_type="bigint"``.
     """
+    types = column_types(df)
     cols: list[Column] = []
     if id_col is not None:
-        cols.append(strict_int(df, id_col, id_alias))
+        cols.append(strict_int(types, id_col, id_alias, id_type))
     if label_col is not None:
-        cols.append(strict_double(df, label_col, LABEL))
-    cols += [strict_double(df, c) for c in feature_cols]
+        cols.append(strict_double(types, label_col, LABEL))
+    cols += [strict_double(types, c) for c in feature_cols]
     return df.select(*cols)
 
 
 def flat_result(scored: DataFrame, prediction: Column, feature_cols: list[str],
                 result_label: str, result_features: list[str], id_col: str | None = "id") -> DataFrame:
-    """``id int, <label> double, <feature_i> double...`` named from the spec."""
+    """``id, <label> double, <feature_i> double...`` named from the spec; the id
+    keeps the type that ``project_configured`` gave it."""
     cols: list[Column] = []
     if id_col is not None:
-        cols.append(F.col(id_col).cast("int").alias("id"))
+        cols.append(F.col(id_col).alias("id"))
     cols.append(prediction.cast("double").alias(result_label))
-    cols += [F.col(src).cast("double").alias(dst) for src, dst in zip(feature_cols, result_features)]
+    cols += [F.col(quoted(src)).cast("double").alias(dst) for src, dst in zip(feature_cols, result_features)]
     return scored.select(*cols)
 
 

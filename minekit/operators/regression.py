@@ -7,10 +7,9 @@ stop after ``iterations`` or when the weights move less than
 gradient is ``A w - b``, so one distributed aggregate (n, the d x d sums
 of x_i x_j and the d sums of x_i y, map-side partial sums, one row back)
 replaces a pass over the data per iteration; the recurrence then runs on
-the d x d matrix.  Beyond ``GRAM_MAX_FEATURES`` features the d^2 sums
-get too large to ship to the driver, and the same recurrence runs with
-one distributed gradient aggregate per iteration over a persisted frame.
-Both give the same weights.
+the d x d matrix.  ``solver="iterative"`` runs the same recurrence with one
+distributed gradient aggregate per iteration over a persisted frame instead,
+for tables too wide for a d x d matrix.  Both give the same weights.
 """
 
 from __future__ import annotations
@@ -26,10 +25,11 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from minekit.operators.frames import LABEL, flat_result, project_configured
+from minekit.functions.casting import quoted
+from minekit.operators.frames import ID, LABEL, flat_result, project_configured
 
-SQL_GRAM_MAX_FEATURES = 16     # sum expressions in one SQL aggregate up to here
-GRAM_MAX_FEATURES = 1000       # d(d+1)/2 + d sums: about 4 MB back to the driver at the limit
+
+PART = "n long, g array<double>"
 
 
 @dataclass
@@ -49,65 +49,40 @@ class SgdFit:
 def gram(df: DataFrame, label: str, features: list[str]) -> GramStats:
     """n, X'X and X'y in one pass; only d(d+1)/2 + d + 1 numbers come back.
 
-    Up to ``SQL_GRAM_MAX_FEATURES`` features this is one SQL aggregate of
-    sum expressions (map-side partial sums, codegen).  A Gram matrix costs
-    d^2 per row, which per-row expressions cannot do fast for wider d, so
-    wider inputs go through ``_gram_blocks``.  Beyond ``GRAM_MAX_FEATURES``
-    ``fit_sgd`` does not build the matrix and runs ``_gradient`` per
-    iteration instead.
-    """
-    if len(features) <= SQL_GRAM_MAX_FEATURES:
-        return _gram_sql(df, label, features)
-    return _gram_blocks(df, label, features)
-
-
-def _gram_sql(df: DataFrame, label: str, features: list[str]) -> GramStats:
+    Each task adds up the partial ``[X y]' [X y]`` of its Arrow batches (one
+    BLAS product per batch) and returns one upper triangle; ``Summarizer``
+    combines the tasks' sums in a tree, so no batch and no row reaches the
+    driver."""
     d = len(features)
-    x = [F.col(c) for c in features]
-    y = F.col(label)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.sum(x[i] * x[j]).alias(f"xx_{i}_{j}") for i in range(d) for j in range(i, d)]
-    aggs += [F.sum(x[i] * y).alias(f"xy_{i}") for i in range(d)]
-    row = df.agg(*aggs).first()
-    n = int(row["n"])
-    if n == 0:
-        raise ValueError("empty training table")
-    xx = np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            xx[i, j] = xx[j, i] = row[f"xx_{i}_{j}"]
-    xy = np.array([row[f"xy_{i}"] for i in range(d)], dtype=float)
-    return GramStats(n, xx, xy)
-
-
-def _gram_blocks(df: DataFrame, label: str, features: list[str]) -> GramStats:
-    """Gram matrix for wide inputs: each Arrow batch (about 10k rows) of a
-    task computes its partial ``[X y]' [X y]`` with one BLAS matrix product;
-    Spark then sums the per-batch upper triangles with ``Summarizer``
-    (partial sums per task, tree-combined), so no batch and no row reaches
-    the driver, only the final sum."""
-    d = len(features)
-    cols = list(features) + [label]
     upper = np.triu_indices(d + 1)
 
     def partial(batches):
+        n, total = 0, np.zeros((d + 1, d + 1))
         for pdf in batches:
-            m = pdf[cols].to_numpy(dtype=float)
-            g = m.T @ m
-            yield pd.DataFrame({"n": [len(m)], "g": [g[upper]]})
+            m = pdf.to_numpy(dtype=float)
+            n += len(m)
+            total += m.T @ m
+        if n:
+            yield pd.DataFrame({"n": [n], "g": [total[upper]]})
 
-    parts = df.select(*cols).mapInPandas(partial, "n long, g array<double>")
-    row = (parts.select("n", array_to_vector("g").alias("g"))
-           .agg(F.sum("n").alias("n"), Summarizer.sum(F.col("g")).alias("g")).first())
-    n = int(row["n"] or 0)
-    if n == 0:
-        raise ValueError("empty training table")
+    n, sums = _summed(df.select(*map(quoted, features), label).mapInPandas(partial, PART), len(upper[0]))
     full = np.zeros((d + 1, d + 1))
-    full[upper] = row["g"].toArray()
+    full[upper] = sums
     full = full + np.triu(full, 1).T
     return GramStats(n, full[:d, :d].copy(), full[:d, d].copy())
 
 
+def _summed(parts: DataFrame, size: int) -> tuple[int, np.ndarray]:
+    """The tasks' row counts and vectors added up; an empty table is an error
+    (the row of zeros is there for ``Summarizer``, which refuses no rows)."""
+    none = parts.sparkSession.range(1).select(F.lit(0).cast("long").alias("n"), F.array_repeat(F.lit(0.0), size).alias("g"))
+    row = (parts.unionByName(none).select("n", array_to_vector("g").alias("g"))
+           .agg(F.sum("n").alias("n"), Summarizer.sum(F.col("g")).alias("g")).first())
+    if not row["n"]:
+        raise ValueError("empty training table")
+    return int(row["n"]), row["g"].toArray()
+
+
 def _update(w: np.ndarray, g: np.ndarray, s: float, reg: str, reg_param: float) -> np.ndarray:
     if reg == "none":
         return w - s * g
@@ -140,16 +115,23 @@ def _descend(gradient, d: int, iterations: int, step: float, reg: str, reg_param
 
 def fit_sgd(train: DataFrame, label_col: str, feature_cols: list[str], iterations: int = 100,
             step: float = 1.0, reg: str = "none", reg_param: float = 0.01,
-            tol: float = 0.001) -> SgdFit:
-    """Weights of ``label ~ features`` (no intercept); ``reg`` none / l2 / l1."""
+            tol: float = 0.001, solver: str = "gram") -> SgdFit:
+    """Weights of ``label ~ features`` (no intercept); ``reg`` none / l2 / l1.
+
+    ``solver="gram"`` reads the table once and holds a d x d matrix on the
+    driver (8 MB at d = 1000); ``solver="iterative"`` reads it once per
+    iteration and holds d numbers, for tables too wide for that matrix.
+    """
+    if solver not in ("gram", "iterative"):
+        raise ValueError(f"unknown solver {solver!r}")
     prepared = project_configured(train, feature_cols, id_col=None, label_col=label_col)
     d = len(feature_cols)
-    if d <= GRAM_MAX_FEATURES:
+    if solver == "gram":
         st = gram(prepared, LABEL, feature_cols)
         a, b = st.xx / st.n, st.xy / st.n
         w, t = _descend(lambda w: a @ w - b, d, iterations, step, reg, reg_param, tol)
         return SgdFit(w, t, list(feature_cols))
-    cached = prepared.select(LABEL, *feature_cols).persist(StorageLevel.MEMORY_AND_DISK)
+    cached = prepared.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         w, t = _descend(lambda w: _gradient(cached, LABEL, feature_cols, w), d, iterations, step,
                         reg, reg_param, tol)
@@ -159,44 +141,40 @@ def fit_sgd(train: DataFrame, label_col: str, feature_cols: list[str], iteration
 
 
 def _gradient(df: DataFrame, label: str, features: list[str], w: np.ndarray) -> np.ndarray:
-    """Full-batch gradient ``X'(Xw - y) / n``: per Arrow batch in numpy,
-    batches summed by ``Summarizer``; only d numbers come back."""
-    cols = list(features) + [label]
+    """Full-batch gradient ``X'(Xw - y) / n``: summed per task in numpy, the
+    tasks by ``Summarizer``; only d numbers come back."""
     d = len(features)
     weights = np.asarray(w, dtype=float)
 
     def partial(batches):
+        n, total = 0, np.zeros(d)
         for pdf in batches:
-            m = pdf[cols].to_numpy(dtype=float)
-            x, y = m[:, :d], m[:, d]
-            yield pd.DataFrame({"n": [len(m)], "g": [x.T @ (x @ weights - y)]})
-
-    row = (df.select(*cols).mapInPandas(partial, "n long, g array<double>")
-           .select("n", array_to_vector("g").alias("g"))
-           .agg(F.sum("n").alias("n"), Summarizer.sum(F.col("g")).alias("g")).first())
-    return row["g"].toArray() / row["n"]
-
+            m = pdf.to_numpy(dtype=float)
+            n += len(m)
+            total += m[:, :d].T @ (m[:, :d] @ weights - m[:, d])
+        if n:
+            yield pd.DataFrame({"n": [n], "g": [total]})
 
-def _dot(w: np.ndarray, cols: list[str]) -> Column:
-    terms = [F.lit(float(wi)) * F.col(c) for wi, c in zip(w, cols)]
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return total
+    n, sums = _summed(df.select(*map(quoted, features), label).mapInPandas(partial, PART), d)
+    return sums / n
 
 
 def predict_column(fit: SgdFit, feature_cols: list[str]) -> Column:
-    """``sum_i w_i * x_i`` as a column expression (stays in codegen)."""
+    """``sum_i w_i * x_i``, added in order: one array of the columns against one
+    array of weights, so the expression is as deep for 5000 features as for 2."""
     if len(feature_cols) != len(fit.weights):
         raise ValueError(f"model has {len(fit.weights)} features, got {len(feature_cols)}")
-    return _dot(fit.weights, feature_cols)
+    weights = "array(" + ", ".join(f"{float(w)!r}D" for w in fit.weights) + ")"
+    columns = "array(" + ", ".join(map(quoted, feature_cols)) + ")"
+    return F.expr(f"aggregate(zip_with({weights}, {columns}, (w, x) -> w * x), 0D, (s, v) -> s + v)")
 
 
 def predict_sgd(fit: SgdFit, test: DataFrame, feature_cols: list[str], result_label: str = "label",
-                result_features: list[str] | None = None, id_col: str | None = "id") -> DataFrame:
-    prepared = project_configured(test, feature_cols, id_col=id_col)
+                result_features: list[str] | None = None, id_col: str | None = "id",
+                id_type: str = "int") -> DataFrame:
+    prepared = project_configured(test, feature_cols, id_col=id_col, id_alias=ID, id_type=id_type)
     return flat_result(prepared, predict_column(fit, feature_cols), feature_cols, result_label,
-                       result_features or feature_cols, id_col="id" if id_col else None)
+                       result_features or feature_cols, id_col=ID if id_col else None)
 
 
 def mse(fit: SgdFit, train: DataFrame, label_col: str, feature_cols: list[str]) -> DataFrame:

@@ -1,32 +1,37 @@
-"""Decision-tree classification (gini, continuous features) and the exact
+"""Decision-tree classification (gini, continuous features) and the best
 root split.
 
 ``fit_decision_tree`` is ``spark.ml.DecisionTreeClassifier`` with indexed
 labels (label metadata attached, so no extra pass to count classes); the
 training frame is persisted because the tree reads it once per level.
 
-``best_split`` computes the best gini split of a node as its own
-DataFrame job.  Candidate thresholds follow Spark's rule: midpoints of
-adjacent distinct values when a feature has at most ``max_bins`` of them,
-otherwise ``max_bins - 1`` approximate quantiles.  Rows are binned against
-those thresholds and counted per (feature, bin) with one count per class,
-so the cumulative windows and the gain per candidate work on at most
-features x max_bins rows, whatever the table size.
+``best_split`` computes the best gini split of a node as its own DataFrame
+job in two scans.  One aggregate finds the classes and a sketch of every
+feature; the other counts rows per feature, value and class.  Candidate
+thresholds: a feature with at most about ``2 * max_bins`` distinct values is
+counted value by value, and its candidates are midpoints of adjacent values,
+all of them up to ``max_bins`` values and evenly spaced ones beyond; a feature
+with more values is counted in bins between ``max_bins - 1`` approximate
+quantiles, which are its candidates.  Windows and gains then work on a few
+times features x max_bins rows, whatever the table size.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from minekit.functions.casting import assemble
-from minekit.operators.frames import FEATURES, LABEL, flat_result, project_configured
-from minekit.operators.labels import MAX_CLASSES, LabelIndex, distinct_sorted
+from minekit.functions.casting import assemble, quoted
+from minekit.operators.frames import FEATURES, ID, LABEL, PREDICTION, flat_result, project_configured
+from minekit.operators.labels import LabelIndex
 
 
 @dataclass
@@ -44,17 +49,17 @@ class TreeFit:
 
 def fit_decision_tree(train: DataFrame, label_col: str, feature_cols: list[str], max_depth: int = 5,
                       max_bins: int = 32, num_classes: int | None = None, seed: int | None = None,
-                      max_classes: int = MAX_CLASSES) -> TreeFit:
+                      max_classes: int | None = None) -> TreeFit:
     prepared = project_configured(train, feature_cols, id_col=None, label_col=label_col)
     labels = LabelIndex.fit(prepared, F.col(LABEL), max_classes)
     if num_classes is not None and labels.num_classes > num_classes:
         raise ValueError(f"{labels.num_classes} distinct labels but numClasses = {num_classes}")
-    indexed = prepared.withColumn(LABEL, labels.index(F.col(LABEL)).alias(LABEL, metadata=labels.ml_metadata(LABEL)))
+    indexed = labels.with_index(prepared, LABEL, labels.ml_metadata(LABEL))
     data = assemble(indexed, feature_cols, FEATURES).select(LABEL, FEATURES)
     cached = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        dt = DecisionTreeClassifier(labelCol=LABEL, featuresCol=FEATURES, impurity="gini",
-                                    maxDepth=max_depth, maxBins=max_bins)
+        dt = DecisionTreeClassifier(labelCol=LABEL, featuresCol=FEATURES, impurity="gini", predictionCol=PREDICTION,
+                                    rawPredictionCol="_raw", probabilityCol="_probability", maxDepth=max_depth, maxBins=max_bins)
         if seed is not None:
             dt.setSeed(seed)
         model = dt.fit(cached)
@@ -63,48 +68,65 @@ def fit_decision_tree(train: DataFrame, label_col: str, feature_cols: list[str],
     return TreeFit(model, labels, list(feature_cols))
 
 
-def score(fit: TreeFit, prepared: DataFrame, feature_cols: list[str]) -> DataFrame:
+def score(fit: TreeFit, prepared: DataFrame, feature_cols: list[str], prediction: str = "prediction") -> DataFrame:
     if len(feature_cols) != len(fit.feature_cols):
         raise ValueError(f"model has {len(fit.feature_cols)} features, got {len(feature_cols)}")
     m = fit.model.copy()
-    m.setFeaturesCol(FEATURES).setPredictionCol("_pred_idx").setRawPredictionCol("").setProbabilityCol("")
+    m.setFeaturesCol(FEATURES).setPredictionCol("_class_idx").setRawPredictionCol("").setProbabilityCol("")
     scored = m.transform(assemble(prepared, feature_cols, FEATURES))
-    return scored.withColumn("prediction", fit.labels.label(F.col("_pred_idx"))).drop(FEATURES, "_pred_idx")
+    return scored.withColumn(prediction, fit.labels.label(F.col("_class_idx"))).drop(FEATURES, "_class_idx")
 
 
 def predict_decision_tree(fit: TreeFit, test: DataFrame, feature_cols: list[str], result_label: str = "label",
-                          result_features: list[str] | None = None, id_col: str | None = "id") -> DataFrame:
-    prepared = project_configured(test, feature_cols, id_col=id_col)
-    scored = score(fit, prepared, feature_cols)
-    return flat_result(scored, F.col("prediction"), feature_cols, result_label,
-                       result_features or feature_cols, id_col="id" if id_col else None)
-
-
-def _thresholds(long: DataFrame, n_features: int, max_bins: int) -> dict[int, list[float]]:
-    """Candidate thresholds per feature index (at most max_bins - 1 each)."""
+                          result_features: list[str] | None = None, id_col: str | None = "id",
+                          id_type: str = "int") -> DataFrame:
+    prepared = project_configured(test, feature_cols, id_col=id_col, id_alias=ID, id_type=id_type)
+    scored = score(fit, prepared, feature_cols, PREDICTION)
+    return flat_result(scored, F.col(PREDICTION), feature_cols, result_label,
+                       result_features or feature_cols, id_col=ID if id_col else None)
+
+
+def _sketch(prepared: DataFrame, feature_cols: list[str], max_bins: int) -> tuple[list[float], list[list[float] | None]]:
+    """One aggregate over the table: the classes, and per feature its
+    approximate quantiles, or None where few enough values occur that they
+    can be counted one by one."""
     probs = [i / max_bins for i in range(1, max_bins)]
-    stats = (long.groupBy("f")
-             .agg(F.approx_count_distinct("v", 0.01).alias("nd"),
-                  F.percentile_approx("v", probs, 10000).alias("q"))
-             .collect())                                # one row per feature
-    low = [r["f"] for r in stats if r["nd"] <= 2 * max_bins]
-    exact: dict[int, list[float]] = {}
-    if low:
-        # Distinct values of the low-cardinality features only: bounded by
-        # about 2 * max_bins per feature.
-        for r in (long.where(F.col("f").isin(low)).groupBy("f")
-                  .agg(F.array_sort(F.collect_set("v")).alias("vals")).collect()):
-            exact[r["f"]] = [float(v) for v in r["vals"]]
-    out: dict[int, list[float]] = {}
-    for r in stats:
-        vals = exact.get(r["f"])
-        if vals is not None and len(vals) <= max_bins:
-            out[r["f"]] = [(a + b) / 2.0 for a, b in zip(vals, vals[1:])]
-        else:
-            out[r["f"]] = sorted({float(q) for q in r["q"]})
-    for j in range(n_features):
-        out.setdefault(j, [])
-    return out
+    aggs = [F.array_sort(F.collect_set(LABEL)).alias("classes")]
+    for j, c in enumerate(feature_cols):
+        aggs += [F.approx_count_distinct(quoted(c), 0.01).alias(f"n{j}"),
+                 F.percentile_approx(quoted(c), probs, 10000).alias(f"q{j}")]
+    row = prepared.agg(*aggs).first()
+    return [float(v) for v in row["classes"]], [
+        None if row[f"n{j}"] <= 2 * max_bins else sorted({float(q) for q in row[f"q{j}"]})
+        for j in range(len(feature_cols))]
+
+
+def _counts(prepared: DataFrame, feature_cols: list[str], classes: list[float],
+            cuts: list[list[float] | None]) -> DataFrame:
+    """``f, v, cls, n``: rows per feature, value and class in one pass.  ``v`` is
+    the value itself, or where ``cuts`` has thresholds the number of them below
+    it (a binary search per Arrow batch); tasks add up before the shuffle."""
+    known = np.array(classes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[int, float, int], int] = {}
+        for batch in batches:
+            cls = np.searchsorted(known, batch.column(0).to_numpy(zero_copy_only=False))
+            for j, cut in enumerate(cuts):
+                x = batch.column(j + 1).to_numpy(zero_copy_only=False)
+                v = x if cut is None else np.searchsorted(cut, x, side="left").astype(float)
+                values, place = np.unique(v, return_inverse=True)
+                n = np.bincount(place * len(known) + cls, minlength=len(values) * len(known))
+                for cell in np.flatnonzero(n).tolist():
+                    key = (j, float(values[cell // len(known)]), cell % len(known))
+                    total[key] = total.get(key, 0) + int(n[cell])
+        if total:
+            f, v, c = zip(*total, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(f, pa.int32()), pa.array(v, pa.float64()), pa.array(c, pa.int32()),
+                                              pa.array(list(total.values()), pa.int64())], names=["f", "v", "cls", "n"])
+
+    return (prepared.select(LABEL, *map(quoted, feature_cols)).mapInArrow(run, "f int, v double, cls int, n long")
+            .groupBy("f", "v", "cls").agg(F.sum("n").alias("n")))
 
 
 def _add(cols: list[Column]) -> Column:
@@ -118,34 +140,36 @@ def _gini(counts: list[Column], n: Column) -> Column:
     return 1 - _add([c * c for c in counts]) / (n * n)
 
 
-def best_split(train: DataFrame, label_col: str, feature_cols: list[str], max_bins: int = 32,
-               max_classes: int = MAX_CLASSES) -> DataFrame:
+def best_split(train: DataFrame, label_col: str, feature_cols: list[str], max_bins: int = 32) -> DataFrame:
     """Best gini split of the whole table: ``feature_idx, feature, threshold, gain``.
 
     Ties go to the lowest feature index, then the lowest threshold.  Left
     is ``x <= threshold``.  Returns no row when no split has positive gain.
     """
     prepared = project_configured(train, feature_cols, id_col=None, label_col=label_col)
-    labels = distinct_sorted(prepared, F.col(LABEL), max_classes)
-    long = prepared.select(LABEL, F.explode(F.array(*[
-        F.struct(F.lit(j).alias("f"), F.col(c).alias("v")) for j, c in enumerate(feature_cols)])).alias("p")
-    ).select(LABEL, "p.f", "p.v")
-    thr = _thresholds(long, len(feature_cols), max_bins)
-    thr_map = F.create_map(*[x for j in sorted(thr) for x in
-                             (F.lit(j), F.array(*[F.lit(t) for t in thr[j]]).cast("array<double>"))])
-    cand = F.element_at(thr_map, F.col("f"))
-    # bin = number of thresholds below v, so "v <= thr[b]" <=> "bin <= b".
-    # One row per (feature, bin) with a count per class: at most
-    # features x max_bins rows leave the map side.
-    counts = (long.withColumn("bin", F.size(F.filter(cand, lambda t: t < F.col("v"))))
-              .groupBy("f", "bin")
-              .agg(*[F.count(F.when(F.col(LABEL) == v, 1)).alias(f"c{i}") for i, v in enumerate(labels)]))
-    upto = Window.partitionBy("f").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    classes, cuts = _sketch(prepared, feature_cols, max_bins)
+    if not classes:
+        raise ValueError("empty training table")
+    k = len(classes)
+    counts = _counts(prepared, feature_cols, classes, cuts).groupBy("f", "v").agg(
+        *[F.coalesce(F.sum(F.when(F.col("cls") == i, F.col("n"))), F.lit(0)).alias(f"c{i}") for i in range(k)])
+    # at most a few times max_bins rows per feature from here on
     whole = Window.partitionBy("f")
-    k = len(labels)
-    cols = [F.sum(f"c{i}").over(upto).alias(f"l{i}") for i in range(k)]
-    cols += [F.sum(f"c{i}").over(whole).alias(f"t{i}") for i in range(k)]
-    cum = counts.select("f", "bin", *cols)
+    ordered = whole.orderBy("v")
+    upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    binned = [(j, float(b), t) for j, cut in enumerate(cuts) if cut is not None for b, t in enumerate(cut)]
+    table = train.sparkSession.createDataFrame(binned, "f int, v double, cut double")   # features x (max_bins - 1) rows
+    cum = counts.select(
+        "f", "v", F.lead("v").over(ordered).alias("next"), F.count(F.lit(1)).over(whole).alias("values"),
+        F.ceil(F.row_number().over(ordered) * max_bins / F.count(F.lit(1)).over(whole)).alias("share"),
+        *[F.sum(f"c{i}").over(upto).alias(f"l{i}") for i in range(k)],
+        *[F.sum(f"c{i}").over(whole).alias(f"t{i}") for i in range(k)])
+    # single values: every midpoint, or of too many values evenly spaced ones; bins: their thresholds
+    spaced = (F.col("values") <= max_bins) | (F.lead("share").over(ordered) != F.col("share"))
+    cum = cum.withColumn("middle", F.when(spaced, (F.col("v") + F.col("next")) / 2))
+    cum = cum.join(F.broadcast(table), ["f", "v"], "left")
+    in_bins = F.col("f").isin([j for j, cut in enumerate(cuts) if cut is not None])
+    cum = cum.withColumn("threshold", F.when(in_bins, F.col("cut")).otherwise(F.col("middle")))
     left = [F.col(f"l{i}").cast("double") for i in range(k)]
     right = [F.col(f"t{i}").cast("double") - F.col(f"l{i}") for i in range(k)]
     total = [F.col(f"t{i}").cast("double") for i in range(k)]
@@ -153,9 +177,8 @@ def best_split(train: DataFrame, label_col: str, feature_cols: list[str], max_bi
     nl, nr, n = _add(left), _add(right), _add(total)
     gain = _gini(total, n) - nl / n * _gini(left, nl) - nr / n * _gini(right, nr)
     names = F.element_at(F.array(*[F.lit(c) for c in feature_cols]), F.col("f") + 1)
-    splits = (cum.where((nl > 0) & (nr > 0) & (F.col("bin") < F.size(cand)))
-              .select(F.col("f").alias("feature_idx"), names.alias("feature"),
-                      F.element_at(cand, F.col("bin") + 1).alias("threshold"), gain.alias("gain"))
+    splits = (cum.where((nl > 0) & (nr > 0) & F.col("threshold").isNotNull())
+              .select(F.col("f").alias("feature_idx"), names.alias("feature"), "threshold", gain.alias("gain"))
               .where(F.col("gain") > 0))
     # Equal gains can differ in the last bits by summation order; rank on
     # 12 decimals so true ties fall to the lowest feature and threshold.

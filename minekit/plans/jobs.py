@@ -7,10 +7,16 @@ to get it without touching the result table.
 
 Write modes follow the reference: append everywhere except k-means,
 which overwrites; text results refuse an existing target.
+
+Scored tables must have an integral ``id``: 32-bit in the result, or 64-bit
+with ``"id_type": "bigint"`` in the spec.  A JDBC read of such a table is
+split by ``id`` unless the source names another ``partition_column``.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +28,33 @@ from minekit.sources import text as text_io
 from minekit.sources.tables import read_table, write_table
 
 
+class TreeResult(NamedTuple):
+    result: DataFrame
+    rules: str                  # the fitted tree, with the original labels
+
+
+class RegressionResult(NamedTuple):
+    result: DataFrame
+    mse: DataFrame              # one row: mean squared error on the training rows, and their number
+
+
+class RatingResult(NamedTuple):
+    result: DataFrame
+    ratings: DataFrame          # training ratings next to their predictions
+    mse: DataFrame              # one row over ``ratings``
+
+
+def _id_type(s: JobSpec) -> str:
+    kind = s.text("id_type", "int").lower()
+    if kind not in ("int", "bigint"):
+        raise ValueError(f"operational_param.id_type must be int or bigint, not {kind!r}")
+    return kind
+
+
+def _scored_table(spark: SparkSession, s: JobSpec, which: str) -> DataFrame:
+    return read_table(spark, s.table(which), partition_column="id")
+
+
 def _finish(result: DataFrame, spec: JobSpec, mode: str, write: bool) -> DataFrame:
     if write and spec.result_table:
         write_table(result, spec.result_table, mode)
@@ -42,10 +75,10 @@ def naive_bayes(spark: SparkSession, spec, write: bool = True) -> DataFrame:
     """Multinomial naive Bayes: train table -> model -> scored test table."""
     s = JobSpec.parse(spec)
     label, tf, xf, rl, rf = _supervised_columns(s)
-    smoothing = s.number("smoothing", 1.0)
-    train, test = read_table(spark, s.table("train_table")), read_table(spark, s.table("test_table"))
+    smoothing, id_type = s.number("smoothing", 1.0), _id_type(s)
+    train, test = read_table(spark, s.table("train_table")), _scored_table(spark, s, "test_table")
     fit = bayes.fit_naive_bayes(train.select(label, *tf), label, tf, smoothing=smoothing)
-    result = bayes.predict_naive_bayes(fit, test, xf, rl, rf)
+    result = bayes.predict_naive_bayes(fit, test, xf, rl, rf, id_type=id_type)
     return _finish(result, s, "append", write)
 
 
@@ -56,31 +89,36 @@ def naive_bayes_fixed_layout(spark: SparkSession, spec, write: bool = True) -> D
     return _finish(bayes.naive_bayes_positional(train, test), s, "append", write)
 
 
-def decision_tree(spark: SparkSession, spec, write: bool = True) -> DataFrame:
-    """Gini decision tree: ``numClasses``, ``maxDepth``, ``maxBins``."""
+def decision_tree(spark: SparkSession, spec, write: bool = True) -> TreeResult:
+    """Gini decision tree: ``numClasses``, ``maxDepth``, ``maxBins``.  Returns the
+    scored table and the tree's rules."""
     s = JobSpec.parse(spec)
     label, tf, xf, rl, rf = _supervised_columns(s)
     num_classes, depth, bins = s.integer("numClasses"), s.integer("maxDepth"), s.integer("maxBins")
     seed = s.integer("seed", 0) if s.text("seed", "") else None
-    train, test = read_table(spark, s.table("train_table")), read_table(spark, s.table("test_table"))
+    id_type = _id_type(s)
+    train, test = read_table(spark, s.table("train_table")), _scored_table(spark, s, "test_table")
     fit = tree.fit_decision_tree(train.select(label, *tf), label, tf, max_depth=depth, max_bins=bins,
                                  num_classes=num_classes, seed=seed)
-    result = tree.predict_decision_tree(fit, test, xf, rl, rf)
-    return _finish(result, s, "append", write)
+    result = tree.predict_decision_tree(fit, test, xf, rl, rf, id_type=id_type)
+    return TreeResult(_finish(result, s, "append", write), fit.debug_string())
 
 
-def linear_regression(spark: SparkSession, spec, write: bool = True) -> DataFrame:
+def linear_regression(spark: SparkSession, spec, write: bool = True) -> RegressionResult:
     """SGD regression, no intercept: ``stepSize``, ``iterateNum``; optional
-    ``regularizer`` (none / l2 / l1) and ``regParam`` for ridge and lasso."""
+    ``regularizer`` (none / l2 / l1) and ``regParam`` for ridge and lasso, and
+    ``solver`` (gram / iterative).  Returns the scored table and the mean squared
+    error on the training rows."""
     s = JobSpec.parse(spec)
     label, tf, xf, rl, rf = _supervised_columns(s)
     step, iters = s.number("stepSize"), s.integer("iterateNum")
     reg, reg_param = s.text("regularizer", "none"), s.number("regParam", 0.01)
-    train, test = read_table(spark, s.table("train_table")), read_table(spark, s.table("test_table"))
+    solver, id_type = s.text("solver", "gram"), _id_type(s)
+    train, test = read_table(spark, s.table("train_table")), _scored_table(spark, s, "test_table")
     fit = regression.fit_sgd(train.select(label, *tf), label, tf, iterations=iters, step=step,
-                             reg=reg, reg_param=reg_param)
-    result = regression.predict_sgd(fit, test, xf, rl, rf)
-    return _finish(result, s, "append", write)
+                             reg=reg, reg_param=reg_param, solver=solver)
+    result = regression.predict_sgd(fit, test, xf, rl, rf, id_type=id_type)
+    return RegressionResult(_finish(result, s, "append", write), regression.mse(fit, train, label, tf))
 
 
 def kmeans(spark: SparkSession, spec, write: bool = True) -> DataFrame:
@@ -95,10 +133,10 @@ def kmeans(spark: SparkSession, spec, write: bool = True) -> DataFrame:
     check_counts(tf, None, rf)
     k, iters = s.integer("clusterNum"), s.integer("iterateNum")
     seed = s.integer("seed", 0) if s.text("seed", "") else None
-    canonical = s.text("canonical_ids", "false").lower() == "true"
-    points = read_table(spark, s.table("train_table")).select("id", *tf)
+    canonical, id_type = s.text("canonical_ids", "false").lower() == "true", _id_type(s)
+    points = _scored_table(spark, s, "train_table").select("id", *[c for c in tf if c != "id"])
     model = cluster.fit_kmeans(points, tf, k=k, max_iter=iters, seed=seed)
-    result = cluster.predict_kmeans(model, points, tf, rl, rf, canonical=canonical)
+    result = cluster.predict_kmeans(model, points, tf, rl, rf, canonical=canonical, id_type=id_type)
     return _finish(result, s, "overwrite", write)
 
 
@@ -116,20 +154,24 @@ def association_rules(spark: SparkSession, spec, write: bool = True) -> DataFram
     return _finish(fpm.rule_text(model, rule_col, conf_col), s, "append", write)
 
 
-def collaborative_filtering(spark: SparkSession, spec, write: bool = True) -> DataFrame:
+def collaborative_filtering(spark: SparkSession, spec, write: bool = True) -> RatingResult:
     """ALS on (user, item, rating); scores the test pairs it can (known user
-    and item).  ``rank``, ``numIterations``; optional ``seed``, ``regParam``."""
+    and item).  ``rank``, ``numIterations``; optional ``seed``, ``regParam`` and
+    ``num_blocks``.  Returns the scored pairs, the training ratings next to
+    their predictions, and those ratings' mean squared error."""
     s = JobSpec.parse(spec)
     tu, ti, tr = s.text("train_user_col"), s.text("train_item_col"), s.text("train_rate_col")
     xu, xi = s.text("test_user_col"), s.text("test_item_col")
     ru, ri, rr = s.text("result_user_col"), s.text("result_item_col"), s.text("result_rate_col")
     rank, iters = s.integer("rank"), s.integer("numIterations")
     seed = s.integer("seed", 0) if s.text("seed", "") else None
-    reg = s.number("regParam", 0.01)
+    reg, blocks = s.number("regParam", 0.01), s.integer("num_blocks", als.NUM_BLOCKS)
     ratings = als.ratings_frame(read_table(spark, s.table("train_table")), tu, ti, tr)
     pairs = als.pairs_frame(read_table(spark, s.table("test_table")), xu, xi)
-    model = als.fit_als(ratings, rank=rank, max_iter=iters, reg_param=reg, seed=seed)
-    return _finish(als.predict_pairs(model, pairs, ru, ri, rr), s, "append", write)
+    model = als.fit_als(ratings, rank=rank, max_iter=iters, reg_param=reg, seed=seed, num_blocks=blocks)
+    result = _finish(als.predict_pairs(model, pairs, ru, ri, rr), s, "append", write)
+    both = als.rates_and_preds(model, ratings)
+    return RatingResult(result, both, als.rating_mse(both))
 
 
 def score_text_with_saved_model(spark: SparkSession, model_path: str, input_path: str,

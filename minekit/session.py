@@ -8,6 +8,7 @@ and Spark runs in local mode (tests); on a cluster that is an error.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -24,6 +25,10 @@ SQL_SETTINGS = {
 }
 
 
+#: Scratch folders handed out and not released yet.
+_SCRATCH: list[str] = []
+
+
 def build_session(master: str | None = None, app_name: str = "minekit",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -47,7 +52,8 @@ def build_session(master: str | None = None, app_name: str = "minekit",
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """Whether driver and executors are one process (``local-cluster`` is a cluster)."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -74,7 +80,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/minekit-{name}-{uuid.uuid4().hex}"
+    path = f"{base}/minekit-{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the scratch folders that this process has asked for.
+
+    For the end of a job, when no frame that reads one is in use any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -90,21 +108,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
-
-
-def partition_settings(shuffle_bytes: float, target_partition_bytes: float = 256 * 2 ** 20) -> dict[str, str]:
-    """Settings that keep scan splits and shuffle partitions near
-    ``target_partition_bytes`` for a job shuffling about ``shuffle_bytes``.
-
-    AQE coalesces small partitions at run time, so the initial shuffle
-    partition count is sized for the largest stage; skewed partitions are
-    split by AQE's skew-join handling.
-    """
-    parts = max(200, int(shuffle_bytes // target_partition_bytes) + 1)
-    size = str(int(target_partition_bytes))
-    return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": size,
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(int(target_partition_bytes) * 4),
-    }

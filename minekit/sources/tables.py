@@ -108,8 +108,12 @@ def with_jdbc_bounds(spark: SparkSession, src: dict) -> dict:
     return out
 
 
-def read_table(spark: SparkSession, src: dict) -> DataFrame:
+def read_table(spark: SparkSession, src: dict, partition_column: str | None = None) -> DataFrame:
+    """Read a source; ``partition_column`` is the numeric key that a JDBC read is
+    split by when the source names none (``""`` there reads in one task)."""
     fmt = source_format(src)
+    if fmt == "jdbc" and partition_column and "partition_column" not in src:
+        src = dict(src, partition_column=partition_column)
     if fmt == "table":
         return spark.table(src["table"])
     if fmt == "jdbc":

@@ -84,9 +84,30 @@ def test_wall_clock_hour_ignores_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
-def test_partition_settings_scale_with_input():
-    from minekit.session import partition_settings
-    small = partition_settings(10 * 2 ** 30)
-    big = partition_settings(100 * 2 ** 40)
-    assert int(small["spark.sql.shuffle.partitions"]) == 200
-    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2 ** 40 // (256 * 2 ** 20) + 1
+def test_bigint_ids_on_request(spark):
+    from minekit.operators.frames import project_configured
+    df = spark.createDataFrame([(2 ** 40, 1.0)], "id long, x double")
+    with pytest.raises(Exception, match="out of int range"):
+        project_configured(df, ["x"]).collect()
+    assert project_configured(df, ["x"], id_type="bigint").first()["id"] == 2 ** 40
+    text = spark.createDataFrame([("9223372036854775808", 1.0)], "id string, x double")
+    with pytest.raises(Exception):
+        project_configured(text, ["x"], id_type="bigint").collect()
+
+
+def test_column_names_with_quotes_and_ticks(spark):
+    from minekit.operators.frames import project_configured
+    df = spark.createDataFrame([(1, None)], "id int, `it's a ``x\\` double")
+    with pytest.raises(Exception, match="NULL in column it's a"):
+        project_configured(df, [df.columns[1]]).collect()
+
+
+def test_malformed_job_spec_raises(spark):
+    from minekit.functions import specs
+    for text in ('{"datasource" oops', '{"datasource": {"train_table": ', "not json"):
+        df = spark.createDataFrame([(text,)], "t string").select(specs.encode_spec(F.col("t")).alias("s"))
+        with pytest.raises(Exception):
+            df.select(specs.require_spec(specs.decode_spec(F.col("s")))).collect()
+    null = spark.createDataFrame([(None,)], "s string")
+    with pytest.raises(Exception, match="not valid JSON"):
+        null.select(specs.require_spec(specs.decode_spec(F.col("s")))).collect()

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def _tables(spark, tmp_dir):
     ev = catalog.event_table(spark, SF)
-    train = ev.where("split = 'train'").select("y", "hour", "k", "value")
+    train = ev.select("y", "hour", "k", "value")
     test = ev.select(F.col("id"), F.col("hour").alias("t1"), F.col("k").alias("t2"), F.col("value").alias("t3"))
     train.write.parquet(f"{tmp_dir}/train")
     test.write.parquet(f"{tmp_dir}/test")
@@ -79,19 +79,24 @@ def test_kmeans_job_overwrites(spark, tmp_dir):
 
 def test_regression_tree_rules_als_jobs(spark, tmp_dir):
     po = catalog.planted_orders(spark, SF)
-    po.where("split = 'train'").write.parquet(f"{tmp_dir}/ptrain")
+    po.write.parquet(f"{tmp_dir}/ptrain")
     po.select("id", "f1", "f2").write.parquet(f"{tmp_dir}/ptest")
     base = {"datasource": {"train_table": {"path": f"{tmp_dir}/ptrain"}, "test_table": {"path": f"{tmp_dir}/ptest"}},
             "operational_param": {"train_label_col": "y", "train_feture_col": "f1 f2", "test_feture_col": "f1 f2",
                                   "result_label_col": "label", "result_feture_col": "f1 f2"}}
     tree_spec = {**base, "operational_param": {**base["operational_param"], "numClasses": 3, "maxDepth": 3,
                                                "maxBins": 32}}
-    t = jobs.decision_tree(spark, tree_spec, write=False)
+    t, rules = jobs.decision_tree(spark, tree_spec, write=False)
+    assert "If (feature 0 <= 3.5)" in rules and "Predict: 2.0" in rules
     joined = t.join(po.select(F.col("id").cast("int").alias("id"), "y"), "id")
     assert joined.where("label != y").count() == 0
     lr_spec = {**base, "operational_param": {**base["operational_param"], "stepSize": 0.5, "iterateNum": 100,
                                              "regularizer": "l2"}}
-    assert jobs.linear_regression(spark, lr_spec, write=False).count() == po.count()
+    result, mse = jobs.linear_regression(spark, lr_spec, write=False)
+    assert result.count() == po.count() and mse.first()["n"] == po.count()
+    lr_spec["operational_param"]["solver"] = "iterative"
+    again = jobs.linear_regression(spark, lr_spec, write=False).mse.first()
+    assert again["mse"] == pytest.approx(mse.first()["mse"], rel=1e-9)
 
     catalog.order_baskets(spark, SF, "p_type").write.parquet(f"{tmp_dir}/baskets")
     rules = jobs.association_rules(spark, {
@@ -105,13 +110,69 @@ def test_regression_tree_rules_als_jobs(spark, tmp_dir):
     r.write.parquet(f"{tmp_dir}/ratings")
     pairs = spark.createDataFrame([(-5, -5)], "u int, i int").union(r.select("user", "item").limit(10))
     pairs.write.parquet(f"{tmp_dir}/pairs")
-    out = jobs.collaborative_filtering(spark, {
+    out, ratings, mse = jobs.collaborative_filtering(spark, {
         "datasource": {"train_table": {"path": f"{tmp_dir}/ratings"}, "test_table": {"path": f"{tmp_dir}/pairs"}},
         "operational_param": {"train_user_col": "user", "train_item_col": "item", "train_rate_col": "rating",
                               "test_user_col": "u", "test_item_col": "i", "result_user_col": "ru",
                               "result_item_col": "ri", "result_rate_col": "rr", "rank": 4, "numIterations": 5,
                               "seed": 7}}, write=False)
     assert out.columns == ["ru", "ri", "rr"] and out.count() == 10   # unknown pair dropped
+    rows = ratings.collect()
+    assert len(rows) == r.count() == mse.first()["n"]
+    want = sum((x["rating"] - x["prediction"]) ** 2 for x in rows) / len(rows)
+    assert abs(mse.first()["mse"] - want) < 1e-9
+
+
+def test_regression_job_reports_the_mse_of_the_query(spark, tmp_dir):
+    catalog.orders_regression(spark, SF).write.parquet(f"{tmp_dir}/o")
+    table = {"path": f"{tmp_dir}/o"}
+    got = jobs.linear_regression(spark, {
+        "datasource": {"train_table": table, "test_table": table},
+        "operational_param": {"train_label_col": "y", "train_feture_col": "x1 x2", "test_feture_col": "x1 x2",
+                              "result_label_col": "label", "result_feture_col": "x1 x2", "stepSize": 0.5,
+                              "iterateNum": 100}}, write=False).mse.first()
+    want = catalog.QUERIES["linreg_mse"](spark, SF).first()
+    assert got["n"] == want["n"] and abs(got["mse"] - want["mse"]) < 1e-6
+
+
+def test_bigint_ids_and_clashing_feature_names(spark, tmp_dir):
+    rows = [(2 ** 40 + i, float(i % 3), float(i % 3 * 10), float(i % 2)) for i in range(60)]
+    spark.createDataFrame(rows, "id long, prediction double, cluster double, label double").write.parquet(f"{tmp_dir}/t")
+    table = {"path": f"{tmp_dir}/t"}
+    names = {"train_label_col": "label", "train_feture_col": "prediction cluster",
+             "test_feture_col": "prediction cluster", "result_label_col": "y", "result_feture_col": "a b",
+             "id_type": "bigint"}
+    source = {"datasource": {"train_table": table, "test_table": table}}
+    want = sorted((r[0], r[1], r[2]) for r in rows)
+    nb = jobs.naive_bayes(spark, {**source, "operational_param": names}, write=False)
+    tr = jobs.decision_tree(spark, {**source, "operational_param": {**names, "numClasses": 2, "maxDepth": 2, "maxBins": 8}},
+                            write=False).result
+    km = jobs.kmeans(spark, {**source, "operational_param": {**names, "clusterNum": 3, "iterateNum": 10, "seed": 1}},
+                     write=False)
+    for out in (nb, tr, km):
+        assert sorted((r["id"], r["a"], r["b"]) for r in out.collect()) == want
+    assert len({(r["a"], r["y"]) for r in km.collect()}) == 3
+    with pytest.raises(ValueError, match="id_type"):
+        jobs.naive_bayes(spark, {**source, "operational_param": {**names, "id_type": "text"}}, write=False)
+
+
+def test_id_as_a_feature(spark, tmp_dir):
+    spark.createDataFrame([(i, float(i // 30 * 100)) for i in range(60)], "id int, x double").write.parquet(f"{tmp_dir}/t")
+    out = jobs.kmeans(spark, {"datasource": {"train_table": {"path": f"{tmp_dir}/t"}}, "operational_param": {
+        "train_feture_col": "id x", "result_label_col": "c", "result_feture_col": "f_id f_x", "clusterNum": 2,
+        "iterateNum": 10, "seed": 1}}, write=False)
+    assert all(r["id"] == r["f_id"] for r in out.collect())
+
+
+def test_scored_jdbc_tables_are_split_by_id(spark, monkeypatch):
+    from minekit.sources import tables
+    seen = []
+    monkeypatch.setattr(tables, "with_jdbc_bounds", lambda spark, src: seen.append(src) or (_ for _ in ()).throw(KeyError))
+    for src in ({"url": "jdbc:x", "tablename": "t"}, {"url": "jdbc:x", "tablename": "t", "partition_column": "k"},
+                {"url": "jdbc:x", "tablename": "t", "partition_column": ""}):
+        with pytest.raises(KeyError):
+            tables.read_table(spark, src, partition_column="id")
+    assert [s["partition_column"] for s in seen] == ["id", "k", ""]
 
 
 def test_als_rejects_fractional_ids(spark):
@@ -130,7 +191,7 @@ def test_text_jobs(spark, tmp_dir):
 
     ev = catalog.event_table(spark, SF)
     from minekit.operators import bayes
-    fit = bayes.fit_naive_bayes(ev.where("split = 'train'"), "y", catalog.EVENT_FEATURES)
+    fit = bayes.fit_naive_bayes(ev, "y", catalog.EVENT_FEATURES)
     fit.save(f"{tmp_dir}/model")
     spark.createDataFrame([("3 69 6.55",)], "value string").write.text(f"{tmp_dir}/in")
     res = jobs.score_text_with_saved_model(spark, f"{tmp_dir}/model", f"{tmp_dir}/in", f"{tmp_dir}/out")
@@ -166,7 +227,7 @@ def test_spec_column_lists_split_like_java():
 
 def test_fixed_layout_job_and_canonical_kmeans(spark, tmp_dir):
     ev = catalog.event_table(spark, SF)
-    ev.where("split = 'train'").select("id", F.col("y").cast("int"), F.col("hour").cast("int"),
+    ev.select("id", F.col("y").cast("int"), F.col("hour").cast("int"),
                                        F.col("k").cast("int"), F.floor("value").cast("int").alias("v")
                                        ).write.parquet(f"{tmp_dir}/ptrain")
     ev.select("id", "event_type", "hour", "k", "value").write.parquet(f"{tmp_dir}/ptest")

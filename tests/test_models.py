@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from minekit.operators import bayes, cluster, fpm, regression, tree
+from minekit.operators.frames import train_test_split
 from minekit.plans import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -76,15 +77,6 @@ def test_sgd_matches_mllib(spark, reg, cls, kw):
     assert np.allclose(fit.weights, ref.weights.toArray(), atol=1e-9)
 
 
-def test_sgd_iterative_path_equals_gram_path(spark, monkeypatch):
-    data = catalog.lineitem_regression(spark, SF)
-    gram = regression.fit_sgd(data, "y", ["x1", "x2"], iterations=100, step=0.5)
-    monkeypatch.setattr(regression, "GRAM_MAX_FEATURES", 1)
-    it = regression.fit_sgd(data, "y", ["x1", "x2"], iterations=100, step=0.5)
-    assert it.iterations == gram.iterations
-    assert np.allclose(it.weights, gram.weights, atol=1e-12)
-
-
 def test_sgd_divergence_raises(spark):
     df = spark.createDataFrame([(float(i) * 1000, float(i) * 1000) for i in range(1, 50)], "y double, x double")
     with pytest.raises(ArithmeticError):
@@ -93,8 +85,9 @@ def test_sgd_divergence_raises(spark):
 
 def test_tree_recovers_planted_rule(spark):
     po = catalog.planted_orders(spark, SF)
-    fit = tree.fit_decision_tree(po.where("split = 'train'"), "y", ["f1", "f2"], max_depth=3)
-    held_out = tree.score(fit, po.where("split = 'test'").select("y", "f1", "f2"), ["f1", "f2"])
+    train, test = train_test_split(po, "id")
+    fit = tree.fit_decision_tree(train, "y", ["f1", "f2"], max_depth=3)
+    held_out = tree.score(fit, test.select("y", "f1", "f2"), ["f1", "f2"])
     assert held_out.where("prediction != y").count() == 0
 
 
@@ -168,21 +161,6 @@ def test_rule_text_format(spark):
     assert rules == {"[a] => [b]": 2 / 3, "[b] => [a]": 1.0}
 
 
-def test_nearest_centre_array_path_matches_unrolled(spark, monkeypatch):
-    import random
-    rnd = random.Random(3)
-    centres = [[rnd.uniform(0, 10), rnd.uniform(0, 10)] for _ in range(80)] + [[5.0, 5.0], [5.0, 5.0]]
-    df = spark.createDataFrame([(rnd.uniform(0, 10), rnd.uniform(0, 10)) for _ in range(300)] + [(5.0, 5.0)],
-                               "x double, y double")
-    feats = [F.col("x"), F.col("y")]
-    monkeypatch.setattr(cluster, "UNROLL_TERMS", 0)
-    array_path = [r[0] for r in df.select(cluster.nearest_centre(feats, centres)).collect()]
-    monkeypatch.setattr(cluster, "UNROLL_TERMS", 10_000)
-    unrolled = [r[0] for r in df.select(cluster.nearest_centre(feats, centres)).collect()]
-    assert array_path == unrolled
-    assert array_path[-1] == 80          # exact tie between 80 and 81 -> lowest
-
-
 def test_tree_predictions_match_mllib(spark):
     from pyspark.mllib.regression import LabeledPoint
     from pyspark.mllib.tree import DecisionTree
@@ -211,49 +189,121 @@ def test_als_key_set_matches_mllib(spark):
     assert ours == theirs
 
 
-def test_gram_blocks_equal_sql_sums(spark, monkeypatch):
+def test_tree_debug_string_shows_original_labels(spark):
+    df = _labelled(spark, (5, 7))
+    text = tree.fit_decision_tree(df, "y", ["a", "b"], max_depth=2).debug_string()
+    preds = set(re.findall(r"Predict: ([0-9.]+)", text))
+    assert preds and preds <= {"5.0", "7.0"}
+
+
+def test_naive_bayes_scoring_rejects_negative_feature(spark):
+    df = spark.createDataFrame([(1, 1.0, 2.0), (2, 0.0, 3.0)], "id int, y double, a double")
+    fit = bayes.fit_naive_bayes(df, "y", ["a"])
+    bad = spark.createDataFrame([(3, -1.0)], "id int, a double")
+    with pytest.raises(Exception):
+        bayes.predict_naive_bayes(fit, bad, ["a"]).collect()
+
+
+def test_sgd_solvers_agree_and_fail_alike(spark):
     data = catalog.lineitem_regression(spark, SF)
-    sql = regression.gram(data, "y", ["x1", "x2"])
-    monkeypatch.setattr(regression, "SQL_GRAM_MAX_FEATURES", 0)
-    blocks = regression.gram(data, "y", ["x1", "x2"])
-    assert blocks.n == sql.n
-    assert np.allclose(blocks.xx, sql.xx, rtol=1e-12) and np.allclose(blocks.xy, sql.xy, rtol=1e-12)
+    gram = regression.fit_sgd(data, "y", ["x1", "x2"], iterations=100, step=0.5)
+    it = regression.fit_sgd(data, "y", ["x1", "x2"], iterations=100, step=0.5, solver="iterative")
+    assert it.iterations == gram.iterations
+    assert np.allclose(it.weights, gram.weights, atol=1e-12)
+    for solver in ("gram", "iterative"):
+        with pytest.raises(ValueError, match="empty training table"):
+            regression.fit_sgd(data.limit(0), "y", ["x1", "x2"], solver=solver)
+    with pytest.raises(ValueError, match="unknown solver"):
+        regression.fit_sgd(data, "y", ["x1", "x2"], solver="exact")
+
+
+def test_gram_sums(spark):
     wide = spark.range(3000).select(*[((F.col("id") * (i + 3)) % 17 / 17.0).alias(f"x{i}") for i in range(24)],
                                     ((F.col("id") % 11) / 11.0).alias("y"))
     cols = [f"x{i}" for i in range(24)]
     g = regression.gram(wide, "y", cols)
     pdf = wide.toPandas()
     x = pdf[cols].to_numpy()
+    assert g.n == 3000
     assert np.allclose(g.xx, x.T @ x, rtol=1e-12) and np.allclose(g.xy, x.T @ pdf["y"].to_numpy(), rtol=1e-12)
 
 
-def test_tree_debug_string_shows_original_labels(spark):
-    df = _labelled(spark, (5, 7))
-    text = tree.fit_decision_tree(df, "y", ["a", "b"], max_depth=2).debug_string()
-    preds = set(re.findall(r"Predict: ([0-9.]+)", text))
-    assert preds and preds <= {"5.0", "7.0"}
+def test_wide_regression_scores(spark):
+    d = 2500
+    names = [f"x{i}" for i in range(d)]
+    df = spark.range(5).select("id", *[((F.col("id") + i) % 7).cast("double").alias(c) for i, c in enumerate(names)])
+    weights = np.linspace(-1, 1, d)
+    out = regression.predict_sgd(regression.SgdFit(weights, 1, names), df, names)
+    got = {r["id"]: r["label"] for r in out.select("id", "label").collect()}
+    for i in range(5):
+        assert abs(got[i] - sum(w * ((i + j) % 7) for j, w in enumerate(weights))) < 1e-9
 
 
-def test_naive_bayes_expression_scoring_equals_spark_ml(spark, monkeypatch):
-    ev = catalog.event_table(spark, SF)
-    fit = bayes.fit_naive_bayes(ev.where("split = 'train'"), "y", catalog.EVENT_FEATURES)
-    expr = {r["id"]: r["label"] for r in bayes.predict_naive_bayes(fit, ev, catalog.EVENT_FEATURES).collect()}
-    monkeypatch.setattr(bayes, "UNROLL_TERMS", 0)
-    ml = {r["id"]: r["label"] for r in bayes.predict_naive_bayes(fit, ev, catalog.EVENT_FEATURES).collect()}
-    assert expr == ml and len(expr) == ev.count()
+def test_many_classes(spark):
+    rows = [(i, float(i % 500) * 3, float(i % 500), float(500 - i % 500)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id int, y double, a double, b double")
+    fit = bayes.fit_naive_bayes(df, "y", ["a", "b"])
+    assert fit.labels.num_classes == 500
+    labels = {r["label"] for r in bayes.predict_naive_bayes(fit, df, ["a", "b"]).select("label").distinct().collect()}
+    assert len(labels) > 100 and labels <= {float(i) * 3 for i in range(500)}
+    with pytest.raises(ValueError, match="more than 10 distinct"):
+        bayes.fit_naive_bayes(df, "y", ["a", "b"], max_classes=10)
+
+
+def test_naive_bayes_given_class_without_rows(spark):
+    df = spark.createDataFrame([(i, float(i % 2 * 2), float(i % 2 * 9 + 1), float(9 - i % 2 * 8)) for i in range(20)],
+                               "id int, y double, a double, b double")
+    fit = bayes.fit_naive_bayes(df, "y", ["a", "b"], labels=[0, 1, 2])
+    out = bayes.predict_naive_bayes(fit, df, ["a", "b"]).collect()
+    assert {(r["id"] % 2 * 2, r["label"]) for r in out} == {(0, 0.0), (2, 2.0)}
+    with pytest.raises(ValueError, match="not among the given classes"):
+        bayes.fit_naive_bayes(df, "y", ["a", "b"], labels=[0, 1])
+
+
+def test_many_centre_values(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(20_000, 64))                 # 1.28 million numbers
+    rows = [(i, centres[i * 37].tolist()) for i in range(300)] + [(300, None), (301, [1.0]), (302, [None] * 64)]
+    df = spark.createDataFrame(rows, "id int, x array<double>")
+    got = {r["id"]: r["c"] for r in df.select("id", cluster.nearest_centre(F.col("x"), centres).alias("c")).collect()}
+    assert all(got[i] == i * 37 for i in range(300)) and got[300] is got[301] is got[302] is None
+
+
+def test_nearest_centre_equals_brute_force(spark):
+    rng = np.random.default_rng(3)
+    centres = np.vstack([rng.uniform(0, 10, size=(80, 2)), [[5.0, 5.0], [5.0, 5.0]]])
+    points = np.vstack([rng.uniform(0, 10, size=(300, 2)), [[5.0, 5.0]]])
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(points)], "i int, x double, y double")
+    got = {r["i"]: r["c"] for r in df.select("i", cluster.nearest_centre([F.col("x"), F.col("y")], centres).alias("c")).collect()}
+    want = ((points[:, None] - centres) ** 2).sum(axis=2).argmin(axis=1)
+    assert [got[i] for i in range(301)] == want.tolist() and got[300] == 80
+
+
+def test_null_basket_raises(spark):
+    df = spark.createDataFrame([("a b",), (None,)], "basket string")
+    for dedupe in (False, True):
+        with pytest.raises(Exception, match="NULL basket"):
+            fpm.baskets(df, "basket", dedupe=dedupe).collect()
+
+
+def test_als_depends_on_blocks_not_on_partitions(spark):
+    from minekit.operators import als
+    ratings = catalog.cust_supp_ratings(spark, SF).where("user < 40").orderBy("user", "item")
+    rows = [tuple(r) for r in ratings.collect()]
 
+    def predictions(parts):
+        df = spark.createDataFrame(rows, ratings.schema).repartition(parts)
+        model = als.fit_als(df, rank=3, max_iter=3, seed=7)
+        return {(r[0], r[1]): r[2] for r in als.predict_pairs(model, df).collect()}
 
-def test_naive_bayes_scoring_rejects_negative_feature(spark):
-    df = spark.createDataFrame([(1, 1.0, 2.0), (2, 0.0, 3.0)], "id int, y double, a double")
-    fit = bayes.fit_naive_bayes(df, "y", ["a"])
-    bad = spark.createDataFrame([(3, -1.0)], "id int, a double")
-    with pytest.raises(Exception):
-        bayes.predict_naive_bayes(fit, bad, ["a"]).collect()
+    a, b = predictions(2), predictions(9)
+    assert a.keys() == b.keys() and max(abs(a[k] - b[k]) for k in a) < 1e-3
 
 
-def test_kmeans_expression_assignment_equals_spark_ml(spark):
-    ev = catalog.event_table(spark, SF)
-    model = cluster.fit_kmeans(ev, ["hour", "k", "value"], k=4, max_iter=10, seed=3)
-    a = {r["id"]: r["cluster"] for r in cluster.assign(model, ev, ["hour", "k", "value"]).collect()}
-    b = {r["id"]: r["cluster"] for r in cluster.assign(model, ev, ["hour", "k", "value"], use_expressions=False).collect()}
-    assert a == b and len(a) == ev.count()
+def test_best_split_many_values_and_empty_table(spark):
+    # 50 values, more than max_bins but counted one by one
+    df = spark.createDataFrame([(float(i % 50), float(i % 50 >= 25)) for i in range(500)], "a double, y double")
+    best = tree.best_split(df, "y", ["a"], max_bins=32).first()
+    assert best["gain"] > 0.4 and 23 <= best["threshold"] <= 26
+    with pytest.raises(ValueError, match="empty training table"):
+        tree.best_split(df.limit(0), "y", ["a"])

@@ -31,13 +31,18 @@ def test_ratings_build_aggregates_map_side(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_quantity:double>" in plan
 
 
-def test_sgd_prediction_and_assignment_stay_in_codegen(spark):
-    for name in ("linreg_predict", "kmeans_assign", "dtree_predict"):
+def test_sgd_and_tree_prediction_are_map_only(spark):
+    for name in ("linreg_predict", "dtree_predict"):
         plan = plan_of(catalog.QUERIES[name](spark, SF))
         assert "Exchange" not in plan, name
         assert not any(node in plan for node in PYTHON_NODES), name
 
 
+def test_assignment_to_given_centres_is_map_only(spark):
+    plan = plan_of(catalog.QUERIES["kmeans_assign"](spark, SF))
+    assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1
+
+
 def test_rules_plan_has_no_python(spark):
     model = catalog._fp_model(spark, SF, "p_type", 0.05, 0.3)
     assert not any(node in plan_of(fpm.rule_text(model)) for node in PYTHON_NODES)

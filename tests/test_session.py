@@ -48,3 +48,18 @@ def test_scratch_paths_live_under_the_checkpoint_dir(spark):
     base = spark.sparkContext.getCheckpointDir()
     a, b = session.scratch_path(spark, "x"), session.scratch_path(spark, "x")
     assert a.startswith(base) and b.startswith(base) and a != b
+
+
+def test_only_one_process_is_local():
+    assert session.is_local(_Session("local[8]")) and session.is_local(_Session("local"))
+    assert not session.is_local(_Session("local-cluster[3,2,1024]")) and not session.is_local(_Session("yarn"))
+
+
+def test_scratch_is_released(spark, monkeypatch):
+    import os
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    spark.range(3).write.parquet(path := session.scratch_path(spark, "gone"))
+    local = path.removeprefix("file:")
+    assert os.path.isdir(local)
+    session.release_scratch(spark)
+    assert not os.path.exists(local)
