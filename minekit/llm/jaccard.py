@@ -9,14 +9,15 @@ that are similar enough share a token among the first few of both.
     ``FREQUENT`` most frequent go last in the order, by count.  (The order
     changes the work, never the result.)
 2.  Each class posts the tokens of its prefix.  Among the classes that post a
-    token the smallest is its pivot; a class is compared with the pivot that
-    it meets most often, and the links found partition similar documents into
-    groups, however large, without comparing all members.
+    token the smallest is its pivot; a class joins the group of the pivot that
+    it meets most often, and is compared with that pivot if they share enough
+    tokens to be linked.
 3.  Groups are cut into blocks of about ``BLOCK`` classes.  A class is set
-    against a block of another group only where the places and the number of
-    shared tokens and the set sizes leave room for enough overlap.  The block's row of the matrix is
-    the union of its members' tokens: it bounds the overlap of the class with
-    any member, and only blocks that pass are opened and compared one by one.
+    against a block only where it holds members of other components, and the
+    places and the number of shared tokens and the set sizes leave room for
+    enough overlap.  The block's row of the matrix is the union of its members'
+    tokens, with postings: the row bounds the overlap of the class with any
+    member, and only blocks that pass are opened and their members counted.
 
 Links between different sets thus all reach the components, though links
 inside a group that is connected already are not looked for.
@@ -189,8 +190,8 @@ def _postings(docs: DataFrame, frequent: _Frequent, k: int, num: int, den: int)
 
 
 def _token_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(group, part, asks, set, tokens) for every place in ``wanted``: (id of a
-    document, its set, places: array of (group, part, asks))."""
+    """(group, part, asks, comp, set, tokens) for every place in ``wanted``: (id of a
+    document, its set, places: array of (group, part, asks, comp))."""
     small = wanted.count() <= BROADCAST_IDS
     rows = docs.join(F.broadcast(wanted) if small else wanted, "id").select("text", "set", "places")
 
@@ -205,51 +206,72 @@ def _token_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 at += len(texts)
                 for key, w, to, a, b in zip(set_keys(tokens, of).tolist(), want, places, of[:-1], of[1:], strict=True):
                     if key == w:                             # else another text under a repeated id
-                        out += [(p["group"], p["part"], p["asks"], key, raw[8 * a:8 * b]) for p in to]
+                        out += [(p["group"], p["part"], p["asks"], p["comp"], key, raw[8 * a:8 * b]) for p in to]
                 if out:
-                    cols = zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary()))
+                    cols = zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()))
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in cols],
-                                                     names=["group", "part", "asks", "set", "tokens"])
+                                                     names=["group", "part", "asks", "comp", "set", "tokens"])
 
-    return rows.mapInArrow(run, "group long, part int, asks boolean, set long, tokens binary")
+    return rows.mapInArrow(run, "group long, part int, asks boolean, comp long, set long, tokens binary")
 
 
 def _tokens(data: bytes) -> np.ndarray:
     return np.frombuffer(data, dtype="<u8")
 
 
-def _overlap(a: np.ndarray, b: np.ndarray) -> int:
-    """Common elements of two sorted arrays."""
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = 0
-    return int((b[at] == a).sum())
+class _Block:
+    """The members of a block: their tokens' union, and who holds each token."""
 
+    def __init__(self, members: dict[int, tuple[int, np.ndarray]]):
+        self.sets = np.array(list(members), dtype=np.int64)
+        self.comps = np.array([c for c, _ in members.values()], dtype=np.int64)
+        self.sizes = np.array([len(t) for _, t in members.values()])
+        tokens = np.concatenate([t for _, t in members.values()])
+        order = np.argsort(tokens, kind="stable")
+        self.row, first = np.unique(tokens[order], return_index=True)
+        self.ends = np.append(first, len(tokens))
+        self.holders = np.repeat(np.arange(len(members)), self.sizes)[order]
 
-def _linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
-    common = _overlap(a, b)
-    return den * common >= num * (len(a) + len(b) - common)
+    def linked(self, mine: np.ndarray, num: int, den: int) -> np.ndarray:
+        """The members linked with the set ``mine``; none if the union rules it out."""
+        at = np.minimum(np.searchsorted(self.row, mine), len(self.row) - 1)
+        at = at[self.row[at] == mine]
+        if den * len(at) < num * len(mine):
+            return np.zeros(0, dtype=np.int64)
+        n = self.ends[at + 1] - self.ends[at]
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.ends[at], n)
+        common = np.bincount(self.holders[place], minlength=len(self.sets))
+        return np.flatnonzero(den * common >= num * (len(mine) + self.sizes - common))
 
 
 def _open_groups(docs: DataFrame, places: DataFrame, ids: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Links (a, b) of every class that asks with the members of its group's part.
+    """Links (a, b) between classes that ask and members of their group's part,
+    as many as join the components that the part meets.
 
-    ``places`` are rows (set, group, part, asks); a part is a bounded number of
-    members, and its row of the matrix is the union of their tokens."""
-    wanted = places.groupBy("set").agg(F.collect_set(F.struct("group", "part", "asks")).alias("places")).join(ids, "set")
+    ``places`` are rows (set, group, part, asks, comp); a part has a bounded
+    number of members."""
+    wanted = places.groupBy("set").agg(F.collect_set(F.struct("group", "part", "asks", "comp")).alias("places")).join(
+        ids, "set")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        links = []
-        inside = {s: _tokens(t) for s, t, asks in zip(rows["set"], rows.tokens, rows.asks, strict=True) if not asks}
-        asking = {s: _tokens(t) for s, t, asks in zip(rows["set"], rows.tokens, rows.asks, strict=True) if asks}
-        if inside and asking:
-            row = np.unique(np.concatenate(list(inside.values())))
-            for s, mine in asking.items():
-                if den * _overlap(mine, row) >= num * len(mine):             # else no member can overlap enough
-                    links += [(s, other) for other, theirs in inside.items()
-                              if num * len(mine) <= den * len(theirs) and num * len(theirs) <= den * len(mine)
-                              and _linked(mine, theirs, num, den)]
+        links, parent = [], {}
+
+        def find(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        sides: tuple[dict, dict] = ({}, {})
+        for key, comp, tokens, asks in zip(rows["set"], rows.comp, rows.tokens, rows.asks, strict=True):
+            sides[bool(asks)][key] = (comp, _tokens(tokens))
+        if sides[0] and sides[1]:
+            block = _Block(sides[0])
+            for key, (comp, mine) in sides[1].items():
+                for i in block.linked(mine, num, den).tolist():
+                    a, b = find(comp), find(int(block.comps[i]))
+                    if a != b:
+                        parent[a] = b
+                        links.append((key, int(block.sets[i])))
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return _token_sets(docs, wanted.select("id", "set", "places"), k).groupBy("group", "part").applyInPandas(
@@ -286,50 +308,52 @@ def similar_documents(docs: DataFrame, column: str = "text", key: str = "doc_id"
     ids = materialize(sets.filter(F.col("id").isNotNull() & (F.col("n") > 0)).groupBy("set").agg(
         F.min("id").alias("id")), "ids")
 
-    # one pivot per class: that of most of its tokens, if those are enough
+    # one pivot per class, that of most of its tokens: its group, and compared if those are enough
     meets = posted.filter(F.col("set") != F.col("pivot")).groupBy("set", "n", "pivot").agg(
         F.countDistinct("token").alias("c"))
     pivots = meets.groupBy("set", "n").agg(F.max(F.struct("c", "pivot")).alias("p")).select("set", "n", "p.pivot", "p.c")
-    pivots = pivots.join(sizes.select(F.col("set").alias("pivot"), F.col("n").alias("m")), "pivot").filter(
-        F.col("c") >= _least_shared(F.col("n"), F.col("m"), num, den))
-    parts = pivots.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
-    places = (pivots.join(parts, "pivot").select(
+    pivots = materialize(pivots.join(sizes.select(F.col("set").alias("pivot"), F.col("n").alias("m")), "pivot"), "pivots")
+    asking = pivots.filter(F.col("c") >= _least_shared(F.col("n"), F.col("m"), num, den))
+    parts = asking.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+    places = (asking.join(parts, "pivot").select(
         "set", F.col("pivot").alias("group"), F.pmod(F.xxhash64("set"), F.col("parts")).cast("int").alias("part"),
-        F.lit(True).alias("asks"))
+        F.lit(True).alias("asks"), F.col("set").alias("comp"))
         .unionByName(parts.select(F.col("pivot").alias("set"), F.col("pivot").alias("group"), F.explode(
-            F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("asks"))))
+            F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("asks"),
+            F.col("pivot").alias("comp"))))
     near = materialize(_open_groups(docs, places, ids, k, num, den), "links")
 
-    # groups so far, in blocks
+    # the groups in blocks, and the components so far
     comp = components(near).withColumnRenamed("node", "set")
-    group = sizes.select("set").join(comp, "set", "left").select(
-        "set", F.coalesce("component", "set").alias("comp"))
-    blocks = group.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    group = materialize(group.join(blocks, "comp").select(
-        "set", "comp", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int").alias("block")), "groups")
+    group = (sizes.select("set").join(pivots.select("set", "pivot"), "set", "left").join(comp, "set", "left")
+             .select("set", F.coalesce("pivot", "set").alias("group"), F.coalesce("component", "set").alias("comp")))
+    blocks = group.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    group = materialize(group.join(blocks, "group").select(
+        "set", "comp", "group", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int").alias("part")), "groups")
     small = group.count() <= BROADCAST_IDS
     cross = (posted.drop("pivot").join(F.broadcast(group) if small else group, "set")
              .withColumn("lo", F.min("comp").over(by_token)).withColumn("hi", F.max("comp").over(by_token))
              .filter(F.col("lo") != F.col("hi")).drop("lo", "hi"))
-    matrix = cross.groupBy("token", "comp", "block").agg(
-        F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max(F.col("n") - F.col("pos")).alias("room"))
-    q = cross.select("token", "set", F.col("comp").alias("own"), "n", (F.col("n") - F.col("pos")).alias("left"))
+    matrix = cross.groupBy("token", "group", "part").agg(
+        F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max(F.col("n") - F.col("pos")).alias("room"),
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("set").alias("last"))
+    q = cross.select("token", "set", "comp", "n", (F.col("n") - F.col("pos")).alias("left"))
     # sizes that a partner in the block may have
     low = F.greatest(F.col("n_min"), F.ceil(F.col("n") * num / den))
     high = F.least(F.col("n_max"), F.floor(F.col("n") * den / num))
     # the first shared token leaves the most room; every shared token counts
     fits = F.least("left", "room") * (num + den) >= (F.col("n") + low) * num
     need = F.least(_least_shared(F.col("n"), low, num, den), _least_shared(F.col("n"), high, num, den))
-    opens = (q.join(matrix, "token").filter((F.col("own") < F.col("comp")) & (low <= high))
-             .groupBy("set", "comp", "block")
+    # of a pair the smaller class asks, and only where another component is met
+    others = (F.col("set") < F.col("last")) & ((F.col("comp") != F.col("lo")) | (F.col("comp") != F.col("hi")))
+    opens = (q.join(matrix, "token").filter(others & (low <= high))
+             .groupBy("set", "comp", "group", "part")
              .agg(F.countDistinct("token").alias("c"), F.min(need).alias("need"), F.max(fits).alias("fits"))
-             .filter(F.col("fits") & (F.col("c") >= F.col("need"))).select("set", "comp", "block"))
+             .filter(F.col("fits") & (F.col("c") >= F.col("need"))).select("set", "comp", "group", "part"))
     opens = materialize(opens, "opens")
-    members = group.join(opens.select("comp", "block").distinct(), ["comp", "block"], "left_semi")
-    places = (opens.select("set", F.col("comp").alias("group"), F.col("block").alias("part"), F.lit(True).alias("asks"))
-              .unionByName(members.select("set", F.col("comp").alias("group"), F.col("block").alias("part"),
-                                          F.lit(False).alias("asks"))))
-    more = _open_groups(docs, places, ids, k, num, den)
+    members = group.join(opens.select("group", "part").distinct(), ["group", "part"], "left_semi")
+    more = _open_groups(docs, opens.withColumn("asks", F.lit(True)).unionByName(
+        members.withColumn("asks", F.lit(False))), ids, k, num, den)
 
     # back to documents: classes by their smallest id, documents with several sets join them
     ids = ids.withColumnRenamed("id", "rep")
