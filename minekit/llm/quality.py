@@ -100,7 +100,7 @@ def lines_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def expand(base: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Features of the line, of the one before and the one after (0 at the ends), and 1."""
-    steps_ = (base[:, :SHARES, None] > STEPS).reshape(len(base), -1)
+    steps_ = (base[:, :SHARES, None] > STEPS).reshape(len(base), SHARES * len(STEPS))
     own = np.concatenate([base, steps_.astype(np.float32)], axis=1)
     before, after = np.zeros_like(own), np.zeros_like(own)
     before[1:], after[:-1] = own[:-1], own[1:]
