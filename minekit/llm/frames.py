@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,6 +35,18 @@ def steps(values: pa.Array, step_bytes: int = STEP_BYTES) -> Iterator[pa.Array]:
         at = stop
 
 
+def release_memory() -> None:
+    """Gives a worker's free memory back to the system at the end of a task.
+
+    Spark keeps idle workers for later stages; what they hold on to counts
+    against the executor all the same."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with contextlib.suppress(OSError, AttributeError):       # another C library
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def append_columns(df: DataFrame, column: str, fields: list[tuple[str, DataType]],
                    make: Callable[[], Callable[[pa.Array], list[pa.Array]]]) -> DataFrame:
     """``df`` with ``fields`` computed from ``column`` by Arrow batch.
@@ -56,5 +72,6 @@ def append_columns(df: DataFrame, column: str, fields: list[tuple[str, DataType]
                 at += len(part)
                 cols = [rows.column(i) for i in range(rows.num_columns) if i != src]
                 yield pa.RecordBatch.from_arrays(cols + work(part), names=kept + names)
+        release_memory()
 
     return base.mapInArrow(run, schema)

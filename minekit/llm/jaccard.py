@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from minekit.llm.components import components
-from minekit.llm.frames import steps
+from minekit.llm.frames import release_memory, steps
 from minekit.llm.spans import mix, span_hashes, words
 from minekit.session import materialize
 
@@ -49,6 +49,8 @@ from minekit.session import materialize
 FREQUENT = 100_000
 #: Occurrences in one task from which a token is counted over all tasks.
 FREQUENT_IN_TASK = 4
+#: Tokens that a task holds between two counts, and different ones that it keeps counts of.
+SURVEY_TOKENS = 1_000_000
 #: Classes of a block, the unit that is opened or not.
 BLOCK = 256
 #: Ids that may be broadcast to pick rows before a shuffle; beyond, the rows are shuffled.
@@ -135,17 +137,22 @@ def _survey(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
                 at += len(texts)
                 held.append(tokens)
                 room += len(tokens)
-                if room > 4_000_000:
+                if room > SURVEY_TOKENS:
                     count()
                     held, room = [], 0
+                    if len(often) > SURVEY_TOKENS:                   # rare ones so far make room
+                        often = {t: n for t, n in often.items() if n >= FREQUENT_IN_TASK}
         if held:
             count()
+        held = []
         kept = {t: n for t, n in often.items() if n >= FREQUENT_IN_TASK}
         if kept:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(len(kept), np.int32)), pa.array(list(kept), pa.int64()),
                  pa.array(list(kept.values()), pa.int64()), pa.array(np.zeros(len(kept), np.int64))],
                 names=["kind", "x", "n", "y"])
+        often = {}
+        release_memory()
 
     both = materialize(docs.mapInArrow(run, "kind int, x long, n long, y long"), "survey")
     sets = both.filter("kind = 0").select(F.col("x").alias("id"), "n", F.col("y").alias("set"))
@@ -185,6 +192,7 @@ def _postings(docs: DataFrame, frequent: _Frequent, k: int, num: int, den: int)
                          pa.array(np.repeat(np.array([n for n, _ in sizes], np.int32), lens)),
                          pa.array((np.arange(ends[-1]) - np.repeat(ends - lens, lens)).astype(np.int32))],
                         names=["token", "set", "n", "pos"])
+        release_memory()
 
     return docs.select("text").mapInArrow(run, "token long, set long, n int, pos int")
 
@@ -211,6 +219,7 @@ def _token_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                     cols = zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()))
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in cols],
                                                      names=["group", "part", "asks", "comp", "set", "tokens"])
+        release_memory()
 
     return rows.mapInArrow(run, "group long, part int, asks boolean, comp long, set long, tokens binary")
 

@@ -18,6 +18,7 @@ places of their own; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from minekit.llm.bpe import PretokenEncoder, _Memo
-from minekit.llm.frames import steps
+from minekit.llm.frames import release_memory, steps
 from minekit.session import materialize
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
@@ -51,6 +52,7 @@ class FileEncoder(PretokenEncoder):
 
     def __init__(self, path: str):
         super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"           # Spark has one task per core already
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
@@ -76,11 +78,13 @@ def _encoder(path: str) -> FileEncoder:
 
 
 def pieces_of(docs: DataFrame, column: str = "text", key: str = "doc_id", length: int = LENGTH,
-              end_id: int = END_ID, path: str | None = None) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32, ids`` per piece, ``ids`` as
-    little-endian unsigned 32-bit numbers."""
+              end_id: int = END_ID, path: str | None = None, with_ids: bool = True) -> DataFrame:
+    """``doc_id, piece, start, length, ids_crc32`` per piece, and ``ids`` as
+    little-endian unsigned 32-bit numbers unless ``with_ids`` is false."""
     path = path or public_tokenizers.path(TOKENIZER)
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{column}`").alias("text"))
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:6 if with_ids else 5]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = _encoder(path), np.array([end_id], dtype="<u4").tobytes()
@@ -97,15 +101,14 @@ def pieces_of(docs: DataFrame, column: str = "text", key: str = "doc_id", length
                     start = piece = 0
                     while start < n:
                         data = raw[4 * start:4 * stop]
-                        out.append((doc, piece, start, stop - start, zlib.crc32(data), data))
+                        out.append((doc, piece, start, stop - start, zlib.crc32(data), data)[:len(names)])
                         start, stop, piece = stop, stop + length, piece + 1
-                cols = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(),
-                                                           pa.binary()), strict=True)],
-                    names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
+                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types)], names=names)
+        release_memory()
 
-    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
+    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long"
+                           + ", ids binary" * with_ids)
 
 
 # ---- the algorithm on one shard: sizes, and packings as a bin number per piece --------
