@@ -6,9 +6,9 @@ dimension is a list of the candidates sorted by value; a query reads it from
 the end that its weight favours.  The lists are read sequentially, a stretch
 of each per round.  A candidate's lower bound adds to what was read of it the
 least value of every list in which it was not met, its upper bound the value
-last read there.  Reading stops when neither an unseen candidate nor any but a
-few of the seen can still reach the k-th best lower bound; the scores of those
-few are then resolved in integers.
+last read there.  Reading stops when neither an unseen candidate nor all but
+some of the seen (at most one in ``RESOLVED``) can still reach the k-th best
+lower bound; the scores of those are then resolved in integers.
 
 Each pair of blocks returns at most k rows per query, merged per query.
 
@@ -30,53 +30,54 @@ from pyspark.sql import functions as F
 from minekit.llm.vectors import packed, stack
 from minekit.session import materialize
 
-#: Candidates and queries of a block, and rounds in which a list would be read to its end.
-CANDIDATES, QUERIES, ROUNDS = 8192, 1024, 8
+#: Candidates and queries of a block, rounds in which a list would be read to its end, and
+#: the part of the candidates (one in so many) whose scores are resolved when the others are out.
+CANDIDATES, QUERIES, ROUNDS, RESOLVED = 8192, 1024, 8, 8
 
 
 class SortedLists:
-    """The candidates of a block, sorted by value in every dimension."""
+    """The candidates of a block, sorted by value in every dimension, from both ends."""
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors                                   # integers, rows x dimensions
-        values = vectors.T.astype(np.float64)
-        self.order = np.argsort(values, axis=1, kind="stable").astype(np.int32)
-        self.sorted = np.take_along_axis(values, self.order, axis=1)
-        self.place = np.empty_like(self.order)                   # where a candidate stands in each list
-        np.put_along_axis(self.place, self.order, np.arange(len(vectors), dtype=np.int32)[None, :], axis=1)
-        self.place = np.ascontiguousarray(self.place.T)
+        n, values = len(vectors), vectors.T.astype(np.float64)
+        order = np.argsort(values, axis=1, kind="stable")
+        value = np.take_along_axis(values, order, axis=1)
+        place = np.empty(order.shape, dtype=np.int32)            # where a candidate stands in each list
+        np.put_along_axis(place, order, np.arange(n, dtype=np.int32)[None, :], axis=1)
+        # first index: 0 reads down from the largest value, 1 up from the smallest
+        self.order = np.stack([order[:, ::-1], order]).astype(np.intp)
+        self.place = np.stack([n - 1 - place, place])
+        self.rise = np.stack([(value - value[:, :1])[:, ::-1], value[:, -1:] - value])      # over the list's other end
+        self.least = np.stack([value[:, 0], value[:, -1]])
 
     def survivors(self, query: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
         """Rows that may be among the ``k`` best, by sequential reads; ``own`` rows are left out."""
-        n = len(self.vectors)
-        lists = np.flatnonzero(query)
+        n, lists = len(self.vectors), np.flatnonzero(query)
         if n - len(own) <= k or not len(lists):
             return np.setdiff1d(np.arange(n), own)
-        weight = query[lists].astype(np.float64)
-        up = weight < 0                                           # such a list is read from its small end
-        least = np.where(up, self.sorted[lists, -1], self.sorted[lists, 0]) * weight
-        slack = 1e-9 * (np.abs(weight) * np.abs(self.sorted[lists][:, [0, -1]]).max(axis=1)).sum()
-        lower = np.full(n, least.sum())
+        way, weight = (query[lists] < 0).astype(np.intp), np.abs(query[lists].astype(np.float64))
+        slack = 1e-9 * (weight * np.abs(self.least[:, lists]).max(axis=0)).sum()
+        lower = np.zeros(n)                                      # over what all lists' ends add up to
         lower[own] = -np.inf
-        alive, depth = None, 0
-        while depth < n:
+        depth = 0
+        while True:
             stop = min(n, depth + max(k, -(-n // ROUNDS)))
-            for way, at in ((~up, slice(n - stop, n - depth)), (up, slice(depth, stop))):
-                some = lists[way]
-                lower += np.bincount(self.order[some, at].ravel(), minlength=n, weights=(
-                    self.sorted[some, at] * weight[way, None] - least[way, None]).ravel())
+            gain = self.rise[way, lists, depth:stop] * weight[:, None]
+            lower += np.bincount(self.order[way, lists, depth:stop].ravel(), weights=gain.ravel(), minlength=n)
             depth = stop
-            frontier = np.where(up, self.sorted[lists, depth - 1], self.sorted[lists, n - depth]) * weight
+            gap = self.rise[way, lists, depth - 1] * weight      # what an entry not read yet may add
             kth = np.partition(lower, n - k)[n - k]
-            if frontier.sum() >= kth - slack and depth < n:
-                continue                                          # an unseen candidate could still qualify
-            rest = np.arange(n) if alive is None else alive
-            read = np.where(up, self.place[np.ix_(rest, lists)] < depth, self.place[np.ix_(rest, lists)] >= n - depth)
-            upper = lower[rest] + (~read) @ (frontier - least)
-            alive = rest[upper >= kth - slack]
-            if len(alive) <= 4 * k:
-                break
-        return alive
+            if gap.sum() >= kth - slack and depth < n:
+                continue                                         # an unseen candidate could still qualify
+            few = max(4 * k, n // RESOLVED)
+            if depth < n and np.count_nonzero(lower + gap.sum() * (1 - depth / n) >= kth) > few:
+                continue                                         # too many would be left: read on before bounding each
+            rest = np.flatnonzero(lower + gap.sum() >= kth - slack)
+            unread = self.place[way[:, None], lists[:, None], rest] >= depth
+            alive = rest[lower[rest] + gap @ unread >= kth - slack]
+            if len(alive) <= few or depth == n:
+                return alive
 
     def top(self, query: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the ``k`` best, ties to the smaller id."""
