@@ -298,6 +298,22 @@ def _least_shared(n: Column, m: Column, num: int, den: int) -> Column:
     return F.ceil((n + m) * num / (num + den)) - F.greatest(rest(n), rest(m))
 
 
+def _least_shared_within(n: Column, low: Column, high: Column, num: int, den: int) -> Column:
+    """The least of ``_least_shared(n, m)`` over all sizes ``m`` from ``low`` to ``high``.
+
+    Up to ``n`` it grows with ``m``.  From ``n`` on it is above g(m) and at most
+    two above floor(g(m)), where g(m) = (n + m) * num / (num + den) - m * num / den
+    falls: sizes so far below ``high`` that g is greater by 1 need no fewer than
+    ``high``, so those nearer to it are tried, or floor(g(high)) + 1 stands for
+    them if they are many."""
+    near = -(-den * (num + den) // num ** 2)
+    if near > 16:
+        tail = [F.floor((n * den - high * num) * num / (den * (num + den))) + 1]
+    else:
+        tail = [_least_shared(n, F.greatest(low, high - j), num, den) for j in range(near)]
+    return F.least(_least_shared(n, low, num, den), *tail)
+
+
 def similar_documents(docs: DataFrame, column: str = "text", key: str = "doc_id", k: int = 5,
                       num: int = 80, den: int = 100) -> DataFrame:
     """``id, n_shingles, component`` per row: documents whose sets of ``k``-word
@@ -352,7 +368,7 @@ def similar_documents(docs: DataFrame, column: str = "text", key: str = "doc_id"
     high = F.least(F.col("n_max"), F.floor(F.col("n") * den / num))
     # the first shared token leaves the most room; every shared token counts
     fits = F.least("left", "room") * (num + den) >= (F.col("n") + low) * num
-    need = F.least(_least_shared(F.col("n"), low, num, den), _least_shared(F.col("n"), high, num, den))
+    need = _least_shared_within(F.col("n"), low, high, num, den)
     # of a pair the smaller class asks, and only where another component is met
     others = (F.col("set") < F.col("last")) & ((F.col("comp") != F.col("lo")) | (F.col("comp") != F.col("hi")))
     opens = (q.join(matrix, "token").filter(others & (low <= high))

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from minekit.llm import jaccard
 
@@ -98,3 +99,32 @@ def test_shingles_do_not_span_texts():
     assert np.diff(of).tolist() == [1, 2, 0, 0, 1]
     keys = jaccard.set_keys(tokens, of)
     assert keys[0] == keys[4] != keys[1] and keys[2] == keys[3] == 0
+
+
+def test_small_sets_of_mixed_sizes(spark, monkeypatch):
+    """A size between the smallest and the largest of a block may need fewer shared tokens than both."""
+    monkeypatch.setattr(jaccard, "FREQUENT", 0)                          # tokens by hash alone
+    by_hash = sorted((f"w{i}" for i in range(300)), key=lambda w: int(jaccard.shingle_sets(pa.array([w]), 1)[0][0]))
+    u, common, rest = by_hash[100:103], by_hash[103:115], by_hash[:100]
+    family = [common + u[:2], common + u, common[:11] + u[:2], common[:11] + u]
+    for rare in rest:                            # the one that makes its set the first of all, so it asks
+        sets = [common + [rare], *family]
+        keys = jaccard.set_keys(*jaccard.shingle_sets(pa.array([" ".join(s) for s in sets]), 1))
+        if keys.argmin() == 0 and keys[1] > keys[2:].min():
+            break
+    else:
+        raise AssertionError("no such word")
+    df = spark.createDataFrame([(i, " ".join(s), 0, "x") for i, s in enumerate(sets)], SCHEMA)
+    assert len(set(sets[0]) & set(sets[1])) * 100 == 80 * len(set(sets[0]) | set(sets[1]))
+    assert {r.component for r in jaccard.similar_documents(df, k=1).collect()} == {0}
+
+
+@pytest.mark.parametrize("num,den", [(80, 100), (50, 100), (9, 10), (1, 10)])
+def test_least_shared_holds_for_every_size_between(spark, num, den):
+    rows = spark.sql("SELECT n, low, high FROM (SELECT id AS n FROM range(1, 40)) JOIN (SELECT id AS low FROM range(1, 50)) "
+                     "JOIN (SELECT id AS high FROM range(1, 50)) WHERE low <= high")
+    need = jaccard._least_shared_within(F.col("n"), F.col("low"), F.col("high"), num, den)
+    exact = lambda n, m: -(-(n + m) * num // (num + den)) - max(-(-n * num // den), -(-m * num // den)) + 1
+    for r in rows.withColumn("need", need).collect():
+        least = min(exact(r.n, m) for m in range(r.low, r.high + 1))
+        assert r.need == least if (num, den) != (1, 10) else r.need <= least
