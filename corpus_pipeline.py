@@ -8,7 +8,7 @@ predecessor kept, all but the last return the columns of ``documents``:
 3. near_duplicates: of documents that link at a Jaccard similarity of 0.8 or
    more of their 5-word shingles, the one with the smallest id stays, and of
    rows that repeat an id one stays;
-4. packing: the documents' pieces with their places in sequences.
+4. packing: the documents' pieces, with their token ids and places in sequences.
 
 Both models are fitted in their stage, to rows of its own input (the held-out
 rows of the queries ``op7`` and ``op8`` stay held out).
@@ -66,8 +66,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.pieces_of(docs, with_ids=False)).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return packing.pack(packing.pieces_of(docs).drop("ids_crc32")).select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset", "ids")
 
 
 STAGES = [("language_id", language_id), ("quality", quality_filter), ("near_duplicates", near_duplicates),

@@ -19,7 +19,6 @@ places of their own; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import os
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,13 +77,13 @@ def _encoder(path: str) -> FileEncoder:
 
 
 def pieces_of(docs: DataFrame, column: str = "text", key: str = "doc_id", length: int = LENGTH,
-              end_id: int = END_ID, path: str | None = None, with_ids: bool = True) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32`` per piece, and ``ids`` as
-    little-endian unsigned 32-bit numbers unless ``with_ids`` is false."""
+              end_id: int = END_ID, path: str | None = None) -> DataFrame:
+    """``doc_id, piece, start, length, ids, ids_crc32`` per piece, ``ids`` as
+    little-endian unsigned 32-bit numbers."""
     path = path or public_tokenizers.path(TOKENIZER)
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{column}`").alias("text"))
-    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:6 if with_ids else 5]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["doc_id", "piece", "start", "length", "ids"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = _encoder(path), np.array([end_id], dtype="<u4").tobytes()
@@ -100,15 +99,14 @@ def pieces_of(docs: DataFrame, column: str = "text", key: str = "doc_id", length
                     stop = n - (n - 1) // length * length        # of the first piece; the others are full
                     start = piece = 0
                     while start < n:
-                        data = raw[4 * start:4 * stop]
-                        out.append((doc, piece, start, stop - start, zlib.crc32(data), data)[:len(names)])
+                        out.append((doc, piece, start, stop - start, raw[4 * start:4 * stop]))
                         start, stop, piece = stop, stop + length, piece + 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types)], names=names)
         release_memory()
 
-    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long"
-                           + ", ids binary" * with_ids)
+    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary").withColumn(
+        "ids_crc32", F.crc32("ids"))
 
 
 # ---- the algorithm on one shard: sizes, and packings as a bin number per piece --------
@@ -237,12 +235,15 @@ def _migrate(elite: DataFrame, islands: int) -> DataFrame:
 def pack(pieces: DataFrame, length: int = LENGTH, shard: int = SHARD, islands: int = ISLANDS,
          epochs: int = EPOCHS) -> DataFrame:
     """``pieces`` (with a ``length`` of at most ``length``) with ``sequence_id``
-    and ``offset``: every piece's place, gapless from 0 in each sequence."""
+    and ``offset``: every piece's place, gapless from 0 in each sequence.
+
+    The pieces are written once; only their numbers and lengths go through the
+    algorithm, and the places found are joined back to whole pieces."""
     uid: Column = F.monotonically_increasing_id()
     rows = materialize(pieces.withColumn("uid", uid), "pieces")
     full, open_ = rows.filter(F.col("length") >= length), rows.filter(F.col("length") < length)
     n = max(1, -(-open_.count() // shard))
-    parts = open_.withColumn("shard", F.pmod(F.xxhash64("uid"), F.lit(n)).cast("int"))
+    parts = open_.select("uid", "length").withColumn("shard", F.pmod(F.xxhash64("uid"), F.lit(n)).cast("int"))
     elite = None
     for epoch in range(epochs):
         if elite is not None:
@@ -261,11 +262,12 @@ def pack(pieces: DataFrame, length: int = LENGTH, shard: int = SHARD, islands: i
         begin = ends - sizes[order]
         offset = np.empty(len(bins), np.int64)
         offset[order] = begin - np.repeat(begin[head], np.diff(np.append(np.flatnonzero(head), len(bins))))
-        return pieces[columns].assign(sequence_id=(int(key[0]) + 1) << 32 | bins, offset=offset)
+        return pd.DataFrame({"uid": pieces.uid, "sequence_id": (int(key[0]) + 1) << 32 | bins, "offset": offset})
 
     columns = [c for c in rows.columns if c != "uid"]
-    schema = parts.select(*columns).withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")}).schema
-    placed = parts.groupBy("shard").cogroup(best.groupBy("shard")).applyInPandas(place, schema)
+    places = parts.groupBy("shard").cogroup(best.groupBy("shard")).applyInPandas(
+        place, "uid long, sequence_id long, offset long")
+    placed = open_.join(places, "uid").select(*columns, "sequence_id", "offset")
     # a full piece is a sequence of its own, with a negative number
     alone = full.select(*columns, (-1 - F.col("uid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return alone.unionByName(placed)

@@ -127,8 +127,9 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op5_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pieces_of(table(spark, sf_dir, "documents").select("doc_id", "text"), with_ids=False)
-    return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    pieces = packing.pieces_of(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("ids_crc32")
+    return packing.pack(pieces).select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
 # ---- 6: licence scan -------------------------------------------------------

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from minekit.llm import packing
+import corpus_pipeline
+from minekit.llm import packing, registry
 
 SCHEMA = "doc_id long, text string, piece string, uid string"
 
@@ -81,3 +82,22 @@ def test_defined_cases(spark):
     assert packing.pack(packing.pieces_of(df.limit(0))).count() == 0
     full = packing.pack(spark.range(3).select(F.lit(4).cast("long").alias("length")), length=4)
     assert full.select("sequence_id").distinct().count() == 3
+
+
+def test_packed_pieces_hold_their_ids(spark, library, monkeypatch):
+    texts = ["it's a  test\n\n of words " * n for n in (1, 3, 400, 30)] + [None, "short"]
+    df = spark.createDataFrame([(i, t, "p", "u") for i, t in enumerate(texts)], SCHEMA)
+    out = corpus_pipeline.pack(spark, df, "").collect()
+    assert _check(out, 1024) < len(out)
+    for i, t in enumerate(texts):
+        rows = sorted((r for r in out if r.doc_id == i), key=lambda r: r.piece)
+        ids = library.encode(t or "", add_special_tokens=False).ids + [2]
+        assert b"".join(bytes(r.ids) for r in rows) == np.array(ids, dtype="<u4").tobytes()
+        assert all(zlib.crc32(bytes(r.ids)) == r.ids_crc32 for r in rows)
+
+    packed, pack = [], packing.pack
+    monkeypatch.setattr(packing, "pack", lambda *a: packed.append(pack(*a)) or packed[0])
+    monkeypatch.setattr(registry, "table", lambda *a: df)
+    query = registry.op5_bestfit_packing(spark, "")
+    assert "ids" in packed[0].columns and sorted((r.doc_id, r.piece, r.ids_crc32) for r in query.collect()) == sorted(
+        (r.doc_id, r.piece, r.ids_crc32) for r in out)
