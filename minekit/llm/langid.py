@@ -129,8 +129,9 @@ def fit_languages(train: DataFrame, column: str = "text", language: str = "lang"
     ``per_language`` bounds the rows learned from, for each language."""
     rows = train.select(F.col(f"`{column}`").alias("text"), F.col(f"`{language}`").alias("lang")).filter(
         F.col("text").isNotNull() & F.col("lang").isNotNull())
-    counts = {r.lang: r.n for r in train.filter(F.col(f"`{language}`").isNotNull())
-              .groupBy(F.col(f"`{language}`").alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    # copies are learned from once, so they count once
+    counts = {r.lang: r.n for r in rows.select("lang", F.xxhash64("text").alias("h")).distinct()
+              .groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return None
     # a row's hash decides; half as many again as wanted pass, the smallest hashes are kept

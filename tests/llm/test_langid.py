@@ -51,6 +51,17 @@ def test_sample_is_bounded(spark, monkeypatch):
     assert seen[0] <= 3 * 40
 
 
+def test_copies_do_not_thin_the_sample(spark, monkeypatch):
+    seen = []
+    fit = langid._fit
+    monkeypatch.setattr(langid, "_fit", lambda rows, *a: seen.extend(rows) or fit(rows, *a))
+    rows = _texts(5, 600)
+    copied = [(1, "the and thing", "aa", "")] * 20_000 + [(2, None, "bb", "")] * 20_000
+    model = langid.fit_languages(spark.createDataFrame(rows + copied, SCHEMA), per_language=40, landmarks=10)
+    assert model.languages == ["aa", "bb", "cc"]
+    assert all(sum(lang == k for lang, _ in seen) >= 40 for k in model.languages)
+
+
 def test_defined_cases(spark):
     model = langid.fit_languages(spark.createDataFrame(_texts(1, 100), SCHEMA))
     rows = [(1, None, None, ""), (2, "", "aa", ""), (3, "12 !?", "aa", ""), (None, "the and thing", None, ""),
