@@ -3,7 +3,8 @@
 ``STAGES`` lists the stages in order.  Each takes the rows that its
 predecessor kept, all but the last return the columns of ``documents``:
 
-1. language_id: documents without a language (``und``) go;
+1. language_id: documents without a language (``und``) go; where there is no
+   language to learn, those that are null or have no letter;
 2. quality: documents scored below ``registry.KEEP_SCORE`` go;
 3. near_duplicates: of documents that link at a Jaccard similarity of 0.8 or
    more of their 5-word shingles, the one with the smallest id stays, and of
@@ -32,6 +33,8 @@ def _fresh(df: DataFrame, name: str) -> str:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit_languages(docs.filter(~held_out(3, 1)))
+    if model is None:                                    # nothing to tell languages by
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     name, score = _fresh(docs, "lang_pred"), _fresh(docs, "lang_score")
     found = langid.identify_languages(docs, model, "text", name, score)
     return found.filter(F.col(name) != langid.UNKNOWN).select(docs.columns)

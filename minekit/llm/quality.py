@@ -222,6 +222,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, column: str = "text", key: s
     (``key``, ``label`` 0 or 1); None unless both labels occur."""
     known = (labels.select(F.col(f"`{key}`").alias("k"), F.col(f"`{label}`").cast("int").alias("y"))
              .filter(F.col("k").isNotNull() & F.col("y").isin(0, 1)).groupBy("k").agg(F.min("y").alias("y")))
+    # labels of documents with a line, the only ones that can be learned from
+    known = known.join(docs.filter(F.col(f"`{column}`").rlike(r"[^\x00-\x20\x7f]")).select(F.col(f"`{key}`").alias("k")),
+                       "k", "left_semi")
     counts = {r.y: r.n for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         return None

@@ -5,6 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
+from minekit.llm import quality
 from minekit.session import scratch_path
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, score double, lang_pred string"
@@ -57,3 +58,18 @@ def test_empty_documents(spark, planted):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, path)
         assert docs.count() == 0
+
+
+def test_stages_learn_from_what_they_are_given(spark, planted, monkeypatch):
+    path, good, bad, none, _ = planted
+    docs = corpus_pipeline.table(spark, path, "documents")
+    nameless = docs.withColumn("lang", corpus_pipeline.F.lit(None).cast("string"))
+    kept = corpus_pipeline.language_id(spark, nameless, path)
+    assert kept.columns == docs.columns and kept.count() == docs.count() - len(none)
+
+    seen, fit = [], quality._fit
+    monkeypatch.setattr(quality, "_fit", lambda sample, share: seen.append((len(sample), share)) or fit(sample, share))
+    labels = corpus_pipeline.table(spark, path, "labels").select("doc_id", "quality")
+    absent = spark.range(10_000, 210_000).selectExpr("id AS doc_id", "int(id % 2) AS quality")
+    quality.fit_quality(docs, labels.unionByName(absent))
+    assert seen == [(len(good) + len(bad), len(good) / (len(good) + len(bad)))]
