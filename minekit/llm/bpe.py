@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
 from minekit.llm.frames import append_columns
-from minekit.llm.pretokens import split
+from minekit.llm.pretokens import distinct, split
 from minekit.llm.spans import mix, span_hashes
 
 #: Entries of a worker's table of known pre-tokens.
@@ -119,9 +119,8 @@ class PretokenEncoder:
         if len(self.memo) > MEMO_WORDS:
             self.memo = _Memo()
         memo = self.memo
-        joined, at, hashes, of = split(texts)
-        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        words = [joined[a:b] for a, b in zip(at[first].tolist(), at[first + 1].tolist(), strict=True)]
+        joined, _, at, of = split(texts)
+        which, words = distinct(joined, at)
         rows = np.fromiter(map(memo.__getitem__, words), dtype=np.int32, count=len(words))
         if memo.new:
             self.learn(memo.new, memo)

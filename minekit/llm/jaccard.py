@@ -26,8 +26,8 @@ Defined cases: texts without words, and null texts, have an empty set and link
 with nothing; a text of fewer words than a shingle is one token; rows without
 an id are not linked and have no component; rows that repeat an id count as
 rows of one document, which joins what each of them links to; an empty table
-gives no rows; other columns are ignored.  Two different sets share a class
-with probability 2^-64.
+gives no rows; other columns are ignored.  Words and sets are told apart by
+64-bit hashes whose state is mixed after every eight bytes.
 """
 
 from __future__ import annotations

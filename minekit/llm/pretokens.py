@@ -11,10 +11,9 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import regex
 
-from minekit.llm.spans import _tables, mix
-
 SPACE, LETTER, NUMBER, OTHER = range(4)
 _SURROGATES = (0xD800, 0xE000)
 
@@ -32,19 +31,14 @@ def _classes() -> np.ndarray:
     return out
 
 
-@lru_cache(maxsize=1)
-def _values() -> np.ndarray:
-    return mix(np.arange(1, 0x110001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
-
 def split(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
     """All texts joined, the start of every pre-token and the end of the last
-    one, their 64-bit hashes, and per text the n+1 offsets into them."""
+    one, the start of each in UTF-8, and per text the n+1 offsets into them."""
     joined = "".join(texts)
     code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     n, of = len(code), np.cumsum([0, *map(len, texts)])
     if not n:
-        return joined, np.zeros(1, np.int64), np.zeros(0, np.uint64), np.zeros(len(of), np.int64)
+        return joined, np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(len(of), np.int64)
     kind = _classes()[code]
     begin = np.zeros(n + 1, dtype=bool)                    # a text begins here (or all ends)
     begin[of] = True
@@ -69,9 +63,14 @@ def split(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
     rest = rest[rest < n]
     start[rest] = True
     at = np.flatnonzero(start)                             # the last entry is n
-    power, inverse = _tables(n + 1)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_values()[code] * power[:n], out=total[1:])
-    h = (total[at[1:]] - total[at[:-1]]) * inverse[at[:-1]]
-    return joined, at, mix(h + np.diff(at).astype(np.uint64)), np.searchsorted(at, of)
+    wide = (code >= 0x80).astype(np.uint8) + (code >= 0x800) + (code >= 0x10000)
+    before = np.concatenate([[0], np.cumsum(wide, dtype=np.int64)])
+    return joined, at, at + before[at], np.searchsorted(at, of)
+
 
+def distinct(joined: str, at: np.ndarray) -> tuple[np.ndarray, list[str]]:
+    """The number of every pre-token among the different ones, and those; ``at``
+    holds where each begins in UTF-8."""
+    raw = pa.Array.from_buffers(pa.large_string(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(joined.encode())])
+    found = raw.dictionary_encode()
+    return found.indices.to_numpy(), found.dictionary.to_pylist()

@@ -19,38 +19,77 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
-_P = 0x2545F4914F6CDD1D                       # odd, so it has an inverse modulo 2^64
-_P_INV = pow(_P, -1, 1 << 64)
+_PRIME = (1 << 31) - 1
+#: Two places at which a word's polynomial is evaluated modulo ``_PRIME``.
+_BASES = (1_403_580_533, 798_417_029)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=_U)
-    if n:
-        out[0] = 1
-    return np.multiply.accumulate(out) if n else out
-
-
-_CACHE: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, (int(n) - 1).bit_length())
-    if size not in _CACHE:
-        _CACHE.clear()
-        _CACHE[size] = (_powers(_P, size), _powers(_P_INV, size))
-    return _CACHE[size]
+    """``base ** i`` modulo the prime for i below ``n``, by doubling."""
+    out, have = np.ones(max(n, 1), dtype=_U), 1
+    while have < n:
+        more = min(have, n - have)
+        out[have:have + more] = out[:more] * _U(pow(base, have, _PRIME)) % _U(_PRIME)
+        have += more
+    return out
+
+
+def distinct_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """The number of every ``buf[start:end]`` among the different ones, told
+    apart by their bytes, and those (large binary).  Spans are in order and do
+    not overlap."""
+    size = (ends - starts).astype(np.int64)
+    some = size > 0
+    mark = np.zeros(len(buf) + 1, dtype=np.int8)
+    mark[starts[some]] += 1
+    mark[ends[some]] -= 1
+    held = buf[np.cumsum(mark[:-1], dtype=np.int8).view(bool)]
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    spans = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(held)])
+    found = spans.dictionary_encode()
+    return found.indices.to_numpy(), found.dictionary
+
+
+#: Spans of more bytes than this are hashed as polynomials, all others eight bytes at a time.
+LONG = 256
+
+
+def _long_hashes(buf: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes are the coefficients of a polynomial, evaluated at two places
+    modulo a prime: two spans of n bytes share both values only where their
+    difference, a polynomial of degree n - 1, has a root at both."""
+    ends = np.cumsum(size)
+    first = ends - size
+    place = np.arange(ends[-1]) - np.repeat(first, size)
+    raw = buf[place + np.repeat(starts, size)].astype(_U) + _U(1)
+    both = [np.add.reduceat(raw * _powers(base, int(size.max()))[place] % _U(_PRIME), first) % _U(_PRIME)
+            for base in _BASES]
+    return mix(mix(size.astype(_U)) ^ (both[0] << _U(31) | both[1]))
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every ``buf[start:end]``; equal bytes hash alike."""
+    """A 64-bit hash of every ``buf[start:end]``; equal bytes hash alike.
+
+    Eight bytes at a time are added to a state that is mixed in between, so no
+    two orders or exchanges of bytes cancel out as they do in a rolling hash
+    modulo 2^64."""
     if len(starts) == 0:
         return np.zeros(0, dtype=_U)
-    power, inverse = _tables(len(buf) + 1)
-    total = np.zeros(len(buf) + 1, dtype=_U)
-    np.cumsum(_BYTE[buf] * power[:len(buf)], out=total[1:])
-    h = (total[ends] - total[starts]) * inverse[starts]
-    return mix(h + (ends - starts).astype(_U) * _U(0x9E3779B97F4A7C15))
+    size = (ends - starts).astype(np.int64)
+    out = mix(size.astype(_U) + _U(0x9E3779B97F4A7C15))
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(buf) + 1, dtype="<u8", buffer=padded, strides=(1,))      # the eight bytes from each place
+    at = np.flatnonzero((size > 0) & (size <= LONG))
+    done = 0
+    while len(at):
+        left = np.minimum(size[at] - done, 8).astype(_U)
+        chunk = eight[starts[at] + done] & (_U(0xFFFFFFFFFFFFFFFF) >> (_U(64) - _U(8) * left))
+        out[at] = mix(out[at] + chunk * _U(0xC2B2AE3D27D4EB4F))
+        done += 8
+        at = at[size[at] > done]
+    for i in np.flatnonzero(size > LONG).tolist():
+        out[i] = _long_hashes(buf, starts[i:i + 1], size[i:i + 1])[0]
+    return out
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
