@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minekit.llm import bpe, chat, embed_dedup, jaccard, langid, licenses, packing, quality, topk, url_rules
+from minekit.llm import (bpe, chat, collocations, embed_dedup, jaccard, langid, licenses, packing, quality, repair,
+                         sharding, topk, url_rules)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -197,3 +198,48 @@ SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 5
 def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+# ---- 11: collocations ------------------------------------------------------
+
+@query(r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM d),
+t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+o AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')))
+        AS phrase FROM p, (VALUES (1), (2), (3)) s(k)),
+f AS (SELECT lang, k, phrase, count(*) AS f, string_split(phrase, ' ') AS w FROM o GROUP BY lang, k, phrase
+      HAVING count(*) >= 10),
+c AS (SELECT lang, phrase, f AS a, j, array_to_string(w[1:j], ' ') AS head, array_to_string(w[j + 1:], ' ') AS tail
+      FROM f, (VALUES (1), (2)) s(j) WHERE j < k),
+g AS (SELECT c.lang, c.phrase, a, j, h.f AS l, e.f AS r, (1000000::HUGEINT * a * a // (h.f::HUGEINT * e.f))::BIGINT AS score
+      FROM c JOIN f h ON h.lang = c.lang AND h.phrase = head JOIN f e ON e.lang = c.lang AND e.phrase = tail),
+b AS (SELECT lang, phrase, a, arg_min(l, score * 4 + j) AS l, arg_min(r, score * 4 + j) AS r, min(score) AS score
+      FROM g GROUP BY lang, phrase, a),
+i AS (SELECT lang, phrase, max(f) AS f FROM (
+        SELECT lang, array_to_string(w[1:2], ' ') AS phrase, f FROM f WHERE k = 3
+        UNION ALL SELECT lang, array_to_string(w[2:3], ' '), f FROM f WHERE k = 3) GROUP BY lang, phrase),
+k AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+      FROM b LEFT JOIN i USING (lang, phrase) WHERE i.f IS NULL OR 100 * i.f < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM k JOIN t USING (lang) WHERE rank <= 2000
+""")
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+# ---- 12: sharding ----------------------------------------------------------
+
+@query()
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = sharding.shard_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), 40)
+    return dealt.select(F.col("key").alias("doc_id"), "size", F.col("checksum").alias("text_crc32"),
+                        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+# ---- 13: conversation repair -----------------------------------------------
+
+@query()
+def op13_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))

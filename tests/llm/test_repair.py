@@ -1,0 +1,154 @@
+"""Conversation repair against Dijkstra's algorithm over (cost, audit) pairs."""
+
+import hashlib
+import heapq
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from minekit.llm import registry, repair
+from tests.conftest import SF_SMALL
+
+WHITE = " \t\n\x0b\x0c\r"
+
+
+def brute(rows):
+    """All of a conversation's columns from its rows (turn, role, text), in order."""
+    if not rows:
+        return (0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest())
+    kinds, seen, illegal = [], set(), 0
+    for i, (_, role, text) in enumerate(rows):
+        body = text.rstrip(WHITE)
+        kinds.append("blank" if not body else "duplicate" if (role, text) in seen else
+                     "truncated" if body[-1] not in ".!?" else "")
+        seen.add((role, text))
+        illegal += i > 0 and rows[i - 1][1][:1] + role[:1] not in ("su", "ua", "au")
+    # states: rows consumed, last initial; a word of the language ends in '' or 'a'
+    heap, done = [(0, "", 0, "", ())], set()
+    while heap:
+        cost, audit, i, last, out = heapq.heappop(heap)
+        if (i, last) in done:
+            continue
+        done.add((i, last))
+        if i == len(rows) and last in ("", "a"):
+            break
+
+        def go(letter, more, at, role, text):
+            now = role[:1]
+            ok = now == "s" and last == "" or now == "u" and last != "u" or now == "a" and last == "u"
+            if ok:
+                heapq.heappush(heap, (cost + more, audit + letter, at, now, (*out, f"{role}:{text}")))
+
+        go("I", 3, i, "user", "")
+        go("I", 3, i, "assistant", "")
+        if i < len(rows):
+            _, role, text = rows[i]
+            more = 3 if kinds[i] == "truncated" else 0
+            heapq.heappush(heap, (cost + 4, audit + "D", i + 1, last, out))
+            if kinds[i] in ("", "truncated"):
+                go("K", more, i + 1, role, text)
+                go("R", 3 + more, i + 1, "user", text)
+                go("R", 3 + more, i + 1, "assistant", text)
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    return (gaps, kinds.count("blank"), kinds.count("duplicate"), kinds.count("truncated"), illegal, cost, audit,
+            hashlib.sha256("\n".join(out).encode()).hexdigest())
+
+
+def direct(rows):
+    """The same by the module's class, without Spark."""
+    c, seen = repair.Conversation(), set()
+    for turn, role, text in rows:
+        body = text.rstrip(WHITE)
+        c.add(turn, role, text, not body, (role, text) in seen, not body or body[-1] not in ".!?")
+        seen.add((role, text))
+    return c.end()
+
+
+def _random(rng, n):
+    roles = rng.choice([["user", "assistant"], ["user", "assistant", "system"], ["user"], ["assistant", "system"],
+                        ["system"], ["user", "assistant", "", "x", "s", "Assistant"]])
+    return [(i, rng.choice(roles), rng.choice(["", " \n", "Yes.", "No", f"t{i}.", f"u{i}!", f"v{i}", f"w{i}?\t"]))
+            for i in range(n)]
+
+
+@pytest.mark.parametrize("block", [1, 2, 3, 32])
+def test_every_block_size_equals_dijkstra(monkeypatch, block):
+    monkeypatch.setattr(repair, "BLOCK", block)
+    rng = random.Random(block)
+    for _ in range(400):
+        rows = _random(rng, rng.randint(0, 9))
+        assert direct(rows) == brute(rows), rows
+
+
+def test_long_conversations_equal_dijkstra():
+    rng = random.Random(5)
+    for _ in range(25):
+        rows = _random(rng, rng.randint(40, 150))
+        assert direct(rows) == brute(rows), rows
+
+
+def test_a_long_conversation_keeps_little():
+    c = repair.Conversation()
+    for i in range(20_000):
+        c.add(i, "user" if i % 3 else "assistant", f"text {i}" + "." * (i % 5), False, False, not i % 5)
+        assert sum(map(len, c.waiting)) <= 8 * repair.BLOCK
+    assert len(c.end()[6]) >= 20_000
+
+
+def _damaged(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = (" " if role is None else role), (" " if text is None else text)
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if kind == 1:
+            text = ""
+        elif kind == 2:
+            text = text.translate({ord(c): None for c in ".!?"})
+        elif kind == 4:
+            role = "user"
+        out += [] if kind == 0 else [(conv, turn, role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+def _expected(rows):
+    kept = _damaged(rows)
+    convs = {r[0] for r in rows}
+    key = lambda r: (r[0] is not None, r[0] or 0, *r[1:])
+    return {c: brute(sorted((r[1:] for r in kept if r[0] == c), key=key)) for c in convs}
+
+
+def _got(df):
+    return {r[0]: tuple(r[1:]) for r in df.collect()}
+
+
+def test_query_equals_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/conversations.parquet").select(
+        "conv_id", "turn", "role", "text").collect()]
+    assert _got(registry.op13_chat_repair(spark, SF_SMALL)) == _expected(rows)
+
+
+def test_nulls_ties_repeats_and_clashes(spark):
+    rng = random.Random(7)
+    rows = [(rng.choice([None, 1, 2, 3, 4]), rng.choice([None, 0, 1, 2, 9]), rng.choice([None, "user", "assistant", "system"]),
+             rng.choice([None, "", "a.", "b", "c!\n", "  "])) for _ in range(60)]
+    rows += [(7, 3, "user", "Hi."), (7, 3, "user", "Hi."), (8, 1, "", "x.")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df = df.withColumns({c: F.lit(1) for c in ("gaps", "kind", "copy", "blank", "again", "cost", "audit")})
+    assert _got(repair.repair(repair.damage(df))) == _expected(rows)
+
+
+def test_whole_conversation_dropped(spark):
+    conv = next(c for c in range(100) if zlib.crc32(f"{c}:0".encode()) % 20 == 0)
+    df = spark.createDataFrame([(conv, 0, "user", "Hi.")], "conv_id long, turn long, role string, text string")
+    assert _got(repair.repair(repair.damage(df))) == {conv: (0,) * 6 + ("", hashlib.sha256().hexdigest())}
+
+
+def test_very_long_text_and_empty_table(spark):
+    text = "word " * 400_000
+    rows = [(10, 1, "user", text + "."), (10, 2, "assistant", "ok."), (10, 3, "user", text)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert _got(repair.repair(df)) == {10: brute([r[1:] for r in rows])}
+    assert repair.repair(df.limit(0)).count() == 0
