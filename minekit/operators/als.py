@@ -14,25 +14,43 @@ with the data (each iteration ships factors between every pair of blocks).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from minekit.functions.casting import strict_double, strict_int
-from minekit.session import ensure_checkpoint_dir
+from minekit.functions.casting import quoted, strict_double, strict_int
+from minekit.operators.numbering import dense_ids
+from minekit.session import ensure_checkpoint_dir, materialize
 
 USER, ITEM, RATING = "user", "item", "rating"
 NUM_BLOCKS = 10
-
-
-def ratings_frame(df: DataFrame, user_col: str, item_col: str, rate_col: str) -> DataFrame:
-    """``user int, item int, rating double``; ids must be integral and in range."""
-    return df.select(strict_int(df, user_col, USER), strict_int(df, item_col, ITEM),
+#: Types that user and item keys may have; ``int`` ids go to ``spark.ml`` as they are.
+KEY_TYPES = ("int", "bigint", "string")
+#: Distinct users or items that ``spark.ml`` can tell apart.
+MAX_KEYS = 2 ** 31 - 1
+
+
+def _key(df: DataFrame, name: str, alias: str, key_type: str) -> Column:
+    """A user or item key: integral and in range, or any text; NULL raises."""
+    if key_type not in KEY_TYPES:
+        raise ValueError(f"keys are one of {', '.join(KEY_TYPES)}, not {key_type!r}")
+    if key_type != "string":
+        return strict_int(df, name, alias, key_type)
+    c = F.col(quoted(name))
+    return F.when(c.isNull(), F.raise_error(F.lit(f"NULL in column {name}"))).otherwise(c.cast("string")).alias(alias)
+
+
+def ratings_frame(df: DataFrame, user_col: str, item_col: str, rate_col: str, key_type: str = "int") -> DataFrame:
+    """``user, item, rating double``; ids must be integral and in range, or with
+    ``key_type="string"`` any text."""
+    return df.select(_key(df, user_col, USER, key_type), _key(df, item_col, ITEM, key_type),
                      strict_double(df, rate_col, RATING))
 
 
-def pairs_frame(df: DataFrame, user_col: str, item_col: str) -> DataFrame:
-    return df.select(strict_int(df, user_col, USER), strict_int(df, item_col, ITEM))
+def pairs_frame(df: DataFrame, user_col: str, item_col: str, key_type: str = "int") -> DataFrame:
+    return df.select(_key(df, user_col, USER, key_type), _key(df, item_col, ITEM, key_type))
 
 
 def fit_als(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg_param: float = 0.01,
@@ -51,7 +69,44 @@ def fit_als(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg_param: f
     return als.fit(ratings)
 
 
-def predict_pairs(model: ALSModel, pairs: DataFrame, result_user: str = USER, result_item: str = ITEM,
+@dataclass
+class KeyedALS:
+    """A model over numbers, and the dictionaries ``user, user_idx`` and ``item, item_idx``."""
+
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
+
+    def transform(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` with ``prediction``; pairs of an unknown user or item are dropped."""
+        numbered = _numbered(pairs, self.users, self.items)
+        return self.model.transform(numbered).drop(_USER_IDX, _ITEM_IDX)
+
+
+_USER_IDX, _ITEM_IDX = "_user_idx", "_item_idx"
+
+
+def _numbered(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """Rows with known keys, with their numbers; a hot key's rows are split by AQE."""
+    return pairs.join(users, USER).join(items, ITEM)
+
+
+def fit_keyed_als(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg_param: float = 0.01,
+                  seed: int | None = None, num_blocks: int = NUM_BLOCKS,
+                  checkpoint_interval: int = 10) -> KeyedALS:
+    """Fit on a ``ratings_frame`` with keys of any type that can be sorted."""
+    tables = []
+    for key, idx in ((USER, _USER_IDX), (ITEM, _ITEM_IDX)):
+        ids = dense_ids(ratings, key, idx, limit=MAX_KEYS)
+        tables.append(ids.select(key, F.col(idx).cast("int").alias(idx)))
+    numbered = _numbered(ratings, *tables).select(
+        F.col(_USER_IDX).alias(USER), F.col(_ITEM_IDX).alias(ITEM), RATING)
+    model = fit_als(materialize(numbered, "ratings"), rank, max_iter, reg_param, seed, num_blocks, checkpoint_interval)
+    model.setUserCol(_USER_IDX).setItemCol(_ITEM_IDX)
+    return KeyedALS(model, *tables)
+
+
+def predict_pairs(model: ALSModel | KeyedALS, pairs: DataFrame, result_user: str = USER, result_item: str = ITEM,
                   result_rate: str = RATING) -> DataFrame:
     """Score (user, item) pairs; unknown users or items are dropped."""
     scored = model.transform(pairs.select(USER, ITEM))
@@ -70,7 +125,7 @@ def scorable_pairs(train: DataFrame, pairs: DataFrame) -> DataFrame:
     return pairs.select(USER, ITEM).join(users, USER, "left_semi").join(items, ITEM, "left_semi")
 
 
-def rates_and_preds(model: ALSModel, ratings: DataFrame) -> DataFrame:
+def rates_and_preds(model: ALSModel | KeyedALS, ratings: DataFrame) -> DataFrame:
     """Each training rating next to the model's prediction for its pair.
 
     One row per rating row.  The reference joined ratings with predictions

@@ -610,6 +610,30 @@ def als_rates_and_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
                      _close(F.col("prediction"), F.col("rating")))
 
 
+# Keys beyond 32 bits: users moved up by 2^33, items as text.
+
+SQL_KEYED_RATINGS = """
+SELECT DISTINCT CAST(o.o_custkey + 8589934592 AS BIGINT) AS user_id, 'supplier ' || l.l_suppkey AS item_id,
+       CAST((1 + o.o_custkey % 5) * (1 + l.l_suppkey % 3) / 3.0 + (l.l_suppkey % 4) / 4.0 AS DOUBLE) AS rating,
+       true AS close
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
+
+
+@register("als_wide_keys", SQL_KEYED_RATINGS)
+def als_wide_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The planted ratings under keys that do not fit 32 bits, numbered by dictionaries for the fit."""
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    pairs = li.join(o, li.l_orderkey == o.o_orderkey).select("o_custkey", "l_suppkey").distinct()
+    ratings = materialize(pairs.select(
+        (F.col("o_custkey") + F.lit(2 ** 33)).alias(als.USER), F.concat(F.lit("supplier "), "l_suppkey").alias(als.ITEM),
+        planted_rating(F.col("o_custkey"), F.col("l_suppkey")).alias(als.RATING)), "ratings")
+    model = als.fit_keyed_als(ratings, rank=8, max_iter=10, reg_param=0.01, seed=7)
+    rp = als.rates_and_preds(model, ratings)
+    return rp.select(F.col(als.USER).alias("user_id"), F.col(als.ITEM).alias("item_id"), "rating",
+                     _close(F.col("prediction"), F.col("rating")))
+
+
 # ------------------------------------------------- text, specs, plumbing
 
 def _text_roundtrip(spark: SparkSession, lines: DataFrame, name: str) -> DataFrame:

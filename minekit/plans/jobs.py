@@ -156,8 +156,9 @@ def association_rules(spark: SparkSession, spec, write: bool = True) -> DataFram
 
 def collaborative_filtering(spark: SparkSession, spec, write: bool = True) -> RatingResult:
     """ALS on (user, item, rating); scores the test pairs it can (known user
-    and item).  ``rank``, ``numIterations``; optional ``seed``, ``regParam`` and
-    ``num_blocks``.  Returns the scored pairs, the training ratings next to
+    and item).  ``rank``, ``numIterations``; optional ``seed``, ``regParam``,
+    ``num_blocks`` and ``key_type`` (``int``, or for other user and item keys ``bigint``
+    or ``string``).  Returns the scored pairs, the training ratings next to
     their predictions, and those ratings' mean squared error."""
     s = JobSpec.parse(spec)
     tu, ti, tr = s.text("train_user_col"), s.text("train_item_col"), s.text("train_rate_col")
@@ -166,9 +167,11 @@ def collaborative_filtering(spark: SparkSession, spec, write: bool = True) -> Ra
     rank, iters = s.integer("rank"), s.integer("numIterations")
     seed = s.integer("seed", 0) if s.text("seed", "") else None
     reg, blocks = s.number("regParam", 0.01), s.integer("num_blocks", als.NUM_BLOCKS)
-    ratings = als.ratings_frame(read_table(spark, s.table("train_table")), tu, ti, tr)
-    pairs = als.pairs_frame(read_table(spark, s.table("test_table")), xu, xi)
-    model = als.fit_als(ratings, rank=rank, max_iter=iters, reg_param=reg, seed=seed, num_blocks=blocks)
+    kind = s.text("key_type", "int").lower()
+    ratings = als.ratings_frame(read_table(spark, s.table("train_table")), tu, ti, tr, kind)
+    pairs = als.pairs_frame(read_table(spark, s.table("test_table")), xu, xi, kind)
+    fit = als.fit_als if kind == "int" else als.fit_keyed_als
+    model = fit(ratings, rank=rank, max_iter=iters, reg_param=reg, seed=seed, num_blocks=blocks)
     result = _finish(als.predict_pairs(model, pairs, ru, ri, rr), s, "append", write)
     both = als.rates_and_preds(model, ratings)
     return RatingResult(result, both, als.rating_mse(both))
