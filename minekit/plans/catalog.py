@@ -14,7 +14,9 @@ item was kept out of training).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,7 @@ from minekit.functions import specs, text
 from minekit.operators.frames import preview, project_configured, split_flag
 from minekit.operators.labels import distinct_sorted
 from minekit.session import materialize, scratch_path
+from minekit.sources import commit, splits
 from minekit.sources import text as text_io
 from minekit.sources.tables import load, read_table, write_table
 
@@ -801,6 +804,62 @@ def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sink_twice(spark, sf_dir, "overwrite")
 
 
+@register("sink_append_once", """
+SELECT * FROM customer UNION ALL SELECT * FROM customer
+""")
+def sink_append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs, each appended once: one is repeated when done, the other fails
+    between its steps, then is run again, twice."""
+    rows = load(spark, sf_dir, "customer")
+    path = scratch_path(spark, "sink-once")
+    for _ in range(2):
+        write_table(rows, {"path": path, "run_id": "first"}, "append")
+    commit.stage(rows, path, "second")                       # and no commit
+    for _ in range(2):
+        write_table(rows, {"path": path, "run_id": "second"}, "append")
+    return read_table(spark, {"path": path})
+
+
+# --------------------------------------------------------- split reads
+# The conditions that cut a JDBC read into parts, as SQL text on a view of the
+# same rows: a part per condition, each row in one.
+
+def _split_read(spark: SparkSession, rows: DataFrame, predicates: Callable[[str], list[str]]) -> DataFrame:
+    view = "split_" + uuid.uuid4().hex
+    rows.createOrReplaceTempView(view)
+    parts = [spark.table(view).where(p).withColumn("part", F.lit(i)) for i, p in enumerate(predicates(view))]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("read_split_depth", f"""
+WITH o AS (SELECT o_orderkey, CASE WHEN o_custkey % 10 <> 9 THEN o_custkey END AS k FROM orders),
+c AS (SELECT DISTINCT min(k) AS cut FROM (SELECT k, ntile(8) OVER (ORDER BY k) AS tile FROM o WHERE k IS NOT NULL) s
+      GROUP BY tile),
+d AS (SELECT cut, row_number() OVER (ORDER BY cut) - 1 AS i FROM c)
+SELECT o_orderkey, CAST(k AS DOUBLE) AS k,
+       CAST(coalesce((SELECT max(i) FROM d WHERE cut <= k), 0) AS INTEGER) AS part FROM o
+""")
+def read_split_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in eight parts of about equally many rows by customer, NULLs in the first."""
+    key = F.when(F.pmod("o_custkey", F.lit(10)) != 9, F.col("o_custkey").cast("double"))
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", key.alias("k"))
+
+    def predicates(view: str) -> list[str]:
+        cuts = spark.sql(splits.cut_query(view, "k", 8)).collect()
+        return splits.depth_predicates("k", [r["cut"] for r in cuts], "spark")
+    return _split_read(spark, orders, predicates)
+
+
+@register("read_split_hash", """
+SELECT o_orderkey, o_orderpriority, CASE WHEN o_custkey % 10 <> 9 THEN o_custkey END AS k FROM orders
+""")
+def read_split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in eight parts by a hash of two columns, one with NULLs: every row once."""
+    key = F.when(F.pmod("o_custkey", F.lit(10)) != 9, F.col("o_custkey"))
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", key.alias("k"))
+    return _split_read(spark, orders, lambda view: splits.hash_predicates(["k", "o_orderpriority"], 8, "spark")).drop("part")
+
+
 # Given centres on 64-dimensional embeddings: the mean vector of each
 # label; every vector goes to the nearest mean (ties to the lowest label).
 

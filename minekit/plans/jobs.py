@@ -6,11 +6,13 @@ writes once.  The returned DataFrame is the result; pass ``write=False``
 to get it without touching the result table.
 
 Write modes follow the reference: append everywhere except k-means,
-which overwrites; text results refuse an existing target.
+which overwrites; text results refuse an existing target.  A result table with
+a ``run_id`` gets the rows of that run once, however often the job is run.
 
 Scored tables must have an integral ``id``: 32-bit in the result, or 64-bit
 with ``"id_type": "bigint"`` in the spec.  A JDBC read of such a table is
-split by ``id`` unless the source names another ``partition_column``.
+split by ``id``, one of a training table by a hash of its configured columns,
+unless the source says how (``minekit.sources.tables``).
 """
 
 from __future__ import annotations
@@ -55,6 +57,10 @@ def _scored_table(spark: SparkSession, s: JobSpec, which: str) -> DataFrame:
     return read_table(spark, s.table(which), partition_column="id")
 
 
+def _train_table(spark: SparkSession, s: JobSpec, columns: list[str]) -> DataFrame:
+    return read_table(spark, s.table("train_table"), split_columns=columns)
+
+
 def _finish(result: DataFrame, spec: JobSpec, mode: str, write: bool) -> DataFrame:
     if write and spec.result_table:
         write_table(result, spec.result_table, mode)
@@ -76,7 +82,7 @@ def naive_bayes(spark: SparkSession, spec, write: bool = True) -> DataFrame:
     s = JobSpec.parse(spec)
     label, tf, xf, rl, rf = _supervised_columns(s)
     smoothing, id_type = s.number("smoothing", 1.0), _id_type(s)
-    train, test = read_table(spark, s.table("train_table")), _scored_table(spark, s, "test_table")
+    train, test = _train_table(spark, s, [label, *tf]), _scored_table(spark, s, "test_table")
     fit = bayes.fit_naive_bayes(train.select(label, *tf), label, tf, smoothing=smoothing)
     result = bayes.predict_naive_bayes(fit, test, xf, rl, rf, id_type=id_type)
     return _finish(result, s, "append", write)
@@ -97,7 +103,7 @@ def decision_tree(spark: SparkSession, spec, write: bool = True) -> TreeResult:
     num_classes, depth, bins = s.integer("numClasses"), s.integer("maxDepth"), s.integer("maxBins")
     seed = s.integer("seed", 0) if s.text("seed", "") else None
     id_type = _id_type(s)
-    train, test = read_table(spark, s.table("train_table")), _scored_table(spark, s, "test_table")
+    train, test = _train_table(spark, s, [label, *tf]), _scored_table(spark, s, "test_table")
     fit = tree.fit_decision_tree(train.select(label, *tf), label, tf, max_depth=depth, max_bins=bins,
                                  num_classes=num_classes, seed=seed)
     result = tree.predict_decision_tree(fit, test, xf, rl, rf, id_type=id_type)
@@ -114,7 +120,7 @@ def linear_regression(spark: SparkSession, spec, write: bool = True) -> Regressi
     step, iters = s.number("stepSize"), s.integer("iterateNum")
     reg, reg_param = s.text("regularizer", "none"), s.number("regParam", 0.01)
     solver, id_type = s.text("solver", "gram"), _id_type(s)
-    train, test = read_table(spark, s.table("train_table")), _scored_table(spark, s, "test_table")
+    train, test = _train_table(spark, s, [label, *tf]), _scored_table(spark, s, "test_table")
     fit = regression.fit_sgd(train.select(label, *tf), label, tf, iterations=iters, step=step,
                              reg=reg, reg_param=reg_param, solver=solver)
     result = regression.predict_sgd(fit, test, xf, rl, rf, id_type=id_type)
@@ -149,7 +155,7 @@ def association_rules(spark: SparkSession, spec, write: bool = True) -> DataFram
     support, confidence = s.number("min_support"), s.number("min_confidence")
     parts = s.integer("num_partitions", 0) or None
     dedupe = s.text("dedupe", "false").lower() == "true"
-    bk = fpm.baskets(read_table(spark, s.table("train_table")).select(col), col, dedupe=dedupe)
+    bk = fpm.baskets(_train_table(spark, s, [col]).select(col), col, dedupe=dedupe)
     model = fpm.fit_fpgrowth(bk, support, confidence, num_partitions=parts)
     return _finish(fpm.rule_text(model, rule_col, conf_col), s, "append", write)
 
@@ -168,8 +174,8 @@ def collaborative_filtering(spark: SparkSession, spec, write: bool = True) -> Ra
     seed = s.integer("seed", 0) if s.text("seed", "") else None
     reg, blocks = s.number("regParam", 0.01), s.integer("num_blocks", als.NUM_BLOCKS)
     kind = s.text("key_type", "int").lower()
-    ratings = als.ratings_frame(read_table(spark, s.table("train_table")), tu, ti, tr, kind)
-    pairs = als.pairs_frame(read_table(spark, s.table("test_table")), xu, xi, kind)
+    ratings = als.ratings_frame(_train_table(spark, s, [tu, ti]), tu, ti, tr, kind)
+    pairs = als.pairs_frame(read_table(spark, s.table("test_table"), split_columns=[xu, xi]), xu, xi, kind)
     fit = als.fit_als if kind == "int" else als.fit_keyed_als
     model = fit(ratings, rank=rank, max_iter=iters, reg_param=reg, seed=seed, num_blocks=blocks)
     result = _finish(als.predict_pairs(model, pairs, ru, ri, rr), s, "append", write)

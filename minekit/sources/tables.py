@@ -13,7 +13,15 @@ A *source* or *sink* is a dict, as it appears in a job spec:
     turns on Spark's parallel range read (bounds are looked up with one
     MIN/MAX query unless ``lower_bound`` / ``upper_bound`` are given;
     ``num_partitions`` defaults to the default parallelism);
-    ``fetchsize`` / ``batchsize`` pass through.
+    ``fetchsize`` / ``batchsize`` pass through.  ``split`` reads in parts that any
+    table can be cut into instead (``minekit.sources.splits``): ``"depth"`` by equally
+    many rows per range of the one column ``split_columns``, ``"hash"`` by a hash of
+    its columns, ``"none"`` in one task; ``predicates`` gives the parts as WHERE
+    conditions.
+
+A sink with a ``run_id`` is appended to once per run, also if the job is run
+again after a failure (``minekit.sources.commit``); it has to be a folder or a
+catalogue table of files.
 
 Column pruning and filters reach all three: parquet shows them as
 ``ReadSchema`` / ``PushedFilters``, JDBC puts them into its SELECT.
@@ -23,6 +31,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from minekit.sources import splits
+from minekit.sources.commit import append_once
+
 _DRIVERS = {"oracle": "oracle.jdbc.driver.OracleDriver", "mysql": "com.mysql.cj.jdbc.Driver"}
 
 
@@ -108,16 +119,52 @@ def with_jdbc_bounds(spark: SparkSession, src: dict) -> dict:
     return out
 
 
-def read_table(spark: SparkSession, src: dict, partition_column: str | None = None) -> DataFrame:
+def jdbc_predicates(spark: SparkSession, src: dict, columns: list[str] | None = None) -> list[str] | None:
+    """The parts in which a JDBC source is read, or None if it says nothing of parts.
+
+    ``columns`` are what the rows of a source are hashed by that names neither
+    parts nor a partition column."""
+    if src.get("predicates"):
+        return list(src["predicates"])
+    how, dialect = src.get("split"), splits.dialect_of(jdbc_url(src))
+    if how is None and columns and "partition_column" not in src and dialect:
+        how = "hash"
+    if how in (None, "none"):
+        return None
+    named = src.get("split_columns", columns)
+    named = named.split(" ") if isinstance(named, str) else list(named or [])
+    parts = int(src.get("num_partitions") or spark.sparkContext.defaultParallelism)
+    if how == "hash" and named:
+        return splits.hash_predicates(named, parts, dialect)
+    if how == "depth" and len(named) == 1:
+        probe = {k: v for k, v in src.items() if k not in ("partition_column", "num_partitions")}
+        probe["tablename"] = f"({splits.cut_query(src['tablename'], named[0], parts)}) minekit_cuts"
+        cuts = spark.read.format("jdbc").options(**jdbc_options(probe)).load().collect()      # a row per part
+        return splits.depth_predicates(named[0], [r[0] for r in cuts], dialect)
+    raise ValueError(f"split {how!r} of {len(named)} columns: it is 'hash' of some, 'depth' of one, or 'none'")
+
+
+def _read_jdbc(spark: SparkSession, src: dict, columns: list[str] | None) -> DataFrame:
+    parts = jdbc_predicates(spark, src, columns)
+    if parts is None:
+        return spark.read.format("jdbc").options(**jdbc_options(with_jdbc_bounds(spark, src))).load()
+    opts = jdbc_options({k: v for k, v in src.items() if k not in ("partition_column", "num_partitions")})
+    url, table = opts.pop("url"), opts.pop("dbtable")
+    return spark.read.jdbc(url, table, predicates=parts, properties=opts)
+
+
+def read_table(spark: SparkSession, src: dict, partition_column: str | None = None,
+               split_columns: list[str] | None = None) -> DataFrame:
     """Read a source; ``partition_column`` is the numeric key that a JDBC read is
-    split by when the source names none (``""`` there reads in one task)."""
+    split by when the source names none (``""`` there reads in one task), and
+    ``split_columns`` are columns to split it by hash where there is no such key."""
     fmt = source_format(src)
-    if fmt == "jdbc" and partition_column and "partition_column" not in src:
+    if fmt == "jdbc" and partition_column and not {"partition_column", "split", "predicates"} & set(src):
         src = dict(src, partition_column=partition_column)
     if fmt == "table":
         return spark.table(src["table"])
     if fmt == "jdbc":
-        return spark.read.format("jdbc").options(**jdbc_options(with_jdbc_bounds(spark, src))).load()
+        return _read_jdbc(spark, src, split_columns)
     if fmt == "text":
         return spark.read.text(src["path"])
     return spark.read.format(fmt).load(src["path"])
@@ -125,8 +172,12 @@ def read_table(spark: SparkSession, src: dict, partition_column: str | None = No
 
 def write_table(df: DataFrame, sink: dict, mode: str) -> None:
     """Write a result; ``mode`` is ``append`` (every job but k-means),
-    ``overwrite`` (k-means) or ``errorifexists`` (text results)."""
+    ``overwrite`` (k-means) or ``errorifexists`` (text results).  An append to a
+    sink with a ``run_id`` happens once for that run."""
     fmt = source_format(sink)
+    if sink.get("run_id") and mode == "append":
+        _append_run(df, sink, fmt)
+        return
     writer = df.write.mode(mode)
     if fmt == "table":
         writer.saveAsTable(sink["table"])
@@ -136,3 +187,22 @@ def write_table(df: DataFrame, sink: dict, mode: str) -> None:
         writer.text(sink["path"])
     else:
         writer.format(fmt).save(sink["path"])
+
+
+def _append_run(df: DataFrame, sink: dict, fmt: str) -> None:
+    if fmt == "jdbc":
+        raise ValueError("run_id needs a folder or a catalogue table of files, not a JDBC table")
+    if fmt != "table":
+        append_once(df, sink["path"], str(sink["run_id"]), fmt)
+        return
+    spark, name = df.sparkSession, sink["table"]
+    if not spark.catalog.tableExists(name):
+        df.limit(0).write.saveAsTable(name)
+    have = spark.table(name).schema
+    if [(f.name, f.dataType) for f in have] != [(f.name, f.dataType) for f in df.schema]:
+        raise ValueError(f"{name} has the columns {have.simpleString()}, the rows {df.schema.simpleString()}")
+    detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if detail.get("# Partition Information") is not None or "Location" not in detail:
+        raise ValueError(f"run_id needs a table of files without partitions: {name}")
+    append_once(df, detail["Location"], str(sink["run_id"]), detail["Provider"])
+    spark.catalog.refreshTable(name)
