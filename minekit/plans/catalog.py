@@ -508,6 +508,40 @@ def dtree_best_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("feature_idx", "feature", "threshold", r6(F.col("gain")).alias("gain"))
 
 
+@register("dtree_rules", f"""
+WITH {SQL_PLANTED},
+n(node, parent, feature, threshold, label, lo1, hi1, lo2, hi2) AS (VALUES
+  (1, NULL, 'f1', 3.5, NULL, -1, 99, -1, 99), (2, 1, NULL, NULL, 0.0, -1, 4, -1, 99),
+  (3, 1, 'f2', 5.5, NULL, 4, 99, -1, 99), (6, 3, NULL, NULL, 2.0, 4, 99, -1, 6), (7, 3, NULL, NULL, 1.0, 4, 99, 6, 99))
+SELECT CAST(node AS BIGINT) AS node, CAST(parent AS BIGINT) AS parent, feature, CAST(threshold AS DOUBLE) AS threshold,
+       CAST(label AS DOUBLE) AS label, count(p.id) AS n_rows
+FROM n JOIN p ON f1 >= lo1 AND f1 < hi1 AND f2 >= lo2 AND f2 < hi2
+GROUP BY node, parent, feature, threshold, label
+""")
+def dtree_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fitted tree's nodes, with the orders that pass each on their walk from the root."""
+    po = planted_orders(spark, sf_dir)
+    fit = tree.fit_decision_tree(po, "y", ["f1", "f2"], max_depth=3, max_bins=32, num_classes=3)
+    nodes = tree.node_table(fit, spark)
+    leaves = tree.walk(nodes, po, "leaf", "found").groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+    path = F.expr("transform(sequence(0, length(bin(leaf)) - 1), i -> shiftright(leaf, i))")      # the leaf and all above it
+    passed = leaves.select(F.explode(path).alias("node"), "n").groupBy("node").agg(F.sum("n").alias("n_rows"))
+    leaf_label = F.when(F.col("feature").isNull(), F.col("label")).alias("label")
+    return nodes.join(passed, "node").select("node", "parent", "feature", "threshold", leaf_label, "n_rows")
+
+
+@register("dtree_walk", f"""
+WITH {SQL_PLANTED}
+SELECT id, f1, f2, CAST(CASE WHEN f1 < 4 THEN 2 WHEN f2 < 6 THEN 6 ELSE 7 END AS BIGINT) AS leaf, CAST(y AS DOUBLE) AS label
+FROM p
+""")
+def dtree_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order led through the node table."""
+    po = planted_orders(spark, sf_dir)
+    fit = tree.fit_decision_tree(po, "y", ["f1", "f2"], max_depth=3, max_bins=32, num_classes=3)
+    return tree.walk(tree.node_table(fit, spark), po.select("id", "f1", "f2"), "leaf", "label")
+
+
 # -------------------------------------------------------------------- ALS
 # als_scorable_pairs*: ratings are the mean quantity per (customer, supplier).
 # Training keeps the pairs with (user * 31 + item) % 10 < 7 and plants

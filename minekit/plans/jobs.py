@@ -97,7 +97,8 @@ def naive_bayes_fixed_layout(spark: SparkSession, spec, write: bool = True) -> D
 
 def decision_tree(spark: SparkSession, spec, write: bool = True) -> TreeResult:
     """Gini decision tree: ``numClasses``, ``maxDepth``, ``maxBins``.  Returns the
-    scored table and the tree's rules."""
+    scored table and the tree's rules; a ``rules_table`` beside the result table gets
+    them as rows (``tree.node_table``), replacing what it held."""
     s = JobSpec.parse(spec)
     label, tf, xf, rl, rf = _supervised_columns(s)
     num_classes, depth, bins = s.integer("numClasses"), s.integer("maxDepth"), s.integer("maxBins")
@@ -107,6 +108,8 @@ def decision_tree(spark: SparkSession, spec, write: bool = True) -> TreeResult:
     fit = tree.fit_decision_tree(train.select(label, *tf), label, tf, max_depth=depth, max_bins=bins,
                                  num_classes=num_classes, seed=seed)
     result = tree.predict_decision_tree(fit, test, xf, rl, rf, id_type=id_type)
+    if write and s.rules_table:
+        write_table(tree.node_table(fit, spark), s.rules_table, "overwrite")
     return TreeResult(_finish(result, s, "append", write), fit.debug_string())
 
 

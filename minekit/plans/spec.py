@@ -37,6 +37,7 @@ class JobSpec:
     test_table: dict | None
     result_table: dict | None
     params: dict[str, Any] = field(default_factory=dict)
+    rules_table: dict | None = None
 
     # ------------------------------------------------------------ parsing
     @classmethod
@@ -50,7 +51,7 @@ class JobSpec:
         ds = spec.get("datasource") or {}
         out = spec.get("output") or {}
         return cls(ds.get("train_table"), ds.get("test_table"), out.get("result_table"),
-                   dict(spec.get("operational_param") or {}))
+                   dict(spec.get("operational_param") or {}), out.get("rules_table"))
 
     def __repr__(self) -> str:
         return (f"JobSpec(train_table={_masked(self.train_table)}, test_table={_masked(self.test_table)}, "
