@@ -7,7 +7,9 @@ spread over as many tasks as it needs.
     occurs ``min_count`` times occurs at least ``ceil(min_count / shards)`` times
     in some shard.  Words and pairs are counted first; a longer phrase is counted
     in a shard only where both phrases one word shorter are frequent there.
-2.  The union of the locally frequent phrases are the candidates.
+2.  The union of the locally frequent phrases are the candidates, less those that
+    cannot reach ``min_count`` with what a shard can hold of a phrase that is not
+    frequent there.
 3.  All candidates are counted over the whole corpus, exactly.
 
 Mining counts 64-bit hashes, and sets of phrases travel to the tasks as a
@@ -35,11 +37,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from minekit.llm.frames import release_memory, steps
 from minekit.llm.spans import distinct_spans, mix, span_hashes, text_bytes, words
+from minekit.operators.numbering import number_rows
 from minekit.session import materialize
 
 #: Logical shards of the corpus, a power of two.
@@ -48,8 +51,10 @@ SHARDS = 4
 BITS = 1 << 27
 #: Text bytes of one step.
 STEP_BYTES = 4 << 20
-#: Slices in which the best phrases of a language are found first.
-SLICES = 64
+#: Occurrences that a task sorts and counts at once.
+HELD_KEYS = 2_000_000
+#: Rows of a batch that a task hands on.
+BATCH = 1 << 16
 
 _BLOCKS = 64
 _U = np.uint64
@@ -108,6 +113,11 @@ def _each(batches: Iterator[pa.RecordBatch], step: int) -> Iterator[tuple[_Step,
                     yield found, others
 
 
+def _batches(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, rows.num_rows, BATCH):
+        yield rows.slice(at, BATCH)
+
+
 def _numbers(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).view(_U)
 
@@ -163,13 +173,19 @@ def _table(keys: DataFrame, bits: int) -> list[tuple[int, bytes]]:
 
 
 def _mine(docs: DataFrame, support: int, lengths: range, shorter: _Bits | None, keys: _Keys, step: int) -> DataFrame:
-    """The keys of the phrases of some lengths that are frequent in their shard."""
+    """``key, n`` of the phrases of some lengths that are frequent in their shard."""
     known = docs.sparkSession.sparkContext.broadcast(shorter) if shorter else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def counts() -> pa.RecordBatch:
+            key, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([_signed(key), pa.array(n)], names=["key", "n"])
+
         for found, (salts, shards) in _each(batches, step):
             salt, shard = _numbers(salts)[found.doc], _numbers(shards)[found.doc]
-            out, last = [], None
+            last = None
             for n, first, h in found.phrases(lengths[-1]):
                 if n < lengths[0] - 1:
                     continue
@@ -177,15 +193,20 @@ def _mine(docs: DataFrame, support: int, lengths: range, shorter: _Bits | None,
                 if n >= lengths[0]:
                     if last is not None:
                         first = first[last[first] & last[first + 1]]
-                    out.append(local[first])
+                    held.append(local[first])
+                    size += len(first)
                 last = known.value.holds(local) if known else None
-            if out:
-                key, n = np.unique(np.concatenate(out), return_counts=True)
-                yield pa.RecordBatch.from_arrays([_signed(key), pa.array(n)], names=["key", "n"])
+            if size >= HELD_KEYS:
+                yield from _batches(counts())
+                held, size = [], 0
+        if held:
+            yield from _batches(counts())
+        held = []
         release_memory()
 
-    return (docs.select("text", "salt", "shard").mapInArrow(run, "key long, n long")
-            .groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= support).select("key"))
+    # the tasks have added up what repeats near by, so rows go to their keys' tasks as they are
+    return (docs.select("text", "salt", "shard").mapInArrow(run, "key long, n long").repartition("key")
+            .groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= support))
 
 
 def _count(docs: DataFrame, parts: list[tuple[int, bytes]], bits: int, longest: int, this: int, rounds: int,
@@ -231,7 +252,7 @@ def _count(docs: DataFrame, parts: list[tuple[int, bytes]], bits: int, longest:
                     split.append(values.take(pa.array(w)))
                     code = some[code] if len(some) else code
                 phrase = pc.binary_join_element_wise(*reversed(split), pa.scalar(" ", pa.large_string()))
-                yield rows(coded.dictionary.take(pa.array(code)), n, phrase, count)
+                yield from _batches(rows(coded.dictionary.take(pa.array(code)), n, phrase, count))
         release_memory()
 
     return docs.select("text", "salt", "lang").mapInArrow(run, "lang string, words int, phrase string, n long")
@@ -255,7 +276,10 @@ def frequent_phrases(docs: DataFrame, column: str = "text", lang: str = "lang",
     union = mined[0]
     for more in mined[1:]:
         union = union.unionByName(more)
-    union = union.select(F.shiftrightunsigned("key", int(keys.low)).alias("key")).distinct()
+    # the shards that do not list a phrase have at most support - 1 of it each
+    union = union.groupBy(F.shiftrightunsigned("key", int(keys.low)).alias("key")).agg(
+        (F.sum("n") + (shards - F.count(F.lit(1))) * (support - 1)).alias("most"))
+    union = materialize(union.filter(F.col("most") >= min_count).select("key"), "candidates")
     rounds = max(1, -(-union.count() // (bits // 8)))
     counted = None
     for this in range(rounds):
@@ -297,12 +321,10 @@ def collocations(docs: DataFrame, column: str = "text", lang: str = "lang", min_
     kept = (scored.join(inside, ["lang", "phrase"], "left")
             .filter(F.col("longer").isNull() | (100 * F.col("longer") < share * F.col("a"))))
 
-    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    kept = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score",
-                       F.pmod(F.xxhash64("phrase"), F.lit(SLICES)).alias("slice"))
-    rank = F.row_number()
-    best = kept.withColumn("rank", rank.over(Window.partitionBy("lang", "slice").orderBy(*order))).filter(
-        F.col("rank") <= top)
-    best = best.withColumn("rank", rank.over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
-    return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r",
-                                            F.col("total").alias("n"), "score")
+    # numbers in the order of all languages; a language's ranks begin at its first
+    order = [F.asc("lang"), F.desc("score"), F.desc("a"), F.asc("phrase")]
+    ranked = number_rows(kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score"), order)
+    heads = ranked.groupBy("lang").agg(F.min("number").alias("head")).join(totals, "lang")
+    rank = (F.col("number") - F.col("head") + 1).alias("rank")
+    ranked = ranked.join(heads, "lang").filter(F.col("number") < F.col("head") + top)
+    return ranked.select("lang", rank, "phrase", "a", "l", "r", F.col("total").alias("n"), "score")
