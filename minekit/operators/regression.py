@@ -5,9 +5,10 @@ lasso): full batch, no intercept, zero start, step ``step / sqrt(t)``,
 stop after ``iterations`` or when the weights move less than
 ``tol * max(|w|, 1)``.  With A = X'X/n and b = X'y/n the full-batch
 gradient is ``A w - b``, so one distributed aggregate (n, the d x d sums
-of x_i x_j and the d sums of x_i y, map-side partial sums, one row back)
-replaces a pass over the data per iteration; the recurrence then runs on
-the d x d matrix.  ``solver="iterative"`` runs the same recurrence with one
+of x_i x_j and the d sums of x_i y) replaces a pass over the data per
+iteration; the recurrence then runs on the d x d matrix.  The sums are made
+in tiles of ``TILE x TILE`` columns, keyed by their place, so no task holds more
+than a chunk of rows and a few tiles, however many columns there are.  ``solver="iterative"`` runs the same recurrence with one
 distributed gradient aggregate per iteration over a persisted frame instead,
 for tables too wide for a d x d matrix.  Both give the same weights.
 """
@@ -15,11 +16,13 @@ for tables too wide for a d x d matrix.  Both give the same weights.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
+from pyspark import StorageLevel, TaskContext
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -30,6 +33,12 @@ from minekit.operators.frames import ID, LABEL, flat_result, project_configured
 
 
 PART = "n long, g array<double>"
+#: Columns (and rows) of a tile of X'X.
+TILE = 512
+#: Bytes of the rows that a task multiplies at once.
+CHUNK_BYTES = 64 << 20
+#: Tasks that add up the parts of one tile, before one adds their sums.
+ADDERS = 16
 
 
 @dataclass
@@ -46,29 +55,58 @@ class SgdFit:
     feature_cols: list[str]
 
 
+def _chunks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[np.ndarray]:
+    """Matrices of at least ``rows`` rows (the last may have fewer)."""
+    held, n = [], 0
+    for batch in batches:
+        m = np.empty((batch.num_rows, batch.num_columns))
+        for i, column in enumerate(batch.columns):
+            m[:, i] = column.to_numpy(zero_copy_only=False)
+        held.append(m)
+        n += len(m)
+        if n >= rows:
+            yield np.concatenate(held)
+            held, n = [], 0
+    if n:
+        yield np.concatenate(held)
+
+
 def gram(df: DataFrame, label: str, features: list[str]) -> GramStats:
     """n, X'X and X'y in one pass; only d(d+1)/2 + d + 1 numbers come back.
 
-    Each task adds up the partial ``[X y]' [X y]`` of its Arrow batches (one
-    BLAS product per batch) and returns one upper triangle; ``Summarizer``
-    combines the tasks' sums in a tree, so no batch and no row reaches the
-    driver."""
+    A task cuts the columns of ``[X y]`` into blocks and multiplies each pair of
+    blocks of a chunk of rows (BLAS) into a tile, which it hands on at once.
+    Tiles go to tasks by their place, where ``Summarizer`` adds them up, first in
+    ``ADDERS`` parts, so that neither a task nor a key meets all tiles."""
     d = len(features)
-    upper = np.triu_indices(d + 1)
-
-    def partial(batches):
-        n, total = 0, np.zeros((d + 1, d + 1))
-        for pdf in batches:
-            m = pdf.to_numpy(dtype=float)
-            n += len(m)
-            total += m.T @ m
-        if n:
-            yield pd.DataFrame({"n": [n], "g": [total[upper]]})
-
-    n, sums = _summed(df.select(*map(quoted, features), label).mapInPandas(partial, PART), len(upper[0]))
-    full = np.zeros((d + 1, d + 1))
-    full[upper] = sums
-    full = full + np.triu(full, 1).T
+    blocks = [slice(a, min(a + TILE, d + 1)) for a in range(0, d + 1, TILE)]
+    rows = max(1, CHUNK_BYTES // (8 * (d + 1)))
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId() % ADDERS
+        for m in _chunks(batches, rows):
+            for i, left in enumerate(blocks):
+                for j in range(i, len(blocks)):
+                    tile = (m[:, left].T @ m[:, blocks[j]]).ravel()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([i], pa.int32()), pa.array([j], pa.int32()), pa.array([part], pa.int32()),
+                         pa.array([len(m) if i == j == 0 else 0], pa.int64()),
+                         pa.ListArray.from_arrays(pa.array([0, len(tile)], pa.int32()), pa.array(tile))],
+                        names=["i", "j", "part", "n", "tile"])
+
+    tiles = df.select(*map(quoted, features), label).mapInArrow(partial, "i int, j int, part int, n long, tile array<double>")
+    # dealt out before they are added, as a task that added its own would hold a tile of every place
+    tiles = tiles.repartition("i", "j", "part").select("i", "j", "part", "n", array_to_vector("tile").alias("tile"))
+    for keys in (["i", "j", "part"], ["i", "j"]):
+        tiles = tiles.groupBy(*keys).agg(F.sum("n").alias("n"), Summarizer.sum(F.col("tile")).alias("tile"))
+    full, n = np.zeros((d + 1, d + 1)), 0
+    for r in tiles.collect():                                  # the d x d matrix, one row per tile
+        left, right = blocks[r["i"]], blocks[r["j"]]
+        tile = r["tile"].toArray().reshape(left.stop - left.start, right.stop - right.start)
+        full[left, right], full[right, left] = tile, tile.T
+        n += r["n"]
+    if not n:
+        raise ValueError("empty training table")
     return GramStats(n, full[:d, :d].copy(), full[:d, d].copy())
 
 
@@ -160,13 +198,15 @@ def _gradient(df: DataFrame, label: str, features: list[str], w: np.ndarray) ->
 
 
 def predict_column(fit: SgdFit, feature_cols: list[str]) -> Column:
-    """``sum_i w_i * x_i``, added in order: one array of the columns against one
-    array of weights, so the expression is as deep for 5000 features as for 2."""
+    """``sum_i w_i * x_i`` as one compiled expression: the products are added in
+    pairs, and the sums in pairs, so it is 13 deep for 5000 features."""
     if len(feature_cols) != len(fit.weights):
         raise ValueError(f"model has {len(fit.weights)} features, got {len(feature_cols)}")
-    weights = "array(" + ", ".join(f"{float(w)!r}D" for w in fit.weights) + ")"
-    columns = "array(" + ", ".join(map(quoted, feature_cols)) + ")"
-    return F.expr(f"aggregate(zip_with({weights}, {columns}, (w, x) -> w * x), 0D, (s, v) -> s + v)")
+    terms = [f"{float(w)!r}D * {quoted(c)}" for w, c in zip(fit.weights, feature_cols, strict=True)]
+    while len(terms) > 1:
+        pairs = [f"({a} + {b})" for a, b in zip(terms[::2], terms[1::2])]
+        terms = pairs + terms[len(pairs) * 2:]
+    return F.expr(terms[0])
 
 
 def predict_sgd(fit: SgdFit, test: DataFrame, feature_cols: list[str], result_label: str = "label",
