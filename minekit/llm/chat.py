@@ -29,15 +29,18 @@ from pyspark.sql import functions as F
 #: The template's control strings (fixed values of this format).
 CONTROL = ["<s>", "</s>", "[INST]", "[/INST]", "[TURN]"]
 _ANY = r"(?:<s>|</s>|\[INST\]|\[/INST\]|\[TURN\])"
+#: A match begins where a run of backslashes does and takes it whole, so no run is
+#: read twice and a text of backslashes alone takes linear time.
+_RUN = r"(?<!\\)"
 LOSS_ROLE = "assistant"
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(\\*{_ANY})", r"\\$1")
+    return F.regexp_replace(text, rf"{_RUN}(\\*+{_ANY})", r"\\$1")
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, rf"\\(\\*{_ANY})", "$1")
+    return F.regexp_replace(text, rf"{_RUN}\\(\\*+{_ANY})", "$1")
 
 
 def format_chats(turns: DataFrame) -> DataFrame:

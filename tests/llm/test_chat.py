@@ -1,6 +1,7 @@
 """Chat formatting: exact read-back, loss mask, merged runs."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -49,3 +50,14 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
     plan = chat.format_chats(df)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_long_runs_of_backslashes(spark):
+    texts = ["\\" * 1_000_000, "\\" * 100_000 + "</s>", ("\\" * 999 + "[TURN]") * 300, "\\" * 50_000 + "<s" + "\\" * 50_000]
+    rows = [(c, 0, "assistant", text) for c, text in enumerate(texts)]
+    began = time.monotonic()
+    got = _read(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    for c, text in enumerate(texts):
+        assert [tuple(t) for t in got[c].turns] == [("assistant", text)]
+        assert got[c].loss == text
+    assert time.monotonic() - began < 60
