@@ -8,9 +8,10 @@ gradient is ``A w - b``, so one distributed aggregate (n, the d x d sums
 of x_i x_j and the d sums of x_i y) replaces a pass over the data per
 iteration; the recurrence then runs on the d x d matrix.  The sums are made
 in tiles of ``TILE x TILE`` columns, keyed by their place, so no task holds more
-than a chunk of rows and a few tiles, however many columns there are.  ``solver="iterative"`` runs the same recurrence with one
-distributed gradient aggregate per iteration over a persisted frame instead,
-for tables too wide for a d x d matrix.  Both give the same weights.
+than a chunk of rows and a few tiles, however many columns there are.
+``solver="iterative"`` runs the same recurrence with one distributed gradient
+aggregate per iteration over a persisted frame instead, for tables too wide
+for a d x d matrix.  Both give the same weights.
 """
 
 from __future__ import annotations
