@@ -55,8 +55,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     def joined(rows: DataFrame, how: str) -> DataFrame:
         listed = rows.select(F.col("id").alias("doc_id"))
-        small = rows.count() <= jaccard.BROADCAST_IDS
-        return docs.join(F.broadcast(listed) if small else listed, "doc_id", how).select(docs.columns)
+        return docs.join(listed, "doc_id", how).select(docs.columns)
 
     kept = joined(ids, "left_anti")
     again = ids.filter(~F.col("goes"))                   # ids that stay, but stand in several rows
