@@ -5,8 +5,9 @@ A host's labels are reversed and each followed by ``\\x01``
 its subdomains are the interval of keys that begin with the rule's key.  URL
 keys (reversed host, path, page id) are dealt into key ranges by boundaries
 taken from a sample of the keys; the sample decides only where ranges end,
-never which rows are judged, and the page id in the key lets a range end
-inside a host that holds a third of all rows.  A rule goes to every range its
+never which rows are judged.  The page id in the key, and a hash of the key
+behind its first ``BOUND_CHARS`` characters, let a range end inside a host, or
+a long URL, that holds a third of all rows.  A rule goes to every range its
 interval touches.  In each range one sorted sweep over both sides keeps the
 stack of rules whose interval holds the current URL.
 
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEP, TOP = "\x01", "\U0010ffff"
-#: Sampled keys per range when boundaries are chosen, and characters kept of each.
+#: Sampled keys per range when boundaries are chosen, and characters kept of each; keys alike in
+#: these are told apart by a hash of the whole key.
 SAMPLES_PER_RANGE, BOUND_CHARS = 40, 200
 ROWS_PER_RANGE = 100_000
 
@@ -50,11 +52,11 @@ def host_key(host: Column) -> Column:
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.", -1)), SEP), F.lit(SEP))
 
 
-def _boundaries(keyed: DataFrame, ranges: int, rows: int) -> list[str]:
+def _boundaries(keyed: DataFrame, ranges: int, rows: int) -> list[tuple[str, int]]:
     share = min(1.0, SAMPLES_PER_RANGE * ranges / max(rows, 1))
     sample = (keyed.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-              .select(F.substr("key", F.lit(1), F.lit(BOUND_CHARS)).alias("k")))
-    keys = sorted(r.k for r in sample.toLocalIterator())
+              .select(F.substr("key", F.lit(1), F.lit(BOUND_CHARS)).alias("k"), F.hash("key").alias("h")))
+    keys = sorted((r.k, r.h) for r in sample.toLocalIterator())
     return sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
 
 
@@ -119,12 +121,13 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow",
     bounds = _boundaries(keyed, n, rows)
 
     @F.pandas_udf("int")
-    def range_of(key: pd.Series) -> pd.Series:
-        return pd.Series([bisect_right(bounds, k) for k in key], dtype="int32")
+    def range_of(key: pd.Series, tie: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(bounds, (k[:BOUND_CHARS], h)) for k, h in zip(key, tie.tolist())], dtype="int32")
 
     @F.pandas_udf("array<int>")
     def ranges_of(key: pd.Series) -> pd.Series:
-        return pd.Series([list(range(bisect_right(bounds, k), bisect_right(bounds, k + TOP) + 1)) for k in key])
+        return pd.Series([list(range(bisect_right(bounds, (k[:BOUND_CHARS], -1 << 31)),
+                                     bisect_right(bounds, ((k + TOP)[:BOUND_CHARS], 1 << 31)) + 1)) for k in key])
 
     right = (rules.filter(F.col("host").isNotNull())
              .select(F.translate("host", _UPPER, _LOWER).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict")
@@ -143,6 +146,6 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow",
                              "rule": pd.Series([f[0] for f in found], index=left.index, dtype=object),
                              "verdict": pd.Series([f[1] or default for f in found], index=left.index, dtype=object)})
 
-    return (keyed.withColumn("rng", range_of("key")).groupBy("rng")
+    return (keyed.withColumn("rng", range_of("key", F.hash("key"))).groupBy("rng")
             .cogroup(right.groupBy("rng"))
             .applyInPandas(join, "page_id long, host string, path string, rule string, verdict string"))

@@ -4,6 +4,7 @@ import random
 from urllib.parse import quote
 
 import pytest
+from pyspark.sql import functions as F
 
 from minekit.llm import url_rules
 
@@ -56,6 +57,19 @@ def test_one_host_is_cut_into_ranges_and_repeats_stay(spark):
     assert out.filter("rule = 'com/x' AND verdict = 'block'").count() == 2003
 
 
+@pytest.mark.parametrize("host", ["a.com", "x" * 150 + "." + "y" * 150 + ".com"])
+def test_long_urls_are_cut_into_ranges(spark, host):
+    path = "/" + "p" * 250
+    pages = spark.createDataFrame([(i, f"http://{host}{path}") for i in range(4000)], "page_id long, url string")
+    rules = spark.createDataFrame([("com", "/", "block"), (host, path, "allow"), (host, path + "q", "block")],
+                                  "host string, path string, verdict string")
+    out = url_rules.judge_urls(pages, rules, ranges=16)
+    assert out.filter(F.col("rule") == host + path).filter("verdict = 'allow'").select("page_id").distinct().count() == 4000
+    keyed = pages.select(F.concat(url_rules.host_key(F.lit(host)), F.lit(path + "\x00"),
+                                  F.col("page_id").cast("string")).alias("key"))
+    assert len(url_rules._boundaries(keyed, 16, 4000)) >= 10
+
+
 def test_empty_tables(spark):
     pages = spark.createDataFrame([(1, "http://a.com/x")], "page_id long, url string")
     rules = spark.createDataFrame([], "host string, path string, verdict string")
