@@ -53,8 +53,6 @@ FREQUENT_IN_TASK = 4
 SURVEY_TOKENS = 1_000_000
 #: Classes of a block, the unit that is opened or not.
 BLOCK = 256
-#: Ids that may be broadcast to pick rows before a shuffle; beyond, the rows are shuffled.
-BROADCAST_IDS = 4_000_000
 
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[9, 10, 11, 12, 13, 32]] = False
@@ -200,8 +198,8 @@ def _postings(docs: DataFrame, frequent: _Frequent, k: int, num: int, den: int)
 def _token_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(group, part, asks, comp, set, tokens) for every place in ``wanted``: (id of a
     document, its set, places: array of (group, part, asks, comp))."""
-    small = wanted.count() <= BROADCAST_IDS
-    rows = docs.join(F.broadcast(wanted) if small else wanted, "id").select("text", "set", "places")
+    # sort-merge at every size: the places grow with the documents, so they are never broadcast
+    rows = docs.join(wanted.hint("merge"), "id").select("text", "set", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -355,8 +353,7 @@ def similar_documents(docs: DataFrame, column: str = "text", key: str = "doc_id"
     blocks = group.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     group = materialize(group.join(blocks, "group").select(
         "set", "comp", "group", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int").alias("part")), "groups")
-    small = group.count() <= BROADCAST_IDS
-    cross = (posted.drop("pivot").join(F.broadcast(group) if small else group, "set")
+    cross = (posted.drop("pivot").join(group, "set")
              .withColumn("lo", F.min("comp").over(by_token)).withColumn("hi", F.max("comp").over(by_token))
              .filter(F.col("lo") != F.col("hi")).drop("lo", "hi"))
     matrix = cross.groupBy("token", "group", "part").agg(

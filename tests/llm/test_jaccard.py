@@ -77,10 +77,15 @@ def test_chain_across_blocks(spark, monkeypatch):
     assert got == _direct(rows)
 
 
-def test_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "BROADCAST_IDS", -1)
-    rows = _corpus(5, 20, 5, 0.3)
-    got = sorted((tuple(r) for r in jaccard.similar_documents(spark.createDataFrame(rows, SCHEMA)).collect()), key=repr)
+def test_without_broadcast(spark):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, -1)
+    try:
+        rows = _corpus(5, 20, 5, 0.3)
+        got = sorted((tuple(r) for r in jaccard.similar_documents(spark.createDataFrame(rows, SCHEMA)).collect()), key=repr)
+    finally:
+        spark.conf.set(threshold, before)
     assert got == _direct(rows)
 
 
