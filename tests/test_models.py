@@ -217,7 +217,10 @@ def test_sgd_solvers_agree_and_fail_alike(spark):
         regression.fit_sgd(data, "y", ["x1", "x2"], solver="exact")
 
 
-def test_gram_sums(spark):
+@pytest.mark.parametrize("tile,chunk", [(512, 64 << 20), (8, 64 << 20), (7, 8 * 25 * 100), (1, 8 * 25)])
+def test_gram_sums(spark, monkeypatch, tile, chunk):
+    monkeypatch.setattr(regression, "TILE", tile)
+    monkeypatch.setattr(regression, "CHUNK_BYTES", chunk)
     wide = spark.range(3000).select(*[((F.col("id") * (i + 3)) % 17 / 17.0).alias(f"x{i}") for i in range(24)],
                                     ((F.col("id") % 11) / 11.0).alias("y"))
     cols = [f"x{i}" for i in range(24)]
@@ -228,6 +231,19 @@ def test_gram_sums(spark):
     assert np.allclose(g.xx, x.T @ x, rtol=1e-12) and np.allclose(g.xy, x.T @ pdf["y"].to_numpy(), rtol=1e-12)
 
 
+def test_weights_of_a_table_of_several_tiles(spark):
+    d, n = 1100, 400
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(n, d)) / np.sqrt(d)
+    y = x @ rng.normal(size=d)
+    names = [f"x{i}" for i in range(d)]
+    df = spark.createDataFrame([(float(b), a.tolist()) for a, b in zip(x, y)], "y double, v array<double>")
+    df = df.select("y", *[F.get("v", F.lit(i)).alias(c) for i, c in enumerate(names)])
+    g = regression.gram(df, "y", names)
+    assert g.n == n
+    assert np.allclose(g.xx, x.T @ x, atol=1e-12) and np.allclose(g.xy, x.T @ y, atol=1e-12)
+
+
 def test_wide_regression_scores(spark):
     d = 2500
     names = [f"x{i}" for i in range(d)]
