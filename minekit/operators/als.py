@@ -17,7 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minekit.functions.casting import quoted, strict_double, strict_int
@@ -114,6 +114,14 @@ def predict_pairs(model: ALSModel | KeyedALS, pairs: DataFrame, result_user: str
                          F.col("prediction").cast("double").alias(result_rate))
 
 
+def predict_pair(spark: SparkSession, model: ALSModel | KeyedALS, user, item) -> DataFrame:
+    """One row with the rating of a single pair; none for an unknown user or item."""
+    users, items = (model.users, model.items) if isinstance(model, KeyedALS) else (None, None)
+    kinds = [f.schema[k].dataType.simpleString() if f is not None else "int" for f, k in ((users, USER), (items, ITEM))]
+    pair = spark.createDataFrame([(user, item)], f"{USER} {kinds[0]}, {ITEM} {kinds[1]}")
+    return predict_pairs(model, pair)
+
+
 def scorable_pairs(train: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs ALS can score: user and item both seen in training.
 
