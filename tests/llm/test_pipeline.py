@@ -73,3 +73,25 @@ def test_stages_learn_from_what_they_are_given(spark, planted, monkeypatch):
     absent = spark.range(10_000, 210_000).selectExpr("id AS doc_id", "int(id % 2) AS quality")
     quality.fit_quality(docs, labels.unionByName(absent))
     assert seen == [(len(good) + len(bad), len(good) / (len(good) + len(bad)))]
+
+
+def test_near_duplicates_go_by_row(spark):
+    def words(name, n=60):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    rows = [(1, words("a"), "x"), (1, words("b"), "y"),            # one id, two texts: the second is a copy of 0's
+            (0, words("b") + " more", "z"), (2, words("c"), "x"), (2, words("c"), "x"),     # a repeated row
+            (3, words("d"), "x"), (3, words("d") + " end", "x"),   # one id, near copies
+            (None, words("a") + " last", "x"), (None, words("e"), "x"), (None, words("f"), "x"), (None, words("f"), "x"),
+            (4, None, "x"), (4, "", "x"), (5, words("g"), "x"), (9, words("g") + " end", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `row` string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id if r.doc_id is not None else -1), (r.text or "").split(" ")[0]) for r in kept.collect())
+    assert got == [(-1, "e0"), (-1, "f0"), (0, "b0"), (1, "a0"), (2, "c0"), (3, "d0"), (4, ""), (4, ""), (5, "g0")]
+
+
+def test_near_duplicates_of_one_id(spark):
+    docs = spark.createDataFrame([(7, " ".join(f"w{k}_{i}" for i in range(40))) for k in range(30) for _ in range(2)],
+                                 "doc_id long, text string")
+    assert corpus_pipeline.near_duplicates(spark, docs, "").count() == 30
