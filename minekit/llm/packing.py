@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -28,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from minekit.llm.bpe import PretokenEncoder, _Memo
 from minekit.llm.frames import release_memory, steps
@@ -52,11 +54,17 @@ class FileEncoder(PretokenEncoder):
     def __init__(self, path: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"           # Spark has one task per core already
+        self.path = path
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.tokenizer.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)     # it gets pre-tokens
+
+    @cached_property
+    def whole(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
 
     def learn(self, words: list[str], memo: _Memo) -> None:
-        for e in self.tokenizer.encode_batch(words, add_special_tokens=False):
+        for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False):
             memo.ids.extend(e.ids)
             memo.ends.append(len(memo.ids))
 
@@ -66,7 +74,7 @@ class FileEncoder(PretokenEncoder):
         rows = self.encode_batch([t if i not in whole else "" for i, t in enumerate(texts)])
         ids, ends = rows.values.to_numpy(), rows.offsets.to_numpy()
         return [ids[a:b] if i not in whole else np.array(
-            self.tokenizer.encode(whole[i], add_special_tokens=False).ids, dtype=np.int32)
+            self.whole.encode(whole[i], add_special_tokens=False).ids, dtype=np.int32)
             for i, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True))]
 
 

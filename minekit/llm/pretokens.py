@@ -73,4 +73,4 @@ def distinct(joined: str, at: np.ndarray) -> tuple[np.ndarray, list[str]]:
     holds where each begins in UTF-8."""
     raw = pa.Array.from_buffers(pa.large_string(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(joined.encode())])
     found = raw.dictionary_encode()
-    return found.indices.to_numpy(), found.dictionary.to_pylist()
+    return found.indices.to_numpy(), found.dictionary.to_numpy(zero_copy_only=False).tolist()
