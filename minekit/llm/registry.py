@@ -177,7 +177,28 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- 9: n-gram Jaccard join ------------------------------------------------
 
-@query()
+@query(r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(w) < 5 THEN list_filter([array_to_string(w, ' ')], lambda x: x <> '') ELSE
+                 list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS s
+  FROM words),
+class AS MATERIALIZED (SELECT s, len(s) AS n, min(doc_id) AS id FROM sets WHERE len(s) > 0 GROUP BY s),
+token AS MATERIALIZED (SELECT id, n, unnest(s) AS t FROM class),
+seen AS (SELECT t, row_number() OVER () AS k FROM token GROUP BY t HAVING count(*) > 1),
+shared AS MATERIALIZED (SELECT k, id, n FROM token JOIN seen USING (t)),
+pair AS (
+  SELECT a.id AS a, b.id AS b FROM shared a JOIN shared b ON a.k = b.k AND a.id < b.id
+     AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+edge AS MATERIALIZED (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair),
+reach(id, other) AS (SELECT id, id FROM class UNION SELECT r.id, e.b FROM reach r JOIN edge e ON e.a = r.other),
+least_id AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(l.component_id, d.doc_id) AS component_id
+FROM sets d LEFT JOIN class c ON c.s = d.s LEFT JOIN least_id l ON l.id = c.id
+""")
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.similar_documents(docs).select(
