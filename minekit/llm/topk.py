@@ -17,7 +17,8 @@ components or without an id, take no part; vectors of another length than the
 query's are no candidates; a query's own id is no candidate, and of rows that
 repeat a query's id the least vector asks; candidates that repeat an id each
 count; ties go to the smaller id; with fewer candidates all are returned;
-empty tables give no rows; other columns are ignored.  A score must fit a long.
+empty tables give no rows; other columns are ignored.  Vectors so large that a
+score might not fit a long raise an error.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from minekit.session import materialize
 #: Candidates and queries of a block, rounds in which a list would be read to its end, and
 #: the part of the candidates (one in so many) whose scores are resolved when the others are out.
 CANDIDATES, QUERIES, ROUNDS, RESOLVED = 8192, 1024, 8, 8
+#: Scores of a block, and with them all sums on the way, must stay below this.
+SCORES = float(1 << 62)
 
 
 class SortedLists:
@@ -110,10 +113,11 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, column: str = "embedding"
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            limit = float(1 << 62)
             ids = right.id.to_numpy(np.int64)
-            block = SortedLists(np.floor(np.clip(stack(right.x) * scale, -limit, limit)).astype(np.int64))
-            asked = np.floor(np.clip(stack(left.x) * scale, -limit, limit)).astype(np.int64)
+            offered, asked = np.floor(stack(right.x) * scale), np.floor(stack(left.x) * scale)
+            if np.maximum(np.abs(offered).max(axis=0), 1) @ np.maximum(np.abs(asked).max(axis=0), 1) >= SCORES:
+                raise ValueError("vectors of this size have scores that may not fit a long")
+            block, asked = SortedLists(offered.astype(np.int64)), asked.astype(np.int64)
             where = np.argsort(ids, kind="stable")
             for q, query in zip(left.id.to_numpy(np.int64), asked):
                 own = where[np.searchsorted(ids, q, "left", sorter=where):np.searchsorted(ids, q, "right", sorter=where)]

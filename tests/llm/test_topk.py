@@ -57,6 +57,21 @@ def test_repeated_query(spark):
     assert _got(spark, rows) == [(0, 1, 1, 65536)]
 
 
+@pytest.mark.parametrize("large", [1e17, 1e30, 1e300])
+def test_scores_beyond_a_long_raise(spark, large):
+    rows = [(0, [large, 1.0]), (1, [large, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="may not fit a long"):
+        topk.top_k(df, F.col("id") % 10 == 0).collect()
+
+
+def test_large_scores_stay_exact(spark):
+    rows = [(0, [2.0 ** 20, 1.0]), (1, [2.0 ** 20, 3.0]), (2, [2.0 ** 20, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk.top_k(df, F.col("id") % 10 == 0).orderBy("rank").collect()]
+    assert got == [(0, 1, 1, (1 << 56) + 3 * 65536), (0, 2, 2, (1 << 56) + 2 * 65536)]
+
+
 def test_reading_stops_early():
     """With one dominant dimension few candidates survive the bounds, and the best are among them."""
     rng = np.random.default_rng(1)
